@@ -87,25 +87,27 @@ def mood_sample(events: DataFrame, n: int = 200, mode: str = "limit") -> DataFra
 
 # --- W4: event-time tumbling windows -------------------------------------------
 
-def _windowed(events: DataFrame, size: str) -> DataFrame:
-    return events.withColumn("_w", F.window("timestamp", size))
+def _windowed(events: DataFrame, size: str, time_col: str) -> DataFrame:
+    return events.withColumn("_w", F.window(time_col, size))
 
 
 def _unwindow(df: DataFrame) -> DataFrame:
+    # bounds are reported as wall-clock times, like the plays' own timestamps
     cols = [c for c in df.columns if c != "_w"]
-    return df.select(F.col("_w.start").alias("window_start_time"), F.col("_w.end").alias("window_end_time"), *cols)
+    return df.select(F.col("_w.start").cast("timestamp_ntz").alias("window_start_time"),
+                     F.col("_w.end").cast("timestamp_ntz").alias("window_end_time"), *cols)
 
 
-def windowed_mood(events: DataFrame, size: str = "10 minutes") -> DataFrame:
+def windowed_mood(events: DataFrame, size: str = "10 minutes", time_col: str = "timestamp") -> DataFrame:
     """A5 per event-time tumbling window."""
-    return _unwindow(mood_metrics(_windowed(events, size), keys=["_w"]))
+    return _unwindow(mood_metrics(_windowed(events, size, time_col), keys=["_w"]))
 
 
-def windowed_leaderboard(events: DataFrame, size: str = "10 minutes") -> DataFrame:
+def windowed_leaderboard(events: DataFrame, size: str = "10 minutes", time_col: str = "timestamp") -> DataFrame:
     """A4 per event-time tumbling window."""
-    return _unwindow(leaderboard(_windowed(events, size), keys=["_w"]))
+    return _unwindow(leaderboard(_windowed(events, size, time_col), keys=["_w"]))
 
 
-def windowed_engagement(events: DataFrame, size: str = "10 minutes") -> DataFrame:
+def windowed_engagement(events: DataFrame, size: str = "10 minutes", time_col: str = "timestamp") -> DataFrame:
     """A6 per event-time tumbling window."""
-    return _unwindow(engagement(_windowed(events, size), keys=["_w"]))
+    return _unwindow(engagement(_windowed(events, size, time_col), keys=["_w"]))

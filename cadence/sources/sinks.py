@@ -12,7 +12,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadence.schemas import CONTRACTS
 
@@ -69,14 +71,20 @@ class TableSink:
         w.parquet(self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        """The table, or an empty frame of its contract when it does not exist yet."""
+        """The table, or an empty frame of its contract when it does not exist yet.
+
+        Contract tables are read with their declared schema (+ ``batch_id``),
+        so an all-empty table needs no schema inference. Errors other than a
+        missing table are raised, not hidden.
+        """
+        schema = None
+        if name in CONTRACTS:
+            schema = T.StructType(list(contract(name).fields)).add("batch_id", T.LongType())
         try:
-            return spark.read.parquet(self.path(name))
-        except Exception as e:  # only a missing path is turned into an empty result
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                schema = contract(name) if name in CONTRACTS else None
-                if schema is None:
-                    raise
+            r = spark.read.schema(schema) if schema is not None else spark.read
+            return r.parquet(self.path(name))
+        except AnalysisException as e:
+            if schema is not None and ("PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e)):
                 return spark.createDataFrame([], schema)
             raise
 

@@ -10,6 +10,7 @@ ts is replaced by the batch's wall clock, as the reference producer does.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +19,40 @@ from cadence.schemas import LOG_SCHEMA, TS_FORMAT
 from cadence.sources.kafka import parse_logs
 
 
-def write_replay_files(history: DataFrame, path: str, n_files: int) -> None:
-    """Write log records as JSON lines, range-partitioned on ts into ``n_files`` files."""
+MAX_ROWS_PER_FILE = 1_000_000
+
+
+def write_replay_files(history: DataFrame, path: str, n_files: int, relative_error: float = 0.001,
+                       max_rows_per_file: int = MAX_ROWS_PER_FILE) -> int:
+    """Write log records as JSON lines: consecutive ts ranges, one file (one micro-batch) each.
+
+    A file stream takes files in modification order, so the ranges are
+    written one after another (oldest first); each range is one write job
+    and its rows are sorted by ts. At least ``n_files`` ranges are written,
+    more when needed to keep each file under ``max_rows_per_file`` rows. The
+    range bounds are approximate quantiles of ts (a few numbers on the
+    driver). Returns the number of files.
+    """
     cols = [f.name for f in LOG_SCHEMA.fields]
-    (history.select(*cols).repartitionByRange(n_files, "ts").sortWithinPartitions("ts")
-     .select(to_json_row(*cols).alias("value")).write.mode("overwrite").text(path))
+    logs = history.select(*cols).withColumn("_t", F.unix_seconds(F.col("ts").cast("timestamp")))
+    logs = logs.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = logs.count()
+        n_files = max(n_files, -(-rows // max_rows_per_file))
+        probs = [i / n_files for i in range(1, n_files)]
+        bounds = logs.approxQuantile("_t", probs, relative_error) if probs else []
+        edges = [None] + bounds + [None]
+        for i in range(n_files):
+            cond = F.lit(True)
+            if edges[i] is not None:
+                cond = cond & (F.col("_t") >= edges[i])
+            if edges[i + 1] is not None:
+                cond = cond & (F.col("_t") < edges[i + 1])
+            (logs.where(cond).repartition(1).sortWithinPartitions("ts")
+             .select(to_json_row(*cols).alias("value")).write.mode("overwrite").text(f"{path}/chunk={i:05d}"))
+    finally:
+        logs.unpersist()
+    return n_files
 
 
 def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1, restamp: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ size is bounded by the watermark delay, not by the stream's length.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadence.operators.enrich import enrich, split_quarantine
@@ -18,16 +19,23 @@ from cadence.operators.metrics import windowed_engagement, windowed_leaderboard,
 KINDS = {"mood": windowed_mood, "leaderboard": windowed_leaderboard, "engagement": windowed_engagement}
 
 
+EVENT_TIME = "event_time"
+
+
 def enriched_stream(logs: DataFrame, store, watermark: str = "10 minutes") -> DataFrame:
-    """Stream-static enrichment of the parsed log stream, with an event-time watermark."""
+    """Stream-static enrichment of the parsed log stream, with an event-time watermark.
+
+    Watermarks need a zoned timestamp, so ``event_time`` is the play's
+    wall-clock ``timestamp`` read in the session zone (UTC in this engine).
+    """
     valid, _ = split_quarantine(logs, raw_col="raw" if "raw" in logs.columns else None)
     e = enrich(valid, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1)
-    return e.withWatermark("timestamp", watermark)
+    return e.withColumn(EVENT_TIME, F.col("timestamp").cast("timestamp")).withWatermark(EVENT_TIME, watermark)
 
 
 def windowed_metrics(enriched: DataFrame, kind: str = "mood", size: str = "1 minute") -> DataFrame:
     """A4/A5/A6 per event-time tumbling window (needs a watermarked input in streaming)."""
-    return KINDS[kind](enriched, size)
+    return KINDS[kind](enriched, size, EVENT_TIME)
 
 
 def start_windowed(enriched: DataFrame, path: str, checkpoint: str, kind: str = "mood", size: str = "1 minute",
