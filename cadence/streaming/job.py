@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -64,11 +65,27 @@ def batch_stamp(when: dt.datetime | None = None):
     return F.to_timestamp_ntz(F.lit(when.strftime("%Y-%m-%d %H:%M:%S")), F.lit(TS_FORMAT))
 
 
+def _write_all(sink, tables: list[tuple[DataFrame, str]], batch_id: int, parallel: bool) -> None:
+    """Write each (frame, table); independent writes are submitted as concurrent Spark jobs."""
+    if not parallel or len(tables) < 2:
+        for df, name in tables:
+            sink.write(df, name, batch_id)
+        return
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(sink.write, df, name, batch_id) for df, name in tables]
+        for f in futures:
+            f.result()
+
+
 def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
-                  sample_n: int = 200, sample_mode: str = "limit", when: dt.datetime | None = None) -> bool:
+                  sample_n: int = 200, sample_mode: str = "limit", when: dt.datetime | None = None,
+                  parallel_writes: bool = True) -> bool:
     """One micro-batch -> events, leaderboard, mood, engagement, samples (+ quarantine).
 
-    Returns False for an empty batch (nothing written, P13).
+    Returns False for an empty batch (nothing written, P13). The six writes
+    read the same persisted enriched batch and run as concurrent jobs; each
+    is idempotent per ``batch_id``, so a failure in one is repaired by the
+    batch's retry without duplicating the others.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -80,14 +97,15 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
                           artist_broadcast_bytes=-1).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stamp = batch_stamp(when)
-            sink.write(conform(enriched, "realtime_streaming_events"), "realtime_streaming_events", batch_id)
-            sink.write(conform(leaderboard(enriched, stamp), "realtime_leaderboard"), "realtime_leaderboard", batch_id)
-            sink.write(conform(mood_metrics(enriched, stamp), "realtime_mood_metrics"), "realtime_mood_metrics",
-                       batch_id)
-            sink.write(conform(engagement(enriched, stamp), "engagement_metrics"), "engagement_metrics", batch_id)
-            sink.write(conform(mood_sample(enriched, sample_n, sample_mode), "mood_matrix_samples"),
-                       "mood_matrix_samples", batch_id)
-            sink.write(conform(bad, "quarantine"), "quarantine", batch_id)
+            tables = [
+                (enriched, "realtime_streaming_events"),
+                (leaderboard(enriched, stamp), "realtime_leaderboard"),
+                (mood_metrics(enriched, stamp), "realtime_mood_metrics"),
+                (engagement(enriched, stamp), "engagement_metrics"),
+                (mood_sample(enriched, sample_n, sample_mode), "mood_matrix_samples"),
+                (bad, "quarantine"),
+            ]
+            _write_all(sink, [(conform(df, name), name) for df, name in tables], batch_id, parallel_writes)
         finally:
             enriched.unpersist()
         return True
