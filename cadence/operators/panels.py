@@ -17,7 +17,15 @@ DEFAULT_MINUTES = 30
 
 
 def _window(df: DataFrame, ts: str, minutes: int | None, as_of: Column | None) -> DataFrame:
-    return df if minutes is None else df.where(lookback(ts, minutes, as_of))
+    """The lookback filter; on a date-partitioned result table also a ``dt`` bound that prunes folders."""
+    if minutes is None:
+        return df
+    out = df.where(lookback(ts, minutes, as_of))
+    if "dt" in df.columns:
+        anchor = as_of if as_of is not None else F.localtimestamp()
+        start = anchor - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(minutes)))
+        out = out.where(F.col("dt") >= F.to_date(start))
+    return out
 
 
 def kpi(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None) -> DataFrame:

@@ -49,8 +49,23 @@ def violations(df: DataFrame, name: str) -> DataFrame:
     return df.where(cond)
 
 
+# Time column of each result table; its date becomes the ``dt`` partition.
+TIME_COLUMNS = {
+    "realtime_streaming_events": "timestamp",
+    "realtime_leaderboard": "window_start_time",
+    "realtime_mood_metrics": "window_start_time",
+    "engagement_metrics": "window_start_time",
+    "mood_matrix_samples": "timestamp",
+    "system_metrics": "timestamp",
+}
+
+
 class TableSink:
-    """Parquet result tables under ``root``/<table>, partitioned by ``batch_id``."""
+    """Parquet result tables under ``root``/<table>/dt=<date>/batch_id=<n>.
+
+    ``dt`` lets lookback panels skip whole folders (partition pruning);
+    ``batch_id`` makes each micro-batch's write replaceable.
+    """
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
@@ -65,9 +80,16 @@ class TableSink:
         just those batches; any other frame replaces the table.
         """
         out = df if batch_id is None else df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        parts = []
+        tcol = TIME_COLUMNS.get(name)
+        if tcol and tcol in out.columns:
+            out = out.withColumn("dt", F.to_date(F.col(tcol)))
+            parts.append("dt")
         if "batch_id" in out.columns:
-            w = w.partitionBy("batch_id")
+            parts.append("batch_id")
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if parts:
+            w = w.partitionBy(*parts)
         w.parquet(self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
@@ -79,7 +101,10 @@ class TableSink:
         """
         schema = None
         if name in CONTRACTS:
-            schema = T.StructType(list(contract(name).fields)).add("batch_id", T.LongType())
+            schema = T.StructType(list(contract(name).fields))
+            if name in TIME_COLUMNS:
+                schema = schema.add("dt", T.DateType())
+            schema = schema.add("batch_id", T.LongType())
         try:
             r = spark.read.schema(schema) if schema is not None else spark.read
             return r.parquet(self.path(name))

@@ -3,6 +3,7 @@ checked broadcast, and the streaming join meeting a pre-partitioned track tier."
 
 import datetime as dt
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -49,19 +50,78 @@ def test_checked_broadcast(spark):
     assert broadcast_if_small(small, 10) is small
 
 
+def _restore(spark, old):
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _no_broadcast(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    return old
+
+
 def test_stream_batch_join_does_not_reshuffle_tracks(spark):
+    """A micro-batch meets the persisted, hash-partitioned track tier without shuffling it again."""
+    from cadence.operators.enrich import enrich
+    old = _no_broadcast(spark)
     w = Workload(spark, SF_SMALL)
-    store = FeatureStore.prepare(w.tracks, w.artists, w.global_row)
+    store = FeatureStore.prepare(w.tracks, w.artists, w.global_row, max_broadcast_bytes=1)
     try:
-        from cadence.operators.enrich import enrich
         e = enrich(w.history, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1)
-        e.count()
+        e.write.format("noop").mode("overwrite").save()
         plan = e._jdf.queryExecution().executedPlan().toString()
-        # the persisted, hash-partitioned track tier is read in place: no exchange directly above it
-        lines = plan.splitlines()
-        for i, line in enumerate(lines):
-            if "InMemoryTableScan" in line and "_t_key" in plan:
-                above = lines[i - 1] if i else ""
-                assert "Exchange hashpartitioning" not in above or "id" not in above
+        assert "SortMergeJoin [spotify_track_uri" in plan
+        assert re.search(r"Exchange hashpartitioning\(spotify_track_uri#\d+, \d+\), ENSURE_REQUIREMENTS", plan)
+        # the only exchange on the track id is the one inside the cached relation
+        assert not re.search(r"Exchange hashpartitioning\((id|_t_key)#\d+, \d+\), ENSURE_REQUIREMENTS", plan)
+        assert re.search(r"Exchange hashpartitioning\(id#\d+, \d+\), REPARTITION_BY_NUM", plan)
     finally:
         store.release()
+        _restore(spark, old)
+
+
+def test_hot_track_partition_is_split(spark):
+    """One track with a third of all plays: AQE splits its shuffle partition in the track join."""
+    from cadence.operators.enrich import enrich
+    old = _no_broadcast(spark)
+    extra = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    for k, v in extra.items():
+        old[k] = spark.conf.get(k)
+        spark.conf.set(k, v)
+    try:
+        w = Workload(spark, SF_SMALL)
+        h = w.history
+        hot = h.where(F.col("event_id") % 3 == 0).withColumn("spotify_track_uri", F.lit("t1"))
+        skewed = h.where(F.col("event_id") % 3 != 0).unionByName(hot).repartition(8)
+        e = enrich(skewed, w.tracks, w.artists, w.global_row, artist_broadcast_bytes=-1)
+        rows = e.collect()             # runs this frame's own plan (small fixture)
+        plan = e._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan
+        assert re.search(r"SortMergeJoin\(skew=true\) \[spotify_track_uri#\d+\]", plan), plan
+        assert len(rows) == h.count()
+    finally:
+        _restore(spark, old)
+
+
+def test_lookback_prunes_result_partitions(spark, scratch):
+    from cadence.sources.sinks import TableSink, conform
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(hours=6 * i), "t", "n", "a", "A", 1, 0.5, 0.5, 0.5, 0.5, 1000, 2000, 1.0, False, 0, 1)
+            for i in range(20)]
+    sink = TableSink(scratch)
+    ev = conform(spark.createDataFrame(rows, ENRICHED_SCHEMA), "realtime_streaming_events")
+    sink.write(ev, "realtime_streaming_events", batch_id=0)
+    table = sink.read(spark, "realtime_streaming_events")
+    as_of = F.lit("2024-01-05 18:00:00").cast("timestamp_ntz")
+    df = panels.kpi(table, minutes=12 * 60, as_of=as_of)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ >= ", plan)
+    assert df.first().total_events == 3
