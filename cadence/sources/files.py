@@ -14,21 +14,27 @@ from cadence.schemas import CATALOG_SCHEMA, RAW_HISTORY_SCHEMA
 TIERS = ("tracks", "artists", "global")
 
 
+def _csv(spark: SparkSession, schema):
+    # RFC 4180 quoting (a quote inside a quoted field is doubled), as pandas writes it
+    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').option("multiLine", False))
+
+
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """The song-feature catalog CSV (header row, explicit schema, no inference)."""
-    return spark.read.schema(CATALOG_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return _csv(spark, CATALOG_SCHEMA).csv(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The raw listening-history CSV (header row; loose text/number columns)."""
-    return spark.read.schema(RAW_HISTORY_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return _csv(spark, RAW_HISTORY_SCHEMA).csv(path)
 
 
 def write_history(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write the cleaned history (Parquet by default, CSV with a header on request)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
 
