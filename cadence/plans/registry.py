@@ -34,7 +34,7 @@ def show(df: DataFrame) -> DataFrame:
 
 def _q(fn: Callable[[Workload], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return show(fn(Workload(spark, sf_dir)))
+        return show(fn(Workload.of(spark, sf_dir)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

@@ -56,6 +56,24 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return d.rstrip("/")
 
 
+def shared_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder, or — in local mode only (a test machine) — a local one set now.
+
+    Returns None on a cluster without ``spark.checkpoint.dir``: callers then
+    keep their work in the plan instead of writing intermediate tables.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        import tempfile
+        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="cadence-checkpoints-"))
+    return None
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for one run's tables and stream state."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    base = shared_dir(spark)
+    if base is None:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")

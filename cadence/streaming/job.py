@@ -153,7 +153,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     if key in _RUNS:
         return _RUNS[key]
     root = run_folder(spark, "stream")
-    w = Workload(spark, sf_dir)
+    w = Workload.of(spark, sf_dir)
     write_replay_files(w.history, os.path.join(root, "input"), REPLAY_FILES)
     tracks, artists, global_row = load_feature_store(spark, os.path.join(root, "store"), catalog=w.catalog)
     store = FeatureStore.prepare(tracks, artists, global_row)
