@@ -188,37 +188,16 @@ _ALBUM_DIM = """
     FROM enriched WHERE album_name IS NOT NULL GROUP BY album_name))
 """
 
-_SELECTS: dict[str, str] = {
-    "enriched_events": f"SELECT {ENRICHED_SELECT} FROM enriched",
-    "match_tiers": 'SELECT "timestamp", track_uri, artist_name, tier FROM enriched_tiered',
-    "clean_catalog": f"SELECT id, artists, {_features()}, artist FROM clean_catalog",
-    "clean_history": ("SELECT event_id, ts, ms_played, spotify_track_uri, track_name, album_name, artist_name, "
-                      "shuffle, skipped, reason_end FROM history"),
-    "track_features": f"SELECT id, {_features()} FROM tracks",
-    "artist_features": f"SELECT artist, {', '.join(f'{p6(q(c))} AS {q(c)}' for c in CATALOG_FEATURES)} FROM artists_t",
-    "global_features": f"SELECT {', '.join(f'{p6(q(c))} AS {q(c)}' for c in CATALOG_FEATURES)} FROM global_t",
-    "feature_keys": f"""
-      SELECT 'track:' || id AS "key", 'track' AS scope,
-        {', '.join(f'{p6(f"CAST({q(c)} AS DOUBLE)")} AS {q(c)}' for c in CATALOG_FEATURES)} FROM tracks
-      UNION ALL
-      SELECT 'artist:' || artist, 'artist', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM artists_t
-      UNION ALL
-      SELECT 'global:OTHERS', 'global', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM global_t""",
-    "duplicate_keys": """
-      SELECT spotify_track_uri, COUNT(*) AS n FROM history WHERE spotify_track_uri IS NOT NULL
-      GROUP BY spotify_track_uri HAVING COUNT(*) > 1""",
-    "catalog_id_duplicates": """
-      SELECT id, COUNT(*) AS n FROM clean_catalog WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1""",
-    "orphans": f"""{_ARTIST_PROFILE}
-      SELECT "timestamp", track_uri, artist_name FROM enriched e WHERE e.artist_name IS NOT NULL
-        AND NOT EXISTS (SELECT 1 FROM artist_profile p WHERE p.artist_name = e.artist_name)""",
-    "coverage_report": f"""
+def _coverage(normalize: bool) -> str:
+    cat_key = f"lower(trim({FIRST_ARTIST}))" if normalize else FIRST_ARTIST
+    log_key = "lower(trim(h.artist_name))" if normalize else "h.artist_name"
+    return f"""
       , ids AS (SELECT DISTINCT id FROM catalog WHERE id IS NOT NULL)
-      , arts AS (SELECT DISTINCT lower(trim({FIRST_ARTIST})) AS k FROM catalog WHERE artists IS NOT NULL)
+      , arts AS (SELECT DISTINCT {cat_key} AS k FROM catalog WHERE artists IS NOT NULL)
       , flags AS (
         SELECT h.spotify_track_uri AS uri, i.id IS NOT NULL AS id_hit, a.k IS NOT NULL AS art_hit
         FROM raw_history h LEFT JOIN ids i ON h.spotify_track_uri = i.id
-        LEFT JOIN arts a ON lower(trim(h.artist_name)) = a.k)
+        LEFT JOIN arts a ON {log_key} = a.k)
       , tot AS (
         SELECT COUNT(DISTINCT uri) AS distinct_tracks,
           COUNT(DISTINCT CASE WHEN id_hit THEN uri END) AS matched_tracks,
@@ -240,13 +219,81 @@ _SELECTS: dict[str, str] = {
           AS DECIMAL(38,12)), 2) AS DOUBLE) AS others_pct,
         CAST(round_even(CAST((track_logs + artist_logs) * 100.0 / NULLIF(total_logs, 0) AS DECIMAL(38,12)), 2)
           AS DOUBLE) AS coverage_pct
-      FROM tot""",
+      FROM tot"""
+
+
+_SELECTS: dict[str, str] = {
+    "enriched_events": f"SELECT {ENRICHED_SELECT} FROM enriched",
+    "match_tiers": 'SELECT "timestamp", track_uri, artist_name, tier FROM enriched_tiered',
+    "clean_catalog": f"SELECT id, artists, {_features()}, artist FROM clean_catalog",
+    "clean_history": ("SELECT event_id, ts, ms_played, spotify_track_uri, track_name, album_name, artist_name, "
+                      "shuffle, skipped, reason_end FROM history"),
+    "track_features": f"SELECT id, {_features()} FROM tracks",
+    "artist_features": f"SELECT artist, {', '.join(f'{p6(q(c))} AS {q(c)}' for c in CATALOG_FEATURES)} FROM artists_t",
+    "global_features": f"SELECT {', '.join(f'{p6(q(c))} AS {q(c)}' for c in CATALOG_FEATURES)} FROM global_t",
+    "feature_keys": f"""
+      SELECT 'track:' || id AS "key", 'track' AS scope,
+        {', '.join(f'{p6(f"CAST({q(c)} AS DOUBLE)")} AS {q(c)}' for c in CATALOG_FEATURES)} FROM tracks
+      UNION ALL
+      SELECT 'artist:' || artist, 'artist', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM artists_t
+      UNION ALL
+      SELECT 'global:OTHERS', 'global', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM global_t""",
+    "duplicate_keys": """
+      SELECT spotify_track_uri, COUNT(*) AS n FROM history WHERE spotify_track_uri IS NOT NULL
+      GROUP BY spotify_track_uri HAVING COUNT(*) > 1""",
+    "catalog_id_duplicates": """
+      SELECT id, COUNT(*) AS n FROM clean_catalog WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1""",
+    "orphans": f"""{_ARTIST_PROFILE}
+      SELECT "timestamp", track_uri, artist_name FROM enriched e WHERE e.artist_name IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM artist_profile p WHERE p.artist_name = e.artist_name)""",
+    "coverage_report": _coverage(True),
+    "coverage_exact": _coverage(False),
     "known_tracks": """
       SELECT DISTINCT h.spotify_track_uri AS track_uri FROM raw_history h
       WHERE h.spotify_track_uri IS NOT NULL AND h.spotify_track_uri IN (SELECT id FROM catalog)""",
     "unmatched_logs": """
       SELECT event_id, spotify_track_uri, artist_name FROM raw_history h
       WHERE NOT EXISTS (SELECT 1 FROM catalog c WHERE c.id = h.spotify_track_uri)""",
+    "matched_logs": """
+      SELECT event_id, spotify_track_uri, artist_name FROM raw_history h
+      WHERE EXISTS (SELECT 1 FROM catalog c WHERE c.id = h.spotify_track_uri)""",
+    "distinct_artists": "SELECT DISTINCT artist_name FROM history WHERE artist_name IS NOT NULL",
+    "windowed_leaderboard": """
+      SELECT w AS window_start_time, w + INTERVAL '10 minutes' AS window_end_time, track_uri,
+        first.n AS track_name, first.a AS artist_name, play_count FROM (
+        SELECT time_bucket(INTERVAL '10 minutes', "timestamp") AS w, track_uri,
+          min({'t': "timestamp", 'n': track_name, 'a': artist_name}) AS first, COUNT(*) AS play_count
+        FROM enriched GROUP BY 1, 2)""",
+    "windowed_engagement": f"""
+      SELECT time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start_time,
+        time_bucket(INTERVAL '10 minutes', "timestamp") + INTERVAL '10 minutes' AS window_end_time, track_uri,
+        {p6("avg(completion_rate)")} AS completion_rate,
+        CAST(SUM(CASE WHEN is_skip THEN 1 ELSE 0 END) AS BIGINT) AS skip_count,
+        CAST(SUM(CASE WHEN NOT is_skip THEN 1 ELSE 0 END) AS BIGINT) AS natural_end_count
+      FROM enriched GROUP BY 1, 2, 3""",
+    "artist_engagement": f"""
+      , liked AS (SELECT *, greatest(-1.0, least(1.0, avg_completion - skip_rate)) AS likeability FROM ({_like()}))
+      SELECT artist_name, {p6("avg_completion")} AS avg_completion, {p6("skip_rate")} AS skip_rate, plays,
+        {p6("likeability")} AS likeability FROM liked""",
+    "top_tracks_recent": """
+      , lb AS (
+        SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS w, track_uri,
+          min({'t': "timestamp", 'n': track_name, 'a': artist_name}) AS first, COUNT(*) AS play_count
+        FROM enriched GROUP BY 1, 2)
+      SELECT first.n AS track_name, first.a AS artist_name, CAST(SUM(play_count) AS BIGINT) AS plays
+      FROM lb WHERE w >= (SELECT max(CAST(ts AS TIMESTAMP)) FROM history) - INTERVAL 240 MINUTE
+      GROUP BY 1, 2 ORDER BY plays DESC, track_name, artist_name LIMIT 10""",
+    "events_per_second_recent": """
+      SELECT date_trunc('second', "timestamp") AS sec, COUNT(*) AS events FROM enriched
+      WHERE "timestamp" >= (SELECT max(CAST(ts AS TIMESTAMP)) FROM history) - INTERVAL 2 MINUTE
+      GROUP BY 1 ORDER BY 1""",
+    "mood_timeline_recent": f"""
+      SELECT * FROM (
+        SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS window_start_time,
+          {p6("avg(valence)")} AS avg_valence, {p6("avg(energy)")} AS avg_energy, COUNT(*) AS total_streams
+        FROM enriched GROUP BY 1)
+      WHERE window_start_time >= (SELECT max(CAST(ts AS TIMESTAMP)) FROM history) - INTERVAL 240 MINUTE
+      ORDER BY 1""",
     "leaderboard": """
       SELECT track_uri, first.n AS track_name, first.a AS artist_name, play_count FROM (
         SELECT track_uri, min({'t': "timestamp", 'n': track_name, 'a': artist_name}) AS first,

@@ -103,6 +103,21 @@ def unmatched_logs(w: Workload) -> DataFrame:
     return coverage.unmatched_logs(w.raw_history, w.catalog).select("event_id", "spotify_track_uri", "artist_name")
 
 
+def matched_logs(w: Workload) -> DataFrame:
+    """Raw plays whose track the catalog has (semi join)."""
+    return coverage.matched_logs(w.raw_history, w.catalog).select("event_id", "spotify_track_uri", "artist_name")
+
+
+def coverage_exact(w: Workload) -> DataFrame:
+    """C1 with exact artist matching (the key the enrichment itself uses)."""
+    return coverage.coverage_report(w.raw_history, w.catalog, normalize=False)
+
+
+def distinct_artists(w: Workload) -> DataFrame:
+    """The set of artist names in the cleaned history."""
+    return coverage.distinct_ids(w.history, "artist_name")
+
+
 def leaderboard(w: Workload) -> DataFrame:
     return metrics.leaderboard(w.enriched)
 
@@ -123,6 +138,14 @@ def windowed_mood(w: Workload) -> DataFrame:
     return metrics.windowed_mood(w.enriched, MOOD_WINDOW)
 
 
+def windowed_leaderboard(w: Workload) -> DataFrame:
+    return metrics.windowed_leaderboard(w.enriched, MOOD_WINDOW)
+
+
+def windowed_engagement(w: Workload) -> DataFrame:
+    return metrics.windowed_engagement(w.enriched, MOOD_WINDOW)
+
+
 def kpi(w: Workload) -> DataFrame:
     return panels.kpi(w.enriched, minutes=None)
 
@@ -152,6 +175,11 @@ def likeability(w: Workload) -> DataFrame:
     return panels.likeability(w.enriched, minutes=None, k=10)
 
 
+def artist_engagement(w: Workload) -> DataFrame:
+    """A12 before ranking: completion, skip rate, plays and likeability of every artist."""
+    return panels.artist_engagement(w.enriched, minutes=None)
+
+
 def nostalgia(w: Workload) -> DataFrame:
     return panels.nostalgia(w.enriched, minutes=None)
 
@@ -161,6 +189,17 @@ def top_tracks(w: Workload) -> DataFrame:
     return panels.top_tracks(metrics.windowed_leaderboard(w.enriched, TIMELINE_WINDOW), minutes=None, n=10)
 
 
+def top_tracks_recent(w: Workload) -> DataFrame:
+    """A14 + T1 + P8: the ten most played tracks of the last four hours of hourly rows."""
+    return panels.top_tracks(metrics.windowed_leaderboard(w.enriched, TIMELINE_WINDOW), minutes=RECENT_MINUTES,
+                             as_of=w.as_of, n=10)
+
+
+def events_per_second_recent(w: Workload) -> DataFrame:
+    """A15 + P9: plays per second in the two minutes before the newest play (the panel's default)."""
+    return panels.events_per_second(w.enriched, as_of=w.as_of)
+
+
 def events_per_second(w: Workload) -> DataFrame:
     return panels.events_per_second(w.enriched, minutes=None)
 
@@ -173,6 +212,12 @@ def mood_timeline(w: Workload) -> DataFrame:
     return panels.mood_timeline(metrics.windowed_mood(w.enriched, TIMELINE_WINDOW), minutes=None)
 
 
+def mood_timeline_recent(w: Workload) -> DataFrame:
+    """T6 + P8: hourly mood rows of the last four hours before the newest play."""
+    return panels.mood_timeline(metrics.windowed_mood(w.enriched, TIMELINE_WINDOW), minutes=RECENT_MINUTES,
+                                as_of=w.as_of)
+
+
 def mood_scatter(w: Workload) -> DataFrame:
     return panels.mood_scatter(w.enriched.select(*metrics.SAMPLE_COLUMNS), minutes=None, n=3000)
 
@@ -199,11 +244,12 @@ def global_fallback(w: Workload) -> DataFrame:
 
 _BATCH = [
     enriched_events, match_tiers, clean_catalog, clean_history, track_features, artist_features,
-    global_features, feature_keys, duplicate_keys, catalog_id_duplicates, orphans, coverage_report, known_tracks, unmatched_logs,
-    leaderboard, mood_metrics, engagement, mood_sample, windowed_mood, kpi, kpi_recent, heatmap,
-    heatmap_grid, skip_profile, completion_by_hour, likeability, nostalgia, top_tracks, events_per_second,
-    current_rate, mood_timeline, mood_scatter, mood_quadrants, artist_profile, track_profile, album_dim,
-    global_fallback,
+    global_features, feature_keys, duplicate_keys, catalog_id_duplicates, orphans, coverage_report,
+    coverage_exact, known_tracks, unmatched_logs, matched_logs, distinct_artists, leaderboard, mood_metrics,
+    engagement, mood_sample, windowed_mood, windowed_leaderboard, windowed_engagement, kpi, kpi_recent, heatmap,
+    heatmap_grid, skip_profile, completion_by_hour, artist_engagement, likeability, nostalgia, top_tracks,
+    top_tracks_recent, events_per_second, events_per_second_recent, current_rate, mood_timeline,
+    mood_timeline_recent, mood_scatter, mood_quadrants, artist_profile, track_profile, album_dim, global_fallback,
 ]
 
 
