@@ -21,8 +21,15 @@ def distinct_ids(df: DataFrame, col: str, alias: str | None = None) -> DataFrame
 
 
 def known_tracks(history: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Track uris of the history that the catalog has (set intersection)."""
-    return distinct_ids(history, "spotify_track_uri", "track_uri").intersect(distinct_ids(catalog, "id", "track_uri"))
+    """Track uris of the history that the catalog has (set intersection).
+
+    Written as distinct + semi join on non-null ids: the same set as
+    ``intersect`` without its null-safe key, so the distinct output's
+    partitioning on the uri is reused by the join.
+    """
+    ids = distinct_ids(catalog, "id", "_id")
+    return (distinct_ids(history, "spotify_track_uri", "track_uri")
+            .join(ids, F.col("track_uri") == F.col("_id"), "left_semi"))
 
 
 def catalog_artist_keys(catalog: DataFrame, normalize: bool = True) -> DataFrame:
