@@ -8,6 +8,8 @@ plan (no per-row lookups, no Python):
 * track tier — large (one row per catalog track). Joined by the planner:
   sort-merge on the track id when it is too big to broadcast; AQE splits a
   hot track's partition on the play side (the track side has one row per key).
+  Against a persisted tier (streaming), where AQE cannot split, hot tracks
+  are joined map-side instead (``hot_track_fraction``).
 * artist tier — broadcast only after :func:`broadcast_if_small` has
   measured it; otherwise shuffled like the track tier.
 * global tier — one row, read through scalar subqueries (Spark merges them
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import completion_rate, hour_of_day, is_skip, iso_weekday, parse_ts
 from cadence.operators.sizing import broadcast_if_small
+from cadence.operators.skew import split_hot_join
 from cadence.schemas import ENRICH_FEATURES, ENRICHED_COLUMNS
 
 _INT_TYPES = {"duration_ms": "long", "year": "int"}
@@ -37,21 +40,27 @@ def _tier_value(name: str, tier: Column, g: dict[str, Column]) -> Column:
 
 def enrich(logs: DataFrame, tracks: DataFrame, artists: DataFrame, global_row: DataFrame,
            *, with_tier: bool = False, artist_broadcast_bytes: int | None = None,
-           extra: list[str] | None = None) -> DataFrame:
+           extra: list[str] | None = None, hot_track_fraction: float | None = None) -> DataFrame:
     """Enriched plays (ENRICHED_SCHEMA order); ``with_tier`` adds the J2 label column ``tier``.
 
     ``logs`` has the log-record columns (ts text, ms_played, spotify_track_uri,
     track_name, album_name, artist_name, skipped, reason_end). Rows whose ts
     cannot be parsed get a null timestamp; use :func:`split_quarantine` first.
     ``extra`` names input columns to carry through (e.g. a batch id).
+    ``hot_track_fraction`` joins tracks holding at least that share of the
+    plays map-side (:func:`split_hot_join`); use it where AQE cannot split
+    skew, i.e. against a persisted track tier, with ``logs`` persisted.
     """
     t = tracks.select(F.col("id").alias("_t_key"), *[F.col(f).alias(f"_t_{f}") for f in ENRICH_FEATURES])
     a = artists.select(F.col("artist").alias("_a_key"), *[F.col(f).alias(f"_a_{f}") for f in ENRICH_FEATURES])
     a = broadcast_if_small(a, artist_broadcast_bytes)
     g = {f: global_row.select(F.col(f)).scalar() for f in ENRICH_FEATURES}
 
-    j = (logs.join(t, F.col("spotify_track_uri") == F.col("_t_key"), "left")
-         .join(a, F.col("artist_name") == F.col("_a_key"), "left"))
+    if hot_track_fraction:
+        j = split_hot_join(logs, t, "spotify_track_uri", "_t_key", "left", hot_track_fraction)
+    else:
+        j = logs.join(t, F.col("spotify_track_uri") == F.col("_t_key"), "left")
+    j = j.join(a, F.col("artist_name") == F.col("_a_key"), "left")
     tier = (F.when(F.col("_t_key").isNotNull(), F.lit("track"))
             .when(F.col("_a_key").isNotNull(), F.lit("artist"))
             .otherwise(F.lit("others")))

@@ -77,15 +77,20 @@ def _write_all(sink, tables: list[tuple[DataFrame, str]], batch_id: int, paralle
             f.result()
 
 
+HOT_TRACK_FRACTION = 0.01
+
+
 def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
                   sample_n: int = 200, sample_mode: str = "limit", when: dt.datetime | None = None,
-                  parallel_writes: bool = True) -> bool:
+                  parallel_writes: bool = True, hot_track_fraction: float | None = HOT_TRACK_FRACTION) -> bool:
     """One micro-batch -> events, leaderboard, mood, engagement, samples (+ quarantine).
 
     Returns False for an empty batch (nothing written, P13). The six writes
     read the same persisted enriched batch and run as concurrent jobs; each
     is idempotent per ``batch_id``, so a failure in one is repaired by the
-    batch's retry without duplicating the others.
+    batch's retry without duplicating the others. Tracks with at least
+    ``hot_track_fraction`` of the batch's plays are joined map-side, since
+    AQE cannot split skew against the persisted track tier.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -93,8 +98,8 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
             return False
         raw_col = "raw" if "raw" in batch.columns else None
         valid, bad = split_quarantine(batch, raw_col=raw_col)
-        enriched = enrich(valid, store.tracks, store.artists, store.global_row,
-                          artist_broadcast_bytes=-1).persist(StorageLevel.MEMORY_AND_DISK)
+        enriched = enrich(valid, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1,
+                          hot_track_fraction=hot_track_fraction).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stamp = batch_stamp(when)
             tables = [

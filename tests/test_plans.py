@@ -125,3 +125,29 @@ def test_lookback_prunes_result_partitions(spark, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ >= ", plan)
     assert df.first().total_events == 3
+
+
+def test_hot_track_split_against_persisted_tier(spark):
+    """Against the persisted track tier (no AQE split possible) the hot track is joined map-side."""
+    from pyspark import StorageLevel
+
+    from cadence.operators.enrich import enrich
+    from cadence.operators.skew import hot_keys
+    old = _no_broadcast(spark)
+    w = Workload(spark, SF_SMALL)
+    store = FeatureStore.prepare(w.tracks, w.artists, w.global_row, max_broadcast_bytes=1)
+    try:
+        h = w.history
+        hot = h.where(F.col("event_id") % 3 == 0).withColumn("spotify_track_uri", F.lit("t1"))
+        skewed = h.where(F.col("event_id") % 3 != 0).unionByName(hot).persist(StorageLevel.MEMORY_AND_DISK)
+        assert [r[0] for r in hot_keys(skewed, "spotify_track_uri", 0.1).collect()] == ["t1"]
+        plain = enrich(skewed, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1)
+        split = enrich(skewed, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1,
+                       hot_track_fraction=0.1)
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [spotify_track_uri" in plan and "SortMergeJoin [spotify_track_uri" in plan
+        skewed.unpersist()
+    finally:
+        store.release()
+        _restore(spark, old)
