@@ -50,9 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the configured checkpoint folder; set ``fallback`` only where none is set (tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        # spark.checkpoint.dir cannot change at runtime; the context's folder can
         spark.sparkContext.setCheckpointDir(fallback)
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        d = fallback
+        d = spark.sparkContext.getCheckpointDir() or fallback
     return d.rstrip("/")
 
 
