@@ -140,6 +140,8 @@ def start_stream_job(logs: DataFrame, store: FeatureStore, sink, checkpoint: str
 
 _RUNS: dict[tuple[str, str], str] = {}
 REPLAY_FILES = 4
+STREAM_WINDOW = "10 minutes"
+STREAM_WATERMARK = "1 hour"
 
 
 def stream_run(spark: SparkSession, sf_dir: str) -> str:
@@ -152,7 +154,9 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     from cadence.plans.workload import Workload
     from cadence.session import run_folder
     from cadence.sources.files import load_feature_store
+    from cadence.streaming.progress import progress_metrics
     from cadence.streaming.replay import replay_stream, write_replay_files
+    from cadence.streaming.windows import enriched_stream, start_windowed
 
     key = (sf_dir, spark.sparkContext.applicationId)
     if key in _RUNS:
@@ -163,14 +167,25 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     tracks, artists, global_row = load_feature_store(spark, os.path.join(root, "store"), catalog=w.catalog)
     store = FeatureStore.prepare(tracks, artists, global_row)
     sink = TableSink(os.path.join(root, "tables"))
-    logs = replay_stream(spark, os.path.join(root, "input"), files_per_trigger=1)
-    q = start_stream_job(logs, store, sink, os.path.join(root, "_checkpoint"), trigger={"availableNow": True})
+    inp = os.path.join(root, "input")
     try:
+        q = start_stream_job(replay_stream(spark, inp, files_per_trigger=1), store, sink,
+                             os.path.join(root, "_checkpoint"), trigger={"availableNow": True})
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream failed: {q.exception()}")
+        # The same replay through event-time windows with a watermark (stateful, append mode)
+        wq = start_windowed(enriched_stream(replay_stream(spark, inp, files_per_trigger=1), store, STREAM_WATERMARK),
+                            os.path.join(root, "windowed_mood"), os.path.join(root, "_checkpoint_windowed"),
+                            kind="mood", size=STREAM_WINDOW, trigger={"availableNow": True})
+        wq.awaitTermination()
+        if wq.exception() is not None:
+            raise RuntimeError(f"windowed stream failed: {wq.exception()}")
     finally:
         store.release()
+    # The main query's progress reports (one per micro-batch) as system metrics.
+    # A long-running job uses streaming.progress.ProgressRecorder instead.
+    sink.write(progress_metrics(spark, q.recentProgress), "system_metrics")
     _RUNS[key] = root
     return root
 
@@ -202,6 +217,21 @@ def stream_mood_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                  present(F.sum("sum_energy") / n).alias("avg_energy"))
 
 
+def stream_windowed_mood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 in streaming: every 10-minute window the final watermark has closed, emitted once."""
+    from cadence.plans.registry import show
+    root = stream_run(spark, sf_dir)
+    out = spark.read.parquet(os.path.join(root, "windowed_mood"))
+    return show(out.select("window_start_time", "window_end_time", "avg_valence", "avg_energy", "total_streams",
+                           "sum_valence", "sum_energy"))
+
+
+def stream_system_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One system-metrics row per micro-batch that had input (rate and processing delay)."""
+    return _sink(spark, sf_dir).read(spark, "system_metrics").select(
+        "batch_id", "events_per_second", "spark_processing_delay_ms")
+
+
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per batch in the events table (one row per non-empty micro-batch)."""
     ev = _sink(spark, sf_dir).read(spark, "realtime_streaming_events")
@@ -214,6 +244,8 @@ def stream_queries() -> dict:
         "stream_engagement_totals": stream_engagement_totals,
         "stream_mood_totals": stream_mood_totals,
         "stream_batches": stream_batches,
+        "stream_windowed_mood": stream_windowed_mood,
+        "stream_system_metrics": stream_system_metrics,
     }
 
 
@@ -228,6 +260,14 @@ def stream_oracle() -> dict[str, str]:
         "stream_mood_totals": PRELUDE + f"""
             SELECT COUNT(*) AS total_streams, {p6("avg(valence)")} AS avg_valence,
               {p6("avg(energy)")} AS avg_energy FROM enriched""",
+        "stream_windowed_mood": PRELUDE + f"""
+            SELECT * FROM (
+              SELECT time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start_time,
+                time_bucket(INTERVAL '10 minutes', "timestamp") + INTERVAL '10 minutes' AS window_end_time,
+                {p6("avg(valence)")} AS avg_valence, {p6("avg(energy)")} AS avg_energy, COUNT(*) AS total_streams,
+                {p6("sum(valence)")} AS sum_valence, {p6("sum(energy)")} AS sum_energy
+              FROM enriched GROUP BY 1, 2)
+            WHERE window_end_time <= (SELECT max("timestamp") FROM enriched) - INTERVAL 1 HOUR""",
     }
 
 
