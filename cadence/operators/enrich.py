@@ -40,7 +40,8 @@ def _tier_value(name: str, tier: Column, g: dict[str, Column]) -> Column:
 
 def enrich(logs: DataFrame, tracks: DataFrame, artists: DataFrame, global_row: DataFrame,
            *, with_tier: bool = False, artist_broadcast_bytes: int | None = None,
-           extra: list[str] | None = None, hot_track_fraction: float | None = None) -> DataFrame:
+           extra: list[str] | None = None, hot_track_fraction: float | None = None,
+           log_rows: int | None = None) -> DataFrame:
     """Enriched plays (ENRICHED_SCHEMA order); ``with_tier`` adds the J2 label column ``tier``.
 
     ``logs`` has the log-record columns (ts text, ms_played, spotify_track_uri,
@@ -49,7 +50,8 @@ def enrich(logs: DataFrame, tracks: DataFrame, artists: DataFrame, global_row: D
     ``extra`` names input columns to carry through (e.g. a batch id).
     ``hot_track_fraction`` joins tracks holding at least that share of the
     plays map-side (:func:`split_hot_join`); use it where AQE cannot split
-    skew, i.e. against a persisted track tier, with ``logs`` persisted.
+    skew, i.e. against a persisted track tier, with ``logs`` persisted
+    (``log_rows``: its row count, when known).
     """
     t = tracks.select(F.col("id").alias("_t_key"), *[F.col(f).alias(f"_t_{f}") for f in ENRICH_FEATURES])
     a = artists.select(F.col("artist").alias("_a_key"), *[F.col(f).alias(f"_a_{f}") for f in ENRICH_FEATURES])
@@ -57,7 +59,7 @@ def enrich(logs: DataFrame, tracks: DataFrame, artists: DataFrame, global_row: D
     g = {f: global_row.select(F.col(f)).scalar() for f in ENRICH_FEATURES}
 
     if hot_track_fraction:
-        j = split_hot_join(logs, t, "spotify_track_uri", "_t_key", "left", hot_track_fraction)
+        j = split_hot_join(logs, t, "spotify_track_uri", "_t_key", "left", hot_track_fraction, left_rows=log_rows)
     else:
         j = logs.join(t, F.col("spotify_track_uri") == F.col("_t_key"), "left")
     j = j.join(a, F.col("artist_name") == F.col("_a_key"), "left")

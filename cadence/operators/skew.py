@@ -21,16 +21,20 @@ from cadence.operators.sizing import broadcast_if_small
 HOT_KEY = "_hot_key"
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Keys of ``df`` that hold at least ``fraction`` of its rows (at most ``1/fraction`` keys)."""
-    n = df.count()
+def hot_keys(df: DataFrame, key: str, fraction: float, rows: int | None = None) -> DataFrame:
+    """Keys of ``df`` that hold at least ``fraction`` of its rows (at most ``1/fraction`` keys).
+
+    ``rows`` is the row count of ``df`` when the caller already has it.
+    """
+    n = df.count() if rows is None else rows
     threshold = max(1, math.ceil(n * fraction))
     return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") >= threshold).select(F.col(key).alias(HOT_KEY)))
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",
-                   fraction: float = 0.01, max_broadcast_bytes: int | None = None) -> DataFrame:
+                   fraction: float = 0.01, max_broadcast_bytes: int | None = None,
+                   left_rows: int | None = None) -> DataFrame:
     """``left.join(right, left_key == right_key, how)`` with hot keys joined map-side.
 
     ``left`` is read three times (hot-key count, hot rows, other rows):
@@ -38,7 +42,7 @@ def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(left, left_key, fraction))          # <= 1/fraction rows
+    hot = F.broadcast(hot_keys(left, left_key, fraction, left_rows))   # <= 1/fraction rows
     flagged = left.join(hot, F.col(left_key) == F.col(HOT_KEY), "left")
     hot_rows = flagged.where(F.col(HOT_KEY).isNotNull()).drop(HOT_KEY)
     cold_rows = flagged.where(F.col(HOT_KEY).isNull()).drop(HOT_KEY)

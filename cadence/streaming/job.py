@@ -78,6 +78,9 @@ def _write_all(sink, tables: list[tuple[DataFrame, str]], batch_id: int, paralle
 
 
 HOT_TRACK_FRACTION = 0.01
+# Below this many plays a batch is joined without the hot-key split: a third of
+# a small batch in one task is no straggler, and the split costs two small jobs.
+HOT_SPLIT_MIN_ROWS = 1_000_000
 
 
 def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
@@ -88,18 +91,21 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
     Returns False for an empty batch (nothing written, P13). The six writes
     read the same persisted enriched batch and run as concurrent jobs; each
     is idempotent per ``batch_id``, so a failure in one is repaired by the
-    batch's retry without duplicating the others. Tracks with at least
-    ``hot_track_fraction`` of the batch's plays are joined map-side, since
-    AQE cannot split skew against the persisted track tier.
+    batch's retry without duplicating the others. In batches of at least
+    ``HOT_SPLIT_MIN_ROWS`` plays, tracks with ``hot_track_fraction`` of the
+    plays are joined map-side, since AQE cannot split skew against the
+    persisted track tier.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.isEmpty():
+        rows = batch.count()                      # also fills the cache
+        if rows == 0:
             return False
         raw_col = "raw" if "raw" in batch.columns else None
         valid, bad = split_quarantine(batch, raw_col=raw_col)
+        split = hot_track_fraction if rows >= HOT_SPLIT_MIN_ROWS else None
         enriched = enrich(valid, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1,
-                          hot_track_fraction=hot_track_fraction).persist(StorageLevel.MEMORY_AND_DISK)
+                          hot_track_fraction=split, log_rows=rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stamp = batch_stamp(when)
             tables = [

@@ -55,7 +55,9 @@ def test_stream_equals_batch_and_restart(spark, scratch):
     store.release()
 
 
-def test_replayed_batch_is_idempotent_and_quarantines(spark, scratch):
+def test_replayed_batch_is_idempotent_and_quarantines(spark, scratch, monkeypatch):
+    import cadence.streaming.job as job
+    monkeypatch.setattr(job, "HOT_SPLIT_MIN_ROWS", 0)      # take the hot-key split path too
     w, store = _setup(spark, scratch)
     lines = [r.value for r in w.history.limit(20).select(F.to_json(F.struct("*")).alias("value")).collect()]
     lines += ["junk", '{"ts":"bad"}']
