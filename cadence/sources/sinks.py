@@ -92,6 +92,20 @@ class TableSink:
             w = w.partitionBy(*parts)
         w.parquet(self.path(name))
 
+    def create(self, spark: SparkSession, name: str) -> bool:
+        """S12 ``CREATE TABLE IF NOT EXISTS``: write an empty table of the contract; False if it exists."""
+        try:
+            spark.read.parquet(self.path(name)).schema  # noqa: B018 (lists the files only)
+            return False
+        except AnalysisException:
+            self.recreate(spark, name)
+            return True
+
+    def recreate(self, spark: SparkSession, name: str) -> None:
+        """S12 ``DROP TABLE`` + ``CREATE TABLE``: replace the table by an empty one of its contract."""
+        schema = T.StructType(list(contract(name).fields))
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(self.path(name))
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         """The table, or an empty frame of its contract when it does not exist yet.
 

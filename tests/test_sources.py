@@ -120,3 +120,14 @@ def test_progress_rows_to_sink(spark, scratch):
     assert rec.flush(spark, sink) == 2
     rows = sink.read(spark, "system_metrics").collect()
     assert [(x.batch_id, x.events_per_second) for x in rows] == [(3, 25)]
+
+
+def test_table_create_and_recreate(spark, scratch):
+    sink = TableSink(scratch)
+    assert sink.create(spark, "albums")
+    assert not sink.create(spark, "albums")
+    rows = spark.createDataFrame([("al", "A", 1999)], "album_name string, artist_name string, year int")
+    sink.write(conform(rows, "albums"), "albums")
+    assert sink.read(spark, "albums").count() == 1
+    sink.recreate(spark, "albums")
+    assert sink.read(spark, "albums").count() == 0
