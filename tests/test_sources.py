@@ -131,3 +131,21 @@ def test_table_create_and_recreate(spark, scratch):
     assert sink.read(spark, "albums").count() == 1
     sink.recreate(spark, "albums")
     assert sink.read(spark, "albums").count() == 0
+
+
+def test_refresh_dimensions(spark, scratch):
+    from cadence.plans.refresh import refresh_dimensions
+    w = Workload(spark, SF_SMALL)
+    sink = TableSink(scratch)
+    refresh_dimensions(sink, w.enriched, w.clean_catalog)
+    tracks = sink.read(spark, "tracks")
+    rejects = spark.read.parquet(sink.path("tracks_rejects"))
+    assert tracks.count() + rejects.count() == w.clean_catalog.count()
+    assert tracks.where(F.col("track_name").isNull()).count() == 0
+    assert str(tracks.schema["tempo"].dataType) == "DecimalType(7,3)"
+    artists = sink.read(spark, "artists")
+    assert artists.count() == w.artists.count()
+    assert artists.agg(F.sum("total_play_count")).first()[0] == w.enriched.where(
+        F.col("artist_name").isin([r.artist for r in w.artists.collect()])).count()
+    g = sink.read(spark, "global_fallback_metrics").first()
+    assert g.name == "Others"
