@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions import clip, lookback, mood_quadrant, ratio, skip_rate, truncate_second, weekday_label
+from cadence.functions import clip, lookback, mood_quadrant, skip_rate, truncate_second, weekday_label
 
 DEFAULT_MINUTES = 30
 
@@ -173,5 +173,5 @@ def latest(df: DataFrame, ts: str = "timestamp") -> Column:
 __all__ = [
     "kpi", "mood_timeline", "heatmap", "heatmap_grid", "skip_profile", "completion_by_hour",
     "artist_engagement", "likeability", "nostalgia", "top_tracks", "events_per_second",
-    "current_rate", "mood_scatter", "mood_quadrants", "latest", "ratio",
+    "current_rate", "mood_scatter", "mood_quadrants", "latest",
 ]

@@ -13,7 +13,6 @@ from cadence.schemas import CATALOG_FEATURES
 
 DOUBLE_FEATURES = ["valence", "energy", "danceability", "acousticness", "instrumentalness", "liveness",
                    "loudness", "speechiness", "tempo"]
-INT_FEATURES = ["popularity", "duration_ms", "explicit", "year"]
 
 
 def r4(x: str) -> str:
@@ -134,16 +133,16 @@ WEEKDAY_CASE = ("CASE day_of_week WHEN 1 THEN 'Mon' WHEN 2 THEN 'Tue' WHEN 3 THE
                 "WHEN 5 THEN 'Fri' WHEN 6 THEN 'Sat' WHEN 7 THEN 'Sun' END")
 
 
-def _features(prefix: str = "", rounding=p6) -> str:
-    return ", ".join(f"{rounding(q(c))} AS {prefix}{q(c)}" if c in DOUBLE_FEATURES or prefix else q(c)
-                     for c in CATALOG_FEATURES)
+def _features() -> str:
+    """The 13 catalog features: doubles shown at 6 places, whole numbers as they are."""
+    return ", ".join(f"{p6(q(c))} AS {q(c)}" if c in DOUBLE_FEATURES else q(c) for c in CATALOG_FEATURES)
 
 
-def _like(where: str = "") -> str:
+def _like() -> str:
     return f"""
   SELECT artist_name, avg(completion_rate) AS avg_completion, {SKIP_RATE} AS skip_rate,
     COUNT(*) AS plays
-  FROM enriched WHERE artist_name IS NOT NULL {where} GROUP BY artist_name HAVING COUNT(*) >= 1"""
+  FROM enriched WHERE artist_name IS NOT NULL GROUP BY artist_name HAVING COUNT(*) >= 1"""
 
 
 _LIKE = f"""

@@ -33,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cadence.operators.enrich import enrich, split_quarantine
 from cadence.operators.metrics import engagement, leaderboard, mood_metrics, mood_sample
 from cadence.operators.sizing import broadcast_if_small
-from cadence.schemas import LOG_SCHEMA, TS_FORMAT
+from cadence.schemas import TS_FORMAT
 from cadence.sources.sinks import TableSink, conform
 
 
@@ -277,5 +277,5 @@ def stream_oracle() -> dict[str, str]:
     }
 
 
-__all__ = ["FeatureStore", "process_batch", "start_stream_job", "batch_stamp", "stream_queries",
-           "stream_oracle", "LOG_SCHEMA"]
+__all__ = ["FeatureStore", "process_batch", "start_stream_job", "batch_stamp", "stream_run", "stream_queries",
+           "stream_oracle"]
