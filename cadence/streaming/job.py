@@ -238,6 +238,18 @@ def stream_system_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "batch_id", "events_per_second", "spark_processing_delay_ms")
 
 
+def stream_top_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 + T1 read from the streamed leaderboard table (per-batch counts merged), as the dashboard does."""
+    from cadence.plans.dashboard import dashboard
+    return dashboard(spark, _sink(spark, sf_dir), minutes=None)["top_tracks"]
+
+
+def stream_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 read from the streamed events table."""
+    from cadence.plans.dashboard import dashboard
+    return dashboard(spark, _sink(spark, sf_dir), minutes=None)["heatmap"]
+
+
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per batch in the events table (one row per non-empty micro-batch)."""
     ev = _sink(spark, sf_dir).read(spark, "realtime_streaming_events")
@@ -252,6 +264,8 @@ def stream_queries() -> dict:
         "stream_batches": stream_batches,
         "stream_windowed_mood": stream_windowed_mood,
         "stream_system_metrics": stream_system_metrics,
+        "stream_top_tracks": stream_top_tracks,
+        "stream_heatmap": stream_heatmap,
     }
 
 
@@ -274,6 +288,11 @@ def stream_oracle() -> dict[str, str]:
                 {p6("sum(valence)")} AS sum_valence, {p6("sum(energy)")} AS sum_energy
               FROM enriched GROUP BY 1, 2)
             WHERE window_end_time <= (SELECT max("timestamp") FROM enriched) - INTERVAL 1 HOUR""",
+        "stream_top_tracks": PRELUDE + """
+            SELECT track_name, artist_name, COUNT(*) AS plays FROM enriched
+            GROUP BY track_name, artist_name ORDER BY plays DESC, track_name, artist_name LIMIT 10""",
+        "stream_heatmap": PRELUDE + """
+            SELECT day_of_week, hour_of_day, COUNT(*) AS plays FROM enriched GROUP BY day_of_week, hour_of_day""",
     }
 
 

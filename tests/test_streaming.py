@@ -52,6 +52,17 @@ def test_stream_equals_batch_and_restart(spark, scratch):
     assert _counts(lb) == batch
     assert sink.read(spark, "realtime_streaming_events").count() == w.enriched.count()
     assert sink.read(spark, "quarantine").count() == 0
+
+    # the dashboard over the streamed tables, last 30 minutes before the newest play
+    from cadence.plans.dashboard import dashboard
+    newest = sink.read(spark, "realtime_streaming_events").agg(F.max("timestamp")).first()[0]
+    as_of = F.lit(newest.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    board = dashboard(spark, sink, minutes=30, as_of=as_of)
+    recent = w.enriched.where(F.col("timestamp") >= F.lit(newest) - F.expr("INTERVAL 30 MINUTES")).count()
+    assert board["kpi"].first().total_events == recent
+    assert sum(r.plays for r in board["heatmap"].collect()) == recent
+    for name, df in board.items():
+        df.collect()
     store.release()
 
 
