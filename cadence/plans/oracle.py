@@ -69,7 +69,8 @@ raw_history AS (
     CASE WHEN e.user_id % 2 = 0 THEN 'TRUE' ELSE 'false' END AS shuffle,
     CASE WHEN e.event_type = 'error' THEN 'True' WHEN e.event_type = 'signup' THEN NULL ELSE 'FALSE' END AS skipped,
     CASE e.event_type WHEN 'click' THEN 'ForwardSkipBtn' WHEN 'view' THEN 'trackdone' END AS reason_end
-  FROM events e JOIN part p ON p.p_partkey = (e.event_id * 7 + e.user_id) % (SELECT count(*) FROM part)
+  FROM (SELECT *, (event_id * 7 + user_id) % (SELECT count(*) FROM part) AS pk FROM events) e
+  JOIN part p ON p.p_partkey = e.pk
 ),
 clean_catalog AS (
   SELECT id, artists, {", ".join(q(c) for c in CATALOG_FEATURES)}, {FIRST_ARTIST} AS artist
