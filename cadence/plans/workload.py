@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.session import run_folder, shared_dir
+from cadence.session import app_id, run_folder, shared_dir
 from cadence.operators import enrich as enr
 from cadence.operators import prepare
 from cadence.sources.fixtures import catalog_from_part, history_from_events, read_table
@@ -33,7 +33,7 @@ class Workload:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workload":
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (app_id(spark), sf_dir)
         w = cls._shared.get(key)
         if w is None or w.spark is not spark:
             w = cls._shared[key] = cls(spark, sf_dir)

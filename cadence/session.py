@@ -34,13 +34,29 @@ def build_session(master: str | None = None, app: str = "cadence", shuffle_parti
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id, read from the session conf (works for classic and Connect sessions)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # a Connect session has no SparkContext
+        return None
+
+
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Raises when none is configured: callers on a cluster must name a shared
     folder; tests set one explicitly with :func:`ensure_checkpoint_dir`.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = configured_checkpoint_dir(spark)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     return d.rstrip("/")
@@ -48,11 +64,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the configured checkpoint folder; set ``fallback`` only where none is set (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = configured_checkpoint_dir(spark)
     if not d:
         # spark.checkpoint.dir cannot change at runtime; the context's folder can
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = spark.sparkContext.getCheckpointDir() or fallback
+        try:
+            spark.sparkContext.setCheckpointDir(fallback)
+            d = spark.sparkContext.getCheckpointDir() or fallback
+        except Exception:  # Connect session: use the folder for our own tables only
+            d = fallback
     return d.rstrip("/")
 
 
@@ -62,10 +81,10 @@ def shared_dir(spark: SparkSession) -> str | None:
     Returns None on a cluster without ``spark.checkpoint.dir``: callers then
     keep their work in the plan instead of writing intermediate tables.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = configured_checkpoint_dir(spark)
     if d:
         return d.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if (spark.conf.get("spark.master", None) or "").startswith("local"):
         import tempfile
         return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="cadence-checkpoints-"))
     return None

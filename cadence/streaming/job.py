@@ -158,13 +158,13 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     stream, and processed with ``availableNow``.
     """
     from cadence.plans.workload import Workload
-    from cadence.session import run_folder
+    from cadence.session import app_id, run_folder
     from cadence.sources.files import load_feature_store
     from cadence.streaming.progress import progress_metrics
     from cadence.streaming.replay import replay_stream, write_replay_files
     from cadence.streaming.windows import enriched_stream, start_windowed
 
-    key = (sf_dir, spark.sparkContext.applicationId)
+    key = (sf_dir, app_id(spark))
     if key in _RUNS:
         return _RUNS[key]
     root = run_folder(spark, "stream")
