@@ -39,14 +39,20 @@ def duck():
 
 NAMES = list(oracle_sql())   # batch queries and the stream = batch checks
 
+# Spark type -> DuckDB type the oracle must produce for the same column
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
-    res = duck.execute(oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
+    rel = duck.sql(oracle_sql()[name])
+    ocols = rel.columns
     assert sorted(df.columns) == sorted(ocols)
-    assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(ocols, [str(t) for t in rel.types]))
+    assert _rows(df.columns, df.collect()) == _rows(ocols, rel.fetchall())
 
 
 def test_every_query_has_an_oracle_or_is_streamed():
