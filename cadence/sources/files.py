@@ -59,6 +59,22 @@ def write_feature_store(tracks: DataFrame, artists: DataFrame, global_row: DataF
     global_row.coalesce(1).write.mode("overwrite").format(fmt).save(os.path.join(path, "global"))
 
 
+def write_bucketed_tracks(tracks: DataFrame, path: str, table: str, buckets: int) -> None:
+    """The track tier as a bucketed table (``buckets`` hash buckets on ``id``, sorted within each).
+
+    A later join on the track id reads the tier bucket by bucket and shuffles
+    only the other side into the same buckets: the tier is never shuffled
+    again, however often it is joined. The table is external (files under
+    ``path``); its bucket layout is kept in the session catalog.
+    """
+    (tracks.write.mode("overwrite").option("path", os.path.join(path, "tracks_bucketed"))
+     .bucketBy(buckets, "id").sortBy("id").saveAsTable(table))
+
+
+def read_bucketed_tracks(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table)
+
+
 def store_exists(spark: SparkSession, path: str) -> bool:
     """True when all three tiers have been written under ``path``."""
     try:

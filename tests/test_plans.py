@@ -151,3 +151,24 @@ def test_hot_track_split_against_persisted_tier(spark):
     finally:
         store.release()
         _restore(spark, old)
+
+
+def test_bucketed_track_tier_is_not_shuffled(spark, scratch):
+    """With the track tier bucketed on its id, the enrichment join shuffles only the plays."""
+    from cadence.operators.enrich import enrich
+    from cadence.sources.files import read_bucketed_tracks, write_bucketed_tracks
+    old = _no_broadcast(spark)
+    try:
+        w = Workload(spark, SF_SMALL)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        write_bucketed_tracks(w.tracks, scratch, "cadence_test_tracks", n)
+        tracks = read_bucketed_tracks(spark, "cadence_test_tracks")
+        e = enrich(w.history, tracks, w.artists, w.global_row, artist_broadcast_bytes=-1)
+        plan = e._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [spotify_track_uri" in plan
+        assert not re.search(r"Exchange hashpartitioning\((id|_t_key)#\d+", plan)
+        assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan
+        assert e.count() == w.enriched.count()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS cadence_test_tracks")
+        _restore(spark, old)
