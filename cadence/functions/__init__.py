@@ -4,6 +4,7 @@ from cadence.functions.expressions import (  # noqa: F401
     first_artist,
     format_ts,
     hour_of_day,
+    instant_wallclock,
     is_skip,
     iso_weekday,
     lookback,
@@ -19,5 +20,6 @@ from cadence.functions.expressions import (  # noqa: F401
     to_json_row,
     truncate_second,
     truthy_text,
+    wallclock_instant,
     weekday_label,
 )

@@ -88,6 +88,28 @@ def truncate_second(ts: str | Column) -> Column:
     return F.to_timestamp_ntz(F.date_format(_c(ts), TS_FORMAT), F.lit(TS_FORMAT))
 
 
+_EPOCH_DATE = "1970-01-01"
+
+
+def wallclock_instant(ts: str | Column) -> Column:
+    """Wall-clock ``timestamp_ntz`` -> the instant whose UTC reading is that wall clock.
+
+    Built from the date and time fields by epoch arithmetic, so no session
+    zone takes part (a plain cast would read the wall clock in the session
+    zone). Whole seconds; used where Spark needs a zoned timestamp (watermarks).
+    """
+    t = _c(ts)
+    days = F.datediff(F.to_date(t), F.lit(_EPOCH_DATE).cast("date")).cast("long")
+    secs = days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return F.timestamp_seconds(secs)
+
+
+def instant_wallclock(ts: str | Column) -> Column:
+    """Inverse of :func:`wallclock_instant`: an instant -> its UTC wall clock as ``timestamp_ntz``."""
+    secs = F.unix_seconds(_c(ts))
+    return F.lit(f"{_EPOCH_DATE} 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
+
+
 def format_ts(ts: str | Column) -> Column:
     """Timestamp -> ``yyyy-MM-dd HH:mm:ss`` text (fraction dropped)."""
     return F.date_format(_c(ts), TS_FORMAT)

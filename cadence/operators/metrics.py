@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cadence.functions import instant_wallclock
 
 
 def _stamp(df: DataFrame, batch_time: Column | None) -> DataFrame:
@@ -94,8 +97,11 @@ def _windowed(events: DataFrame, size: str, time_col: str) -> DataFrame:
 def _unwindow(df: DataFrame) -> DataFrame:
     # bounds are reported as wall-clock times, like the plays' own timestamps
     cols = [c for c in df.columns if c != "_w"]
-    return df.select(F.col("_w.start").cast("timestamp_ntz").alias("window_start_time"),
-                     F.col("_w.end").cast("timestamp_ntz").alias("window_end_time"), *cols)
+    zoned = isinstance(df.schema["_w"].dataType["start"].dataType, T.TimestampType)
+    start, end = F.col("_w.start"), F.col("_w.end")
+    if zoned:   # windows over wallclock_instant(timestamp): map the bounds back without a zone
+        start, end = instant_wallclock(start), instant_wallclock(end)
+    return df.select(start.alias("window_start_time"), end.alias("window_end_time"), *cols)
 
 
 def windowed_mood(events: DataFrame, size: str = "10 minutes", time_col: str = "timestamp") -> DataFrame:

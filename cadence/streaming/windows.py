@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cadence.functions import wallclock_instant
 from cadence.operators.enrich import enrich, split_quarantine
 from cadence.operators.metrics import windowed_engagement, windowed_leaderboard, windowed_mood
 
@@ -25,12 +26,13 @@ EVENT_TIME = "event_time"
 def enriched_stream(logs: DataFrame, store, watermark: str = "10 minutes") -> DataFrame:
     """Stream-static enrichment of the parsed log stream, with an event-time watermark.
 
-    Watermarks need a zoned timestamp, so ``event_time`` is the play's
-    wall-clock ``timestamp`` read in the session zone (UTC in this engine).
+    Watermarks need a zoned timestamp, so ``event_time`` is the instant whose
+    UTC reading is the play's wall-clock ``timestamp`` (no session zone involved);
+    window bounds are mapped back to wall-clock times.
     """
     valid, _ = split_quarantine(logs, raw_col="raw" if "raw" in logs.columns else None)
     e = enrich(valid, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1)
-    return e.withColumn(EVENT_TIME, F.col("timestamp").cast("timestamp")).withWatermark(EVENT_TIME, watermark)
+    return e.withColumn(EVENT_TIME, wallclock_instant("timestamp")).withWatermark(EVENT_TIME, watermark)
 
 
 def windowed_metrics(enriched: DataFrame, kind: str = "mood", size: str = "1 minute") -> DataFrame:

@@ -73,3 +73,19 @@ def test_lookback(spark):
 def test_truncate_second_stays_wall_clock(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 1, 999),)], "t timestamp_ntz")
     assert df.select(cf.truncate_second("t")).first()[0] == dt.datetime(2024, 3, 31, 2, 30, 1)
+
+
+def test_wallclock_instant_round_trip_in_any_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kathmandu"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            rows = [(dt.datetime(2024, 3, 10, 2, 30, 5),), (dt.datetime(2024, 11, 3, 1, 30, 0),)]
+            df = spark.createDataFrame(rows, "t timestamp_ntz").select(
+                "t", F.unix_seconds(cf.wallclock_instant("t")).alias("s"),
+                cf.instant_wallclock(cf.wallclock_instant("t")).alias("back"))
+            for r in df.collect():
+                assert r.back == r.t
+                assert r.s == int(r.t.replace(tzinfo=dt.timezone.utc).timestamp())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -98,9 +98,14 @@ def test_windowed_stream_with_watermark(spark, scratch):
     inp = os.path.join(scratch, "input")
     write_replay_files(w.history, inp, 3)
     out, ck = os.path.join(scratch, "win"), os.path.join(scratch, "winck")
-    q = start_windowed(enriched_stream(replay_stream(spark, inp), store, "1 hour"), out, ck, kind="mood",
-                       size="1 day", trigger={"availableNow": True})
-    q.awaitTermination()
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # windows must not depend on it
+    try:
+        q = start_windowed(enriched_stream(replay_stream(spark, inp), store, "1 hour"), out, ck, kind="mood",
+                           size="1 day", trigger={"availableNow": True})
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
     got = spark.read.parquet(out)
     batch = metrics.windowed_mood(w.enriched, "1 day")
     # closed windows only: everything but the windows the watermark has not passed yet
