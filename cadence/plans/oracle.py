@@ -188,7 +188,13 @@ _ALBUM_DIM = """
     FROM enriched WHERE album_name IS NOT NULL GROUP BY album_name))
 """
 
+def _pct2(num: str, den: str) -> str:
+    """num * 100 / den, rounded half-even to 2 places of its decimal value; null when den is 0."""
+    return f"CAST(round_even(CAST(({num}) * 100.0 / NULLIF({den}, 0) AS DECIMAL(38,12)), 2) AS DOUBLE)"
+
+
 def _coverage(normalize: bool) -> str:
+    """C1 written the plain way (COUNT DISTINCT over flagged rows), independent of the Spark plan."""
     cat_key = f"lower(trim({FIRST_ARTIST}))" if normalize else FIRST_ARTIST
     log_key = "lower(trim(h.artist_name))" if normalize else "h.artist_name"
     return f"""
@@ -205,20 +211,12 @@ def _coverage(normalize: bool) -> str:
           CAST(SUM(CASE WHEN id_hit THEN 1 ELSE 0 END) AS BIGINT) AS track_logs,
           CAST(SUM(CASE WHEN NOT id_hit AND art_hit THEN 1 ELSE 0 END) AS BIGINT) AS artist_logs
         FROM flags)
-      SELECT distinct_tracks, matched_tracks,
-        CAST(round_even(CAST(matched_tracks * 100.0 / NULLIF(distinct_tracks, 0) AS DECIMAL(38,12)), 2)
-          AS DOUBLE) AS track_match_pct,
-        total_logs, track_logs,
-        CAST(round_even(CAST(track_logs * 100.0 / NULLIF(total_logs, 0) AS DECIMAL(38,12)), 2) AS DOUBLE)
-          AS track_logs_pct,
-        artist_logs,
-        CAST(round_even(CAST(artist_logs * 100.0 / NULLIF(total_logs, 0) AS DECIMAL(38,12)), 2) AS DOUBLE)
-          AS artist_logs_pct,
+      SELECT distinct_tracks, matched_tracks, {_pct2("matched_tracks", "distinct_tracks")} AS track_match_pct,
+        total_logs, track_logs, {_pct2("track_logs", "total_logs")} AS track_logs_pct,
+        artist_logs, {_pct2("artist_logs", "total_logs")} AS artist_logs_pct,
         total_logs - track_logs - artist_logs AS others_logs,
-        CAST(round_even(CAST((total_logs - track_logs - artist_logs) * 100.0 / NULLIF(total_logs, 0)
-          AS DECIMAL(38,12)), 2) AS DOUBLE) AS others_pct,
-        CAST(round_even(CAST((track_logs + artist_logs) * 100.0 / NULLIF(total_logs, 0) AS DECIMAL(38,12)), 2)
-          AS DOUBLE) AS coverage_pct
+        {_pct2("total_logs - track_logs - artist_logs", "total_logs")} AS others_pct,
+        {_pct2("track_logs + artist_logs", "total_logs")} AS coverage_pct
       FROM tot"""
 
 
