@@ -1,8 +1,9 @@
-"""Command line: ``python -m cadence {prepare,stream,coverage} ...``.
+"""Command line: ``python -m cadence {prepare,stream,coverage,dashboard} ...``.
 
 prepare   catalog CSV + history CSV -> feature store (3 tiers) + cleaned history
 stream    log stream (Kafka topic or a folder of JSON-line files) -> result tables
 coverage  catalog CSV + history CSV -> the coverage report (one row)
+dashboard result tables -> every panel, one JSON line each
 """
 
 from __future__ import annotations
@@ -73,6 +74,27 @@ def cmd_stream(args) -> int:
     return 0
 
 
+def cmd_dashboard(args) -> int:
+    """Print each panel as one JSON line.
+
+    Panels are small by construction (top-k, 24 hours, 7 x 24) except the
+    per-second series over a long lookback; at most ``--max-rows`` rows are
+    printed and ``truncated`` says when a panel has more.
+    """
+    from pyspark.sql import functions as F
+
+    from cadence.plans.dashboard import dashboard
+    from cadence.sources.sinks import TableSink
+    spark = _session(args)
+    as_of = F.lit(args.as_of).cast("timestamp_ntz") if args.as_of else None
+    minutes = None if args.minutes <= 0 else args.minutes
+    for name, df in dashboard(spark, TableSink(args.sink), minutes=minutes, as_of=as_of, top_n=args.top).items():
+        rows = [r.asDict() for r in df.limit(args.max_rows + 1).collect()]
+        print(json.dumps({"panel": name, "truncated": len(rows) > args.max_rows, "rows": rows[:args.max_rows]},
+                         default=str))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="cadence")
     p.add_argument("--master", default=os.environ.get("CADENCE_MASTER"))
@@ -108,10 +130,18 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--trigger-seconds", type=int)
 
+    d = sub.add_parser("dashboard", help="print every panel from the result tables")
+    d.add_argument("--sink", required=True)
+    d.add_argument("--minutes", type=int, default=30, help="lookback; 0 = all rows")
+    d.add_argument("--as-of", help="anchor of the lookback, yyyy-MM-dd HH:mm:ss (default: now)")
+    d.add_argument("--top", type=int, default=10)
+    d.add_argument("--max-rows", type=int, default=3000)
+
     args = p.parse_args(argv)
     if args.cmd == "stream" and not (args.sink or args.jdbc_url):
         p.error("stream needs --sink or --jdbc-url")
-    return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream}[args.cmd](args)
+    return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream,
+            "dashboard": cmd_dashboard}[args.cmd](args)
 
 
 if __name__ == "__main__":

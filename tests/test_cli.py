@@ -35,3 +35,9 @@ def test_prepare_coverage_and_stream(spark, scratch, capsys):
                "--sink", sink, "--checkpoint", os.path.join(scratch, "ck"), "--available-now"])
     assert rc == 0
     assert TableSink(sink).read(spark, "realtime_streaming_events").count() == w.history.count()
+
+    capsys.readouterr()
+    assert main(["dashboard", "--sink", sink, "--minutes", "0"]) == 0
+    panels = {x["panel"]: x["rows"] for x in map(json.loads, capsys.readouterr().out.strip().splitlines())}
+    assert panels["kpi"][0]["total_events"] == w.history.count()
+    assert len(panels["heatmap_grid"]) == 7 and len(panels["top_tracks"]) == 10
