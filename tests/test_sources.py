@@ -149,3 +149,15 @@ def test_refresh_dimensions(spark, scratch):
         F.col("artist_name").isin([r.artist for r in w.artists.collect()])).count()
     g = sink.read(spark, "global_fallback_metrics").first()
     assert g.name == "Others"
+
+
+def test_kafka_needs_only_the_connector(spark):
+    """S1/S4 are option pass-throughs; here they stop at the data-source lookup (no jar, nothing opened)."""
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from cadence.sources.kafka import publish_logs, read_log_stream
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        read_log_stream(spark, "broker:9092", "logs", min_partitions=4)
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        publish_logs(spark.createDataFrame([("x",)], "ts string"), "broker:9092", "logs")
