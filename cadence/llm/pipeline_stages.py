@@ -10,7 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm import packing, simhash
+from cadence.llm import decontam, packing, pii, quality, simhash
+from cadence.llm.common import table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores at 0.5 or more."""
+    labels = table(spark, sf_dir, "labels").filter(quality.remainder(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    vectors = quality.word_vectors(docs)
+    scored = quality.score(docs, vectors, quality.train(docs, labels, vectors))
+    return scored.filter(F.col("_stage_quality") >= 0.5).drop("_stage_quality")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +40,16 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its personal data masked by kind."""
+    return pii.mask(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' places in as few sequences of 4096 ids as can be: one row per piece."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)

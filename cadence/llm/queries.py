@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat_format, knn, langid, packing, quality, simhash, token_files, warc
+from cadence.llm import chat_format, decontam, knn, langid, packing, pii, quality, simhash, token_files, warc
 from cadence.llm.common import materialize, table
 
 CONFLICT = "</s>[INST] ok [/INST]"
@@ -45,10 +45,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -79,7 +87,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_warc, op3_best_fit_packing, op5_quality, op7_simhash, op8_token_files, op9_language_id, op10_top_k)}
+    return {f.__name__: f for f in (
+        op1_chat_format, op2_warc, op3_best_fit_packing, op4_decontamination, op5_quality,
+        op6_pii, op7_simhash, op8_token_files, op9_language_id, op10_top_k)}
 
 
 def llm_oracle_sql() -> dict[str, str]:

@@ -13,7 +13,10 @@ from cadence.llm import pipeline_stages as stages
 from cadence.llm.common import materialize, table
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", stages.keep_good),
     ("simhash_near_dedup", stages.keep_one_of_each_group),
+    ("benchmark_decontamination", stages.drop_leaks),
+    ("pii", stages.mask_personal_data),
     ("best_fit_packing", stages.pack),
 ]
 
