@@ -262,8 +262,7 @@ def assign(pieces: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(sequence), pa.array(offset)], keep + ["sequence_id", "offset"])
 
     ranked = pieces.join(firsts, ["length", "run"]).withColumn("rank", F.col("first") + F.col("run_rank"))
-    extra = [c for c in pieces.columns if c not in PIECES]
-    kept = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", *extra, "rank")
+    kept = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if "ids" in pieces.columns else []), "rank")
     schema = ", ".join(f"{c} {t}" for c, t in kept.drop("rank").dtypes) + ", sequence_id bigint, offset bigint"
     return kept.mapInArrow(look_up, schema)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.llm import decontam, packing, pii, quality, simhash
-from cadence.llm.common import table
+from cadence.llm.common import materialize, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,19 +25,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays, once.
 
-    Documents without a doc_id can't name a group: those whose group has a named document go, and of
-    a group without any name all stay.
+    Rows equal in doc_id and text are one document. Rows without a doc_id go if their group has a
+    named document; of a group without any name all stay.
     """
-    groups = simhash.near_duplicates(docs, simhash.SHINGLE, simhash.RADIUS)
-    stays = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stage_id")).distinct()
-    nameless = groups.filter(F.col("doc_id").isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
-    # rows that repeat a doc_id: the one whose own group the id names, then the smallest text
-    kept = docs.join(stays, F.col("doc_id") == F.col("_stage_id")).drop("_stage_id")
-    kept = (kept.withColumn("_stage_rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
-                .filter("_stage_rank = 1").drop("_stage_rank"))
-    if not nameless.limit(1).count():
-        return kept
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    groups = materialize(simhash.near_duplicates(docs, simhash.SHINGLE, simhash.RADIUS), "stage-groups")
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.min("row_key").alias("row_key"))
+    stays = first.select("row_key").unionByName(groups.filter("component_id is null").select("row_key")).distinct()
+    goes = groups.select("row_key").distinct().join(stays, "row_key", "left_anti").withColumnRenamed("row_key", "_stage_gone")
+    kept = docs.withColumn("_stage_key", simhash.row_key()).join(goes, F.col("_stage_key") == F.col("_stage_gone"), "left_anti")
+    repeats = groups.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").join(stays, "row_key", "left_semi")
+    if repeats.limit(1).count():  # only then must the texts be dealt out by key
+        kept = kept.withColumn("_stage_rank", F.row_number().over(Window.partitionBy("_stage_key").orderBy("_stage_key"))).filter("_stage_rank = 1").drop("_stage_rank")
+    return kept.drop("_stage_key")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

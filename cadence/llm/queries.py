@@ -58,7 +58,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2).drop("row_key")
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

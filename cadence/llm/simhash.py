@@ -60,17 +60,21 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, row_key, fp (the 64 bits as a signed long)."""
     ship(docs.sparkSession)
 
     def fp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bits = np.fromiter([fingerprint(t or "", shingle) for t in b.column("text").to_pylist()], np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row_key"), pa.array(bits.view(np.int64))], ["doc_id", "row_key", "fp"])
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(fp, "doc_id long, fp long")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(fp, "doc_id long, row_key long, fp long")
 
 
 # --- links ------------------------------------------------------------------------------------------
@@ -199,7 +203,7 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its group)."""
+    """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its group), row_key."""
     fps = materialize(fingerprints(docs, shingle), "simhash-fp")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     groups = components(links(distinct, radius))
@@ -207,4 +211,4 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     firsts = named.groupBy("label").agg(F.min("first").alias("component_id"))
     of = groups.join(firsts, "label").select("fp", "component_id")
     all_of = materialize(distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "simhash-groups")
-    return fps.join(all_of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(all_of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "row_key")
