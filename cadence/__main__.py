@@ -1,9 +1,11 @@
-"""Command line: ``python -m cadence {prepare,stream,coverage,dashboard} ...``.
+"""Command line: ``python -m cadence {prepare,stream,windows,refresh,coverage,dashboard} ...``.
 
 prepare   catalog CSV + history CSV -> feature store (3 tiers) + cleaned history
 stream    log stream (Kafka topic or a folder of JSON-line files) -> result tables
 coverage  catalog CSV + history CSV -> the coverage report (one row)
-dashboard result tables -> every panel, one JSON line each
+windows   log stream -> event-time windowed metrics (mood, leaderboard or engagement)
+refresh   events table + catalog CSV -> the dimension tables
+dashboard result tables -> every panel as a folder of JSON lines
 """
 
 from __future__ import annotations
@@ -44,54 +46,96 @@ def cmd_coverage(args) -> int:
     return 0
 
 
-def cmd_stream(args) -> int:
-    from cadence.sources.files import load_feature_store, read_catalog
-    from cadence.sources.kafka import parse_logs, read_log_stream
+def _sink(args):
     from cadence.sources.sinks import JdbcSink, TableSink
-    from cadence.streaming.job import FeatureStore, start_stream_job
+    if args.jdbc_url:
+        return JdbcSink(args.jdbc_url, {"driver": args.jdbc_driver} if args.jdbc_driver else {})
+    return TableSink(args.sink)
+
+
+def _logs(spark, args):
+    from cadence.sources.kafka import parse_logs, read_log_stream
     from cadence.streaming.replay import replay_stream
-    spark = _session(args)
-    catalog = read_catalog(spark, args.catalog) if args.catalog else None
-    store = FeatureStore.prepare(*load_feature_store(spark, args.store, catalog=catalog))
     if args.source == "kafka":
-        raw = read_log_stream(spark, args.bootstrap, args.topic, args.starting_offsets,
-                              min_partitions=args.min_partitions)
-        logs = parse_logs(raw, "value")
-    else:
-        logs = replay_stream(spark, args.input, files_per_trigger=args.files_per_trigger)
-    sink = JdbcSink(args.jdbc_url, {"driver": args.jdbc_driver} if args.jdbc_driver else {}) if args.jdbc_url \
-        else TableSink(args.sink)
-    checkpoint = args.checkpoint or run_folder(spark, "stream-checkpoint")
-    trigger = {"availableNow": True} if args.available_now else (
-        {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else None)
-    q = start_stream_job(logs, store, sink, checkpoint, trigger=trigger, query_name="cadence-stream")
+        raw = read_log_stream(spark, args.bootstrap, args.topic, args.starting_offsets, min_partitions=args.min_partitions)
+        return parse_logs(raw, "value")
+    return replay_stream(spark, args.input, files_per_trigger=args.files_per_trigger)
+
+
+def _trigger(args) -> dict | None:
+    if args.available_now:
+        return {"availableNow": True}
+    return {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else None
+
+
+def _finish(q) -> int:
     q.awaitTermination()
-    store.release()
     if q.exception() is not None:
         print(q.exception(), file=sys.stderr)
         return 1
-    print(json.dumps({"batches": len(q.recentProgress), "checkpoint": checkpoint}))
     return 0
 
 
-def cmd_dashboard(args) -> int:
-    """Print each panel as one JSON line.
+def cmd_stream(args) -> int:
+    from cadence.sources.files import read_catalog
+    from cadence.streaming.job import WatchedStore, start_stream_job
+    from cadence.streaming.progress import ProgressRecorder
+    spark = _session(args)
+    store = WatchedStore(spark, args.store, read_catalog(spark, args.catalog) if args.catalog else None)
+    sink = _sink(args)
+    checkpoint = args.checkpoint or run_folder(spark, "stream-checkpoint")
+    recorder = ProgressRecorder(spark, sink).attach()
+    try:
+        q = start_stream_job(_logs(spark, args), store, sink, checkpoint, trigger=_trigger(args), query_name="cadence-stream")
+        failed = _finish(q)
+    finally:
+        recorder.close()
+        store.release()
+    if not failed:
+        print(json.dumps({"batches": recorder.batches, "checkpoint": checkpoint}))
+    return failed
+
+
+def cmd_windows(args) -> int:
+    from cadence.sources.files import load_feature_store
+    from cadence.streaming.job import FeatureStore
+    from cadence.streaming.windows import enriched_stream, quarantine_stream, start_windowed
+    spark = _session(args)
+    store = FeatureStore.prepare(*load_feature_store(spark, args.store))
+    checkpoint = args.checkpoint or run_folder(spark, "windows-checkpoint")
+    logs = _logs(spark, args)
+    aside = quarantine_stream(logs, os.path.join(args.out, "quarantine"), os.path.join(checkpoint, "quarantine"), _trigger(args))
+    q = start_windowed(enriched_stream(logs, store, args.watermark), os.path.join(args.out, args.kind),
+                       os.path.join(checkpoint, args.kind), kind=args.kind, size=args.size, trigger=_trigger(args))
+    failed = _finish(q) or _finish(aside)
+    store.release()
+    return failed
+
 
-    Panels are small by construction (top-k, 24 hours, 7 x 24) except the
-    per-second series over a long lookback; at most ``--max-rows`` rows are
-    printed and ``truncated`` says when a panel has more.
-    """
+def cmd_refresh(args) -> int:
+    from cadence.operators import prepare
+    from cadence.plans.dashboard import as_doubles
+    from cadence.plans.refresh import refresh_dimensions
+    from cadence.sources.files import read_catalog
+    spark = _session(args)
+    sink = _sink(args)
+    events = as_doubles(sink.read(spark, "realtime_streaming_events"))
+    refresh_dimensions(sink, events, prepare.clean_catalog(read_catalog(spark, args.catalog)))
+    return 0
+
+
+def cmd_dashboard(args) -> int:
+    """Write each panel in full, from the executors, as JSON lines under ``--out``/<panel>."""
     from pyspark.sql import functions as F
 
     from cadence.plans.dashboard import dashboard
-    from cadence.sources.sinks import TableSink
     spark = _session(args)
     as_of = F.lit(args.as_of).cast("timestamp_ntz") if args.as_of else None
     minutes = None if args.minutes <= 0 else args.minutes
-    for name, df in dashboard(spark, TableSink(args.sink), minutes=minutes, as_of=as_of, top_n=args.top).items():
-        rows = [r.asDict() for r in df.limit(args.max_rows + 1).collect()]
-        print(json.dumps({"panel": name, "truncated": len(rows) > args.max_rows, "rows": rows[:args.max_rows]},
-                         default=str))
+    for name, df in dashboard(spark, _sink(args), minutes=minutes, as_of=as_of, top_n=args.top).items():
+        path = os.path.join(args.out, name)
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+        print(json.dumps({"panel": name, "path": path}))
     return 0
 
 
@@ -113,35 +157,52 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--history", required=True)
     c.add_argument("--exact", action="store_true", help="match artists exactly (as the enrichment does)")
 
+    def sink_options(q):
+        q.add_argument("--sink", help="folder of the Parquet result tables")
+        q.add_argument("--jdbc-url")
+        q.add_argument("--jdbc-driver")
+
+    def source_options(q):
+        q.add_argument("--source", choices=["kafka", "files"], default="kafka")
+        q.add_argument("--bootstrap")
+        q.add_argument("--topic")
+        q.add_argument("--starting-offsets", default="latest")
+        q.add_argument("--min-partitions", type=int)
+        q.add_argument("--input", help="folder of JSON-line files (files source)")
+        q.add_argument("--files-per-trigger", type=int, default=1)
+        q.add_argument("--store", required=True)
+        q.add_argument("--checkpoint")
+        q.add_argument("--available-now", action="store_true")
+        q.add_argument("--trigger-seconds", type=int)
+
     s = sub.add_parser("stream", help="run the streaming job")
-    s.add_argument("--source", choices=["kafka", "files"], default="kafka")
-    s.add_argument("--bootstrap")
-    s.add_argument("--topic")
-    s.add_argument("--starting-offsets", default="latest")
-    s.add_argument("--min-partitions", type=int)
-    s.add_argument("--input", help="folder of JSON-line files (files source)")
-    s.add_argument("--files-per-trigger", type=int, default=1)
-    s.add_argument("--store", required=True)
+    source_options(s)
     s.add_argument("--catalog", help="catalog CSV to build the store from when it is absent")
-    s.add_argument("--sink", help="folder of the Parquet result tables")
-    s.add_argument("--jdbc-url")
-    s.add_argument("--jdbc-driver")
-    s.add_argument("--checkpoint")
-    s.add_argument("--available-now", action="store_true")
-    s.add_argument("--trigger-seconds", type=int)
-
-    d = sub.add_parser("dashboard", help="print every panel from the result tables")
-    d.add_argument("--sink", required=True)
+    sink_options(s)
+
+    v = sub.add_parser("windows", help="run one windowed streaming job")
+    source_options(v)
+    v.add_argument("--kind", choices=["mood", "leaderboard", "engagement"], default="mood")
+    v.add_argument("--size", default="1 minute")
+    v.add_argument("--watermark", default="10 minutes")
+    v.add_argument("--out", required=True, help="folder of the windowed tables")
+
+    r = sub.add_parser("refresh", help="write the dimension tables from the events table")
+    sink_options(r)
+    r.add_argument("--catalog", required=True)
+
+    d = sub.add_parser("dashboard", help="write every panel from the result tables")
+    sink_options(d)
+    d.add_argument("--out", required=True, help="folder of the panels")
     d.add_argument("--minutes", type=int, default=30, help="lookback; 0 = all rows")
     d.add_argument("--as-of", help="anchor of the lookback, yyyy-MM-dd HH:mm:ss (default: now)")
     d.add_argument("--top", type=int, default=10)
-    d.add_argument("--max-rows", type=int, default=3000)
 
     args = p.parse_args(argv)
-    if args.cmd == "stream" and not (args.sink or args.jdbc_url):
-        p.error("stream needs --sink or --jdbc-url")
-    return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream,
-            "dashboard": cmd_dashboard}[args.cmd](args)
+    if args.cmd in ("stream", "refresh", "dashboard") and not (args.sink or args.jdbc_url):
+        p.error(f"{args.cmd} needs --sink or --jdbc-url")
+    return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream, "windows": cmd_windows,
+            "refresh": cmd_refresh, "dashboard": cmd_dashboard}[args.cmd](args)
 
 
 if __name__ == "__main__":

@@ -15,6 +15,7 @@ from cadence.functions.expressions import (  # noqa: F401
     prefixed_key,
     present,
     ratio,
+    read_ts,
     round4,
     skip_rate,
     to_json_row,

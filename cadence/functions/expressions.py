@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cadence.schemas import TS_FORMAT
-
 # ---------------------------------------------------------------------------
-# Fixed values that must equal the reference's for right results.
-# Mood quadrants split at valence 0.5 and energy 0.5.
+# Fixed value that must equal the reference's for right results: mood
+# quadrants split at valence 0.5 and energy 0.5.
 QUADRANT_SPLIT = 0.5
+# Labels of our own.
 QUADRANT_LABELS = {
     "high_valence_high_energy": "energetic_happy",
     "low_valence_high_energy": "aggressive_tense",
@@ -31,14 +30,21 @@ def _c(c: str | Column) -> Column:
 
 
 def first_artist(artists: str | Column) -> Column:
-    """first entry of a list literal such as ``['A', 'B']``.
+    """first entry of a list literal such as ``['A', 'B']`` or ``['A',]``.
 
-    Text that is not a list literal, or an empty list, is returned unchanged.
+    Text that is not a list literal as a whole, or an empty list, is returned
+    unchanged; a list that starts with ``None`` has no first artist (null).
     Single and double quotes are both accepted.
     """
     a = _c(artists)
-    parsed = F.from_json(a, "array<string>", {"allowSingleQuotes": "true"})
-    return F.coalesce(F.get(parsed, 0), a)
+    literal = F.regexp_replace(F.trim(a), r",\s*\]$", "]")
+    options = {"allowSingleQuotes": "true"}
+    parsed = F.from_json(literal, "array<string>", options)
+    # a later None is no JSON either; written as null only where the plain text can't be read
+    with_null = F.from_json(F.regexp_replace(literal, r"(?<=,)\s*None\s*(?=[,\]])", "null"), "array<string>", options)
+    whole = literal.rlike(r"(?s)^\[.*\]$")
+    return (F.when(whole & literal.rlike(r"^\[\s*None\s*[,\]]"), F.lit(None).cast("string"))
+            .when(whole, F.coalesce(F.get(parsed, 0), F.get(with_null, 0), a)).otherwise(a))
 
 
 def normalized_artist(artists: str | Column) -> Column:
@@ -69,7 +75,13 @@ def is_skip(skipped: str | Column, reason_end: str | Column) -> Column:
 
 
 def parse_ts(ts: str | Column) -> Column:
-    """log text timestamp -> wall-clock timestamp; null when unparsable."""
+    """log text ``yyyy-MM-dd HH:mm:ss`` -> wall-clock timestamp; null for any other text."""
+    text = _c(ts)
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"), text.try_cast("timestamp_ntz"))
+
+
+def read_ts(ts: str | Column) -> Column:
+    """Any ISO-like text of a raw history -> wall-clock timestamp (an offset is dropped); null when unreadable."""
     return _c(ts).try_cast("timestamp_ntz")
 
 
@@ -85,7 +97,9 @@ def iso_weekday(ts: str | Column) -> Column:
 
 def truncate_second(ts: str | Column) -> Column:
     """per-second bucket of a wall-clock timestamp, staying zone-free."""
-    return F.to_timestamp_ntz(F.date_format(_c(ts), TS_FORMAT), F.lit(TS_FORMAT))
+    t = _c(ts)
+    second = F.extract(F.lit("SECOND"), t)
+    return t - F.make_dt_interval(secs=(second - F.floor(second)).cast("decimal(18,6)"))
 
 
 _EPOCH_DATE = "1970-01-01"
@@ -111,8 +125,8 @@ def instant_wallclock(ts: str | Column) -> Column:
 
 
 def format_ts(ts: str | Column) -> Column:
-    """Timestamp -> ``yyyy-MM-dd HH:mm:ss`` text (fraction dropped)."""
-    return F.date_format(_c(ts), TS_FORMAT)
+    """Wall-clock timestamp -> ``yyyy-MM-dd HH:mm:ss`` text (fraction dropped), without a session zone."""
+    return F.substring(_c(ts).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

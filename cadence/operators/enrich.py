@@ -38,6 +38,14 @@ def _tier_value(name: str, tier: Column, g: dict[str, Column]) -> Column:
     return v.cast(_INT_TYPES[name]) if name in _INT_TYPES else v
 
 
+def spread_nulls(key: str, rows: DataFrame) -> Column:
+    """``key``, or where it is null a text that no id or name equals, different from row to row.
+
+    Null keys match nothing in a left join, but would all be shuffled to one task.
+    """
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.xxhash64(*rows.columns).cast("string")))
+
+
 def enrich(logs: DataFrame, tracks: DataFrame, artists: DataFrame, global_row: DataFrame,
            *, with_tier: bool = False, artist_broadcast_bytes: int | None = None,
            extra: list[str] | None = None, hot_track_fraction: float | None = None,
@@ -61,8 +69,8 @@ def enrich(logs: DataFrame, tracks: DataFrame, artists: DataFrame, global_row: D
     if hot_track_fraction:
         j = split_hot_join(logs, t, "spotify_track_uri", "_t_key", "left", hot_track_fraction, left_rows=log_rows)
     else:
-        j = logs.join(t, F.col("spotify_track_uri") == F.col("_t_key"), "left")
-    j = j.join(a, F.col("artist_name") == F.col("_a_key"), "left")
+        j = logs.join(t, spread_nulls("spotify_track_uri", logs) == F.col("_t_key"), "left")
+    j = j.join(a, spread_nulls("artist_name", logs) == F.col("_a_key"), "left")
     tier = (F.when(F.col("_t_key").isNotNull(), F.lit("track"))
             .when(F.col("_a_key").isNotNull(), F.lit("artist"))
             .otherwise(F.lit("others")))

@@ -17,21 +17,38 @@ def _stamp(df: DataFrame, batch_time: Column | None) -> DataFrame:
     return df if batch_time is None else df.withColumn("window_start_time", batch_time)
 
 
+FIRST_AT = "_first_at"
+
+
 def first_seen(*cols: str, order: str = "timestamp") -> Column:
     """Values of ``cols`` from the earliest row (ties broken by the values themselves).
 
-    A fixed answer for the reference's order-dependent ``first``.
+    A fixed answer for the reference's order-dependent ``first``. Over many rows
+    take it in two steps (:func:`earliest`): a struct with text has no
+    fixed-width buffer and would be aggregated by sorting every row.
     """
     return F.min(F.struct(F.col(order), *[F.col(c) for c in cols]))
 
 
+def earliest(events: DataFrame, keys: list[str], names: list[str], *sums: Column, order: str = "timestamp") -> DataFrame:
+    """First step: one row per key and names, with the earliest time (``_first_at``) and partial sums.
+
+    A hash aggregate with fixed-width buffers; the second step takes
+    ``first_seen(*names, order=FIRST_AT)`` over the few rows of a key.
+    """
+    return events.groupBy(*keys, *names).agg(F.min(order).alias(FIRST_AT), *sums)
+
+
 def leaderboard(events: DataFrame, batch_time: Column | None = None, keys: list[str] | None = None) -> DataFrame:
     """A4: plays per track with the first-seen track and artist name."""
     keys = keys or []
-    g = events.groupBy(*keys, "track_uri").agg(
-        first_seen("track_name", "artist_name").alias("_first"),
-        F.count(F.lit(1)).alias("play_count"),
-    )
+    names = ["track_name", "artist_name"]
+    if events.isStreaming:  # one stateful step: state is kept per key, whatever its buffer
+        g = events.groupBy(*keys, "track_uri").agg(first_seen(*names).alias("_first"), F.count(F.lit(1)).alias("play_count"))
+    else:
+        few = earliest(events, [*keys, "track_uri"], names, F.count(F.lit(1)).alias("_n"))
+        g = few.groupBy(*keys, "track_uri").agg(
+            first_seen(*names, order=FIRST_AT).alias("_first"), F.sum("_n").alias("play_count"))
     out = g.select(*keys, "track_uri", F.col("_first.track_name").alias("track_name"),
                    F.col("_first.artist_name").alias("artist_name"), "play_count")
     return _stamp(out, batch_time)

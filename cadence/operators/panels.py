@@ -16,7 +16,7 @@ from cadence.functions import clip, lookback, mood_quadrant, skip_rate, truncate
 DEFAULT_MINUTES = 30
 
 
-def _window(df: DataFrame, ts: str, minutes: int | None, as_of: Column | None) -> DataFrame:
+def recent(df: DataFrame, ts: str, minutes: int | None, as_of: Column | None) -> DataFrame:
     """The lookback filter; on a date-partitioned result table also a ``dt`` bound that prunes folders."""
     if minutes is None:
         return df
@@ -30,7 +30,7 @@ def _window(df: DataFrame, ts: str, minutes: int | None, as_of: Column | None) -
 
 def kpi(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None) -> DataFrame:
     """One row — plays, average valence/energy/completion and skip rate."""
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     return e.agg(
         F.count(F.lit(1)).alias("total_events"),
         F.avg("valence").alias("avg_valence"),
@@ -43,13 +43,13 @@ def kpi(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column
 def mood_timeline(mood_rows: DataFrame, minutes: int | None = DEFAULT_MINUTES,
                   as_of: Column | None = None) -> DataFrame:
     """Mood-metric rows inside the lookback, in time order."""
-    m = _window(mood_rows, "window_start_time", minutes, as_of)
+    m = recent(mood_rows, "window_start_time", minutes, as_of)
     return m.select("window_start_time", "avg_valence", "avg_energy", "total_streams").orderBy("window_start_time")
 
 
 def heatmap(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None) -> DataFrame:
     """Plays per (day_of_week, hour_of_day)."""
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     return e.groupBy("day_of_week", "hour_of_day").agg(F.count(F.lit(1)).alias("plays"))
 
 
@@ -62,7 +62,7 @@ def heatmap_grid(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of
     The pivot names its 24 values up front, so Spark needs no extra job to
     find them; the 7 weekdays come from a range joined to the (at most 7) pivot rows.
     """
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     spark: SparkSession = events.sparkSession
     piv = (e.groupBy("day_of_week").pivot("hour_of_day", list(range(24)))
            .agg(F.count(F.lit(1))))
@@ -77,7 +77,7 @@ def heatmap_grid(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of
 
 def skip_profile(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None) -> DataFrame:
     """A10: per hour: danceability and acousticness of skipped vs kept plays, and skip rate."""
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     s = F.col("is_skip")
     return (e.groupBy("hour_of_day").agg(
         F.avg(F.when(s, F.col("danceability"))).alias("skip_danceability"),
@@ -91,7 +91,7 @@ def skip_profile(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of
 def completion_by_hour(events: DataFrame, minutes: int | None = DEFAULT_MINUTES,
                        as_of: Column | None = None) -> DataFrame:
     """Per hour: average completion and number of plays."""
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     return (e.groupBy("hour_of_day")
             .agg(F.avg("completion_rate").alias("avg_completion"), F.count(F.lit(1)).alias("n"))
             .orderBy("hour_of_day"))
@@ -100,7 +100,7 @@ def completion_by_hour(events: DataFrame, minutes: int | None = DEFAULT_MINUTES,
 def artist_engagement(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None,
                       min_plays: int = 1) -> DataFrame:
     """A12 before ranking: per artist: completion, skip rate, plays and likeability."""
-    e = _window(events, "timestamp", minutes, as_of).where(F.col("artist_name").isNotNull())
+    e = recent(events, "timestamp", minutes, as_of).where(F.col("artist_name").isNotNull())
     g = e.groupBy("artist_name").agg(
         F.avg("completion_rate").alias("avg_completion"),
         skip_rate("is_skip").alias("skip_rate"),
@@ -120,7 +120,7 @@ def likeability(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of:
 def nostalgia(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None,
               min_year: int = 1950) -> DataFrame:
     """Plays per release year after ``min_year``."""
-    e = _window(events, "timestamp", minutes, as_of).where(F.col("year") > min_year)
+    e = recent(events, "timestamp", minutes, as_of).where(F.col("year") > min_year)
     return e.groupBy("year").agg(F.count(F.lit(1)).alias("plays")).orderBy("year")
 
 
@@ -131,14 +131,14 @@ def top_tracks(leaderboard_rows: DataFrame, minutes: int | None = DEFAULT_MINUTE
     This is the final step of a two-level aggregation: each batch row is a
     partial count, and the sum merges them. Ties are broken by name.
     """
-    lb = _window(leaderboard_rows, "window_start_time", minutes, as_of)
+    lb = recent(leaderboard_rows, "window_start_time", minutes, as_of)
     g = lb.groupBy("track_name", "artist_name").agg(F.sum("play_count").alias("plays"))
     return g.orderBy(F.col("plays").desc(), "track_name", "artist_name").limit(n)
 
 
 def events_per_second(events: DataFrame, minutes: int | None = 2, as_of: Column | None = None) -> DataFrame:
     """Plays per wall-clock second inside the lookback (default two minutes)."""
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     return (e.groupBy(truncate_second("timestamp").alias("sec"))
             .agg(F.count(F.lit(1)).alias("events")).orderBy("sec"))
 
@@ -152,26 +152,21 @@ def current_rate(eps: DataFrame, last: int = 5) -> DataFrame:
 def mood_scatter(samples: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None,
                  n: int = 3000) -> DataFrame:
     """The ``n`` newest scatter points (ties broken by every shown column)."""
-    s = _window(samples, "timestamp", minutes, as_of)
+    s = recent(samples, "timestamp", minutes, as_of)
     return (s.select("timestamp", "artist_name", "valence", "energy")
             .orderBy(F.col("timestamp").desc(), "artist_name", "valence", "energy").limit(n))
 
 
 def mood_quadrants(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None) -> DataFrame:
     """plays and average valence/energy per mood quadrant."""
-    e = _window(events, "timestamp", minutes, as_of)
+    e = recent(events, "timestamp", minutes, as_of)
     return (e.groupBy(mood_quadrant("valence", "energy").alias("quadrant"))
             .agg(F.count(F.lit(1)).alias("plays"), F.avg("valence").alias("avg_valence"),
                  F.avg("energy").alias("avg_energy")))
 
 
-def latest(df: DataFrame, ts: str = "timestamp") -> Column:
-    """Scalar subquery: the newest ``ts`` in ``df`` (an ``as_of`` anchored in the data)."""
-    return df.select(F.max(ts)).scalar()
-
-
 __all__ = [
     "kpi", "mood_timeline", "heatmap", "heatmap_grid", "skip_profile", "completion_by_hour",
     "artist_engagement", "likeability", "nostalgia", "top_tracks", "events_per_second",
-    "current_rate", "mood_scatter", "mood_quadrants", "latest",
+    "current_rate", "mood_scatter", "mood_quadrants", "recent",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.functions import first_artist, format_ts, parse_ts, prefixed_key, round4, truthy_text
+from cadence.functions import first_artist, format_ts, read_ts, prefixed_key, round4, truthy_text
 from cadence.schemas import (
     ARTIST_PREFIX,
     CATALOG_FEATURES,
@@ -39,9 +39,10 @@ def artist_features(clean: DataFrame) -> DataFrame:
     """A1: mean of the 13 features per first-listed artist, rounded to four places.
 
     Averages are algebraic, so Spark combines them map-side before the shuffle;
-    a hot artist costs one partial row per task, not one row per track.
+    a hot artist costs one partial row per task, not one row per track. Tracks
+    without a first artist belong to no mean.
     """
-    return clean.groupBy("artist").agg(*[round4(F.avg(f)).alias(f) for f in CATALOG_FEATURES])
+    return clean.where(F.col("artist").isNotNull()).groupBy("artist").agg(*[round4(F.avg(f)).alias(f) for f in CATALOG_FEATURES])
 
 
 def global_features(clean: DataFrame) -> DataFrame:
@@ -58,18 +59,18 @@ def feature_tiers(catalog: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def clean_history(raw: DataFrame) -> DataFrame:
     """The listening history as log records.
 
-    Rows without ts, track uri or artist are dropped; ms_played null -> 0 and
-    truncated to int; shuffle/skipped become booleans ('TRUE' in any case);
+    Rows without ts, track uri or artist are dropped; ms_played is truncated to
+    int, and null, NaN or a number outside int (over 24 days) becomes 0; shuffle/skipped become booleans ('TRUE' in any case);
     ts becomes ``yyyy-MM-dd HH:mm:ss`` text. Rows whose ts cannot be read are
     dropped as well (the reference would stop on them). Other columns pass through.
     """
     df = raw.na.drop("any", subset=HISTORY_REQUIRED)
     ts_type = df.schema["ts"].dataType
     ts_value = F.col("ts") if isinstance(ts_type, (T.TimestampType, T.TimestampNTZType, T.DateType)) \
-        else parse_ts(F.col("ts"))
+        else read_ts(F.col("ts"))
     cleaned = {
         "ts": format_ts(ts_value),
-        "ms_played": F.coalesce(F.col("ms_played").try_cast("double"), F.lit(0.0)).cast("int"),
+        "ms_played": F.coalesce(F.nanvl(F.col("ms_played").try_cast("double"), F.lit(0.0)).try_cast("int"), F.lit(0)),
         "shuffle": truthy_text("shuffle"),
         "skipped": truthy_text("skipped"),
     }

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions import clip, round4, skip_rate
-from cadence.operators.metrics import first_seen
+from cadence.functions import clip, ratio, round4
+from cadence.operators.metrics import FIRST_AT, earliest, first_seen
 
 # Features the artist and global-fallback tables average (every catalog feature but year).
 PROFILE_FEATURES = ["popularity", "explicit", "danceability", "energy", "loudness", "speechiness",
@@ -24,15 +24,28 @@ TRACK_FEATURES = ["danceability", "energy", "loudness", "speechiness", "acoustic
 PLAY_TOTALS = ["total_play_count", "total_skip_count", "total_listening_time_ms", "avg_listening_time_ms"]
 
 
-def play_totals(events: DataFrame, key: str, *extra) -> DataFrame:
-    """Per ``key``: plays, skips, total and average listening time, likeability (+ ``extra`` aggregates)."""
-    return events.groupBy(key).agg(
-        *extra,
-        F.count(F.lit(1)).alias("total_play_count"),
-        F.sum(F.when(F.col("is_skip"), 1).otherwise(0)).alias("total_skip_count"),
-        F.sum(F.col("ms_played").cast("long")).alias("total_listening_time_ms"),
-        F.avg("ms_played").cast("long").alias("avg_listening_time_ms"),
-        round4(clip(F.avg("completion_rate") - skip_rate("is_skip"))).alias("likeability_score"),
+def play_totals(events: DataFrame, key: str, names: list[str] | None = None) -> DataFrame:
+    """Per ``key``: plays, skips, listening time and likeability; ``names`` adds their first-seen values (``_first``).
+
+    Two steps, both hash aggregates over fixed-width buffers up to the few rows of a key.
+    """
+    names = names or []
+    few = earliest(
+        events, [key], names,
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.when(F.col("is_skip"), 1).otherwise(0)).alias("_skips"),
+        F.sum(F.col("ms_played").cast("long")).alias("_ms"),
+        F.count("ms_played").alias("_with_ms"),
+        F.sum("completion_rate").alias("_completion"),
+    )
+    n, skips = F.sum("_n"), F.sum("_skips")
+    return few.groupBy(key).agg(
+        *([first_seen(*names, order=FIRST_AT).alias("_first")] if names else []),
+        n.alias("total_play_count"),
+        skips.alias("total_skip_count"),
+        F.sum("_ms").alias("total_listening_time_ms"),
+        (F.sum("_ms").cast("double") / F.nullif(F.sum("_with_ms"), F.lit(0))).cast("long").alias("avg_listening_time_ms"),
+        round4(clip(F.sum("_completion") / n - ratio(skips, n))).alias("likeability_score"),
     )
 
 
@@ -43,7 +56,7 @@ def _fill_totals(df: DataFrame) -> DataFrame:
 
 def artist_profile(events: DataFrame, clean_catalog: DataFrame) -> DataFrame:
     """Catalog feature means per artist, with the artist's play totals (0 when never played)."""
-    cat = clean_catalog.groupBy(F.col("artist").alias("artist_name")).agg(
+    cat = clean_catalog.where(F.col("artist").isNotNull()).groupBy(F.col("artist").alias("artist_name")).agg(
         F.avg("duration_ms").cast("long").alias("avg_duration_ms"),
         *[round4(F.avg(f)).alias(f"avg_{f}") for f in PROFILE_FEATURES],
     )
@@ -58,8 +71,7 @@ def track_profile(events: DataFrame, clean_catalog: DataFrame) -> DataFrame:
         "duration_ms", "explicit", "popularity", "year",
         *[round4(f).alias(f) for f in TRACK_FEATURES],
     )
-    plays = play_totals(events.where(F.col("track_uri").isNotNull()), "track_uri",
-                        first_seen("track_name", "album_name").alias("_first"))
+    plays = play_totals(events.where(F.col("track_uri").isNotNull()), "track_uri", ["track_name", "album_name"])
     j = cat.join(plays, "track_uri", "left")
     cols = ["track_uri", F.col("_first.track_name").alias("track_name"),
             F.col("_first.album_name").alias("album_name"), "artist_name", "duration_ms", "explicit",
@@ -69,8 +81,9 @@ def track_profile(events: DataFrame, clean_catalog: DataFrame) -> DataFrame:
 
 def album_dim(events: DataFrame) -> DataFrame:
     """D3: per album: artist and release year of its first play."""
-    g = (events.where(F.col("album_name").isNotNull()).groupBy("album_name")
-         .agg(first_seen("artist_name", "year").alias("_first")))
+    names = ["artist_name", "year"]
+    few = earliest(events.where(F.col("album_name").isNotNull()), ["album_name"], names)
+    g = few.groupBy("album_name").agg(first_seen(*names, order=FIRST_AT).alias("_first"))
     return g.select("album_name", F.col("_first.artist_name").alias("artist_name"),
                     F.col("_first.year").alias("year"))
 

@@ -37,6 +37,8 @@ def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
                    left_rows: int | None = None) -> DataFrame:
     """``left.join(right, left_key == right_key, how)`` with hot keys joined map-side.
 
+    Rows without a key match nothing, so they stay where they are, on the map-side half.
+
     ``left`` is read three times (hot-key count, hot rows, other rows):
     persist it first when it is not a table scan. ``how`` is ``inner`` or ``left``.
     """
@@ -44,8 +46,9 @@ def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
         raise ValueError("split_hot_join supports inner and left joins")
     hot = F.broadcast(hot_keys(left, left_key, fraction, left_rows))   # <= 1/fraction rows
     flagged = left.join(hot, F.col(left_key) == F.col(HOT_KEY), "left")
-    hot_rows = flagged.where(F.col(HOT_KEY).isNotNull()).drop(HOT_KEY)
-    cold_rows = flagged.where(F.col(HOT_KEY).isNull()).drop(HOT_KEY)
+    stays = F.col(HOT_KEY).isNotNull() | F.col(left_key).isNull()
+    hot_rows = flagged.where(stays).drop(HOT_KEY)
+    cold_rows = flagged.where(~stays).drop(HOT_KEY)
     hot_right = right.join(hot, F.col(right_key) == F.col(HOT_KEY), "left_semi")
     hot_right = broadcast_if_small(hot_right, max_broadcast_bytes)
     hot_joined = hot_rows.join(hot_right, F.col(left_key) == F.col(right_key), how)

@@ -32,7 +32,8 @@ _not_null = " AND ".join(
     + [f"NOT isnan({c})" for c in DOUBLE_FEATURES]
 )
 
-FIRST_ARTIST = (r"CASE WHEN regexp_matches(artists, '^\[''') "
+FIRST_ARTIST = (r"CASE WHEN regexp_matches(artists, '^\[None[,\]]') THEN NULL "
+                r"WHEN regexp_matches(artists, '^\[''[^'']*''(, ?''[^'']*'')*,?\]$') "
                 r"THEN regexp_extract(artists, '^\[''([^'']*)''', 1) ELSE artists END")
 
 
@@ -44,7 +45,10 @@ def _tier_pick(f: str) -> str:
 PRELUDE = f"""
 WITH catalog AS (
   SELECT 't' || CAST(p_partkey AS VARCHAR) AS id,
-    '[' || chr(39) || p_brand || chr(39) || ', ' || chr(39) || 'x' || chr(39) || ']' AS artists,
+    CASE WHEN p_partkey % 41 = 0 THEN '[None, ' || chr(39) || p_brand || chr(39) || ']'
+      WHEN p_partkey % 37 = 0 THEN '[' || chr(39) || p_brand || chr(39) || '] feat x'
+      WHEN p_partkey % 13 = 0 THEN '[' || chr(39) || p_brand || chr(39) || ',]'
+      ELSE '[' || chr(39) || p_brand || chr(39) || ', ' || chr(39) || 'x' || chr(39) || ']' END AS artists,
     CAST(p_partkey*37 % 1000 AS DOUBLE)/1000 AS valence,
     CAST(p_partkey*91 % 1000 AS DOUBLE)/1000 AS energy,
     CAST(p_size AS DOUBLE)/50 AS danceability,
@@ -58,14 +62,17 @@ WITH catalog AS (
     CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE CAST(FLOOR(p_retailprice*200) AS BIGINT) END AS duration_ms,
     CAST(p_partkey % 2 AS INTEGER) AS explicit,
     CAST(1940 + p_partkey % 85 AS INTEGER) AS "year"
-  FROM part WHERE p_partkey % 4 <> 0 AND p_brand <> 'Brand#7'
+  FROM part
 ),
 raw_history AS (
   SELECT e.event_id, CAST(e.ts AS TIMESTAMP) AS ts,
-    CASE WHEN e.event_id % 23 = 0 THEN NULL ELSE FLOOR(e.value*4000) + 0.5 END AS ms_played,
-    CASE WHEN e.event_id % 19 = 0 THEN NULL ELSE 't' || CAST(p.p_partkey AS VARCHAR) END AS spotify_track_uri,
+    CASE WHEN e.event_id % 23 = 0 THEN NULL WHEN e.event_id % 43 = 0 THEN CAST('NaN' AS DOUBLE)
+      WHEN e.event_id % 47 = 0 THEN 1e12 ELSE FLOOR(e.value*4000) + 0.5 END AS ms_played,
+    CASE WHEN e.event_id % 19 = 0 THEN NULL
+      ELSE (CASE WHEN p.p_brand = 'Brand#7' OR p.p_partkey % 4 = 0 THEN 'u' ELSE 't' END)
+        || CAST(p.p_partkey AS VARCHAR) END AS spotify_track_uri,
     p.p_name AS track_name, p.p_type AS album_name,
-    CASE WHEN e.event_id % 17 = 0 THEN NULL ELSE p.p_brand END AS artist_name,
+    CASE WHEN e.event_id % 17 = 0 THEN NULL WHEN p.p_brand = 'Brand#7' THEN 'Unlisted#7' ELSE p.p_brand END AS artist_name,
     CASE WHEN e.user_id % 2 = 0 THEN 'TRUE' ELSE 'false' END AS shuffle,
     CASE WHEN e.event_type = 'error' THEN 'True' WHEN e.event_type = 'signup' THEN NULL ELSE 'FALSE' END AS skipped,
     CASE e.event_type WHEN 'click' THEN 'ForwardSkipBtn' WHEN 'view' THEN 'trackdone' END AS reason_end
@@ -82,14 +89,15 @@ tracks AS (
 ),
 artists_t AS (
   SELECT artist, {", ".join(f"{r4(f'avg({q(c)})')} AS {q(c)}" for c in CATALOG_FEATURES)}
-  FROM clean_catalog GROUP BY artist
+  FROM clean_catalog WHERE artist IS NOT NULL GROUP BY artist
 ),
 global_t AS (
   SELECT {", ".join(f"{r4(f'avg({q(c)})')} AS {q(c)}" for c in CATALOG_FEATURES)} FROM clean_catalog
 ),
 history AS (
   SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-    CAST(trunc(COALESCE(TRY_CAST(ms_played AS DOUBLE), 0.0)) AS INTEGER) AS ms_played,
+    CAST(CASE WHEN ms_played IS NULL OR isnan(ms_played) OR ms_played >= 2147483648 THEN 0
+      ELSE trunc(ms_played) END AS INTEGER) AS ms_played,
     spotify_track_uri, track_name, album_name, artist_name,
     COALESCE(upper(shuffle) = 'TRUE', false) AS shuffle,
     COALESCE(upper(skipped) = 'TRUE', false) AS skipped,
@@ -171,7 +179,7 @@ _ARTIST_PROFILE = f"""
 , cat AS (
   SELECT artist AS artist_name, CAST(trunc(avg(duration_ms)) AS BIGINT) AS avg_duration_ms,
     {", ".join(f"{r4(f'avg({c})')} AS avg_{c}" for c in _PROFILE_FEATS)}
-  FROM clean_catalog GROUP BY artist
+  FROM clean_catalog WHERE artist IS NOT NULL GROUP BY artist
 ), pl AS ({_totals("artist_name")} FROM enriched WHERE artist_name IS NOT NULL GROUP BY artist_name)
 , artist_profile AS (
 SELECT cat.artist_name, avg_duration_ms, {", ".join(f"avg_{c}" for c in _PROFILE_FEATS)},
@@ -220,6 +228,14 @@ def _coverage(normalize: bool) -> str:
       FROM tot"""
 
 
+_FEATURE_KEYS = f"""
+      SELECT 'track:' || id AS "key", 'track' AS scope,
+        {', '.join(f'{p6(f"CAST({q(c)} AS DOUBLE)")} AS {q(c)}' for c in CATALOG_FEATURES)} FROM tracks
+      UNION ALL
+      SELECT 'artist:' || artist, 'artist', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM artists_t
+      UNION ALL
+      SELECT 'global:OTHERS', 'global', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM global_t"""
+
 _SELECTS: dict[str, str] = {
     "enriched_events": f"SELECT {ENRICHED_SELECT} FROM enriched",
     "match_tiers": 'SELECT "timestamp", track_uri, artist_name, tier FROM enriched_tiered',
@@ -229,13 +245,8 @@ _SELECTS: dict[str, str] = {
     "track_features": f"SELECT id, {_features()} FROM tracks",
     "artist_features": f"SELECT artist, {', '.join(f'{p6(q(c))} AS {q(c)}' for c in CATALOG_FEATURES)} FROM artists_t",
     "global_features": f"SELECT {', '.join(f'{p6(q(c))} AS {q(c)}' for c in CATALOG_FEATURES)} FROM global_t",
-    "feature_keys": f"""
-      SELECT 'track:' || id AS "key", 'track' AS scope,
-        {', '.join(f'{p6(f"CAST({q(c)} AS DOUBLE)")} AS {q(c)}' for c in CATALOG_FEATURES)} FROM tracks
-      UNION ALL
-      SELECT 'artist:' || artist, 'artist', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM artists_t
-      UNION ALL
-      SELECT 'global:OTHERS', 'global', {', '.join(p6(q(c)) for c in CATALOG_FEATURES)} FROM global_t""",
+    "feature_keys": _FEATURE_KEYS,
+    "features_from_json": _FEATURE_KEYS,
     "duplicate_keys": """
       SELECT spotify_track_uri, COUNT(*) AS n FROM history WHERE spotify_track_uri IS NOT NULL
       GROUP BY spotify_track_uri HAVING COUNT(*) > 1""",
@@ -244,6 +255,15 @@ _SELECTS: dict[str, str] = {
     "orphans": f"""{_ARTIST_PROFILE}
       SELECT "timestamp", track_uri, artist_name FROM enriched e WHERE e.artist_name IS NOT NULL
         AND NOT EXISTS (SELECT 1 FROM artist_profile p WHERE p.artist_name = e.artist_name)""",
+    "orphans_tracks_albums": f"""{_ALBUM_DIM}
+      , named AS (SELECT track_uri, first.a AS album_name FROM (
+          SELECT track_uri, min({{'t': "timestamp", 'n': track_name, 'a': album_name}}) AS first
+          FROM enriched WHERE track_uri IS NOT NULL GROUP BY track_uri))
+      SELECT c.id AS track_uri, n.album_name FROM clean_catalog c JOIN named n ON n.track_uri = c.id
+      WHERE n.album_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM album_dim d WHERE d.album_name = n.album_name)""",
+    "orphans_albums_artists": f"""{_ARTIST_PROFILE}{_ALBUM_DIM}
+      SELECT album_name, artist_name, "year" FROM album_dim d WHERE artist_name IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM artist_profile p WHERE p.artist_name = d.artist_name)""",
     "coverage_report": _coverage(True),
     "coverage_exact": _coverage(False),
     "known_tracks": """

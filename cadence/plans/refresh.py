@@ -3,24 +3,18 @@
 Each table is conformed to its contract (decimals at the sink, defaults)
 and replaces the previous version. Rows that break a NOT NULL rule of the
 contract (e.g. a catalog track never played has no track name) are written
-to ``<table>_rejects`` instead of being dropped silently.
+to ``<table>_rejects`` instead of being dropped silently; a repeated primary
+key stops the job before the table is replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cadence.operators import profiles
-from cadence.sources.sinks import CONTRACTS, conform
-
-
-def _split(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    bad = F.lit(False)
-    for c in CONTRACTS[name]["not_null"]:
-        bad = bad | F.col(c).isNull()
-    flagged = df.withColumn("_bad", bad)
-    return flagged.where(~F.col("_bad")).drop("_bad"), flagged.where(F.col("_bad")).drop("_bad")
+from cadence.operators.prepare import assert_unique
+from cadence.schemas import CONTRACTS
+from cadence.sources.sinks import conform, split_violations
 
 
 def refresh_dimensions(sink, events: DataFrame, clean_catalog: DataFrame) -> dict[str, DataFrame]:
@@ -33,7 +27,9 @@ def refresh_dimensions(sink, events: DataFrame, clean_catalog: DataFrame) -> dic
     }
     out = {}
     for name, df in tables.items():
-        ok, rejects = _split(conform(df, name), name)
+        ok, rejects = split_violations(conform(df, name), name)
+        if "key" in CONTRACTS[name]:
+            assert_unique(ok, CONTRACTS[name]["key"])
         sink.write(ok, name)
         sink.write(rejects, f"{name}_rejects")
         out[name] = ok

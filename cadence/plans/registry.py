@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 from cadence.functions import present
 from cadence.operators import coverage, metrics, panels, prepare, profiles
 from cadence.plans.workload import Workload
+from cadence.schemas import ENRICHED_COLUMNS
+from cadence.session import run_folder
+from cadence.sources.files import load_feature_store, write_feature_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +45,7 @@ def _q(fn: Callable[[Workload], DataFrame]) -> Query:
 
 def enriched_events(w: Workload) -> DataFrame:
     """Every cleaned play with the features of its tier."""
-    return w.enriched
+    return w.enriched.select(*ENRICHED_COLUMNS)
 
 
 def match_tiers(w: Workload) -> DataFrame:
@@ -90,6 +93,24 @@ def orphans(w: Workload) -> DataFrame:
     return prepare.orphans(plays, profiles.artist_profile(w.enriched, w.clean_catalog), "artist_name")
 
 
+def orphans_tracks_albums(w: Workload) -> DataFrame:
+    """Catalog tracks whose album has no row in the album dimension."""
+    tracks = profiles.track_profile(w.enriched, w.clean_catalog).select("track_uri", "album_name")
+    return prepare.orphans(tracks, profiles.album_dim(w.enriched), "album_name")
+
+
+def orphans_albums_artists(w: Workload) -> DataFrame:
+    """Albums whose artist has no row in the artist dimension."""
+    return prepare.orphans(profiles.album_dim(w.enriched), profiles.artist_profile(w.enriched, w.clean_catalog), "artist_name")
+
+
+def features_from_json(w: Workload) -> DataFrame:
+    """F14 + S8: the three tiers, written as keyed JSON and read back, as one keyed set."""
+    path = run_folder(w.spark, "json-store")
+    write_feature_store(w.tracks, w.artists, w.global_row, path, fmt="json")
+    return prepare.feature_keys(*load_feature_store(w.spark, path))
+
+
 def coverage_report(w: Workload) -> DataFrame:
     return coverage.coverage_report(w.raw_history, w.catalog)
 
@@ -191,7 +212,8 @@ def top_tracks(w: Workload) -> DataFrame:
 
 def top_tracks_recent(w: Workload) -> DataFrame:
     """A14 + T1 + P8: the ten most played tracks of the last four hours of hourly rows."""
-    return panels.top_tracks(metrics.windowed_leaderboard(w.enriched, TIMELINE_WINDOW), minutes=RECENT_MINUTES,
+    plays = panels.recent(w.enriched, "timestamp", RECENT_MINUTES, w.as_of)  # windows that start later hold no other play
+    return panels.top_tracks(metrics.windowed_leaderboard(plays, TIMELINE_WINDOW), minutes=RECENT_MINUTES,
                              as_of=w.as_of, n=10)
 
 
@@ -214,7 +236,8 @@ def mood_timeline(w: Workload) -> DataFrame:
 
 def mood_timeline_recent(w: Workload) -> DataFrame:
     """T6 + P8: hourly mood rows of the last four hours before the newest play."""
-    return panels.mood_timeline(metrics.windowed_mood(w.enriched, TIMELINE_WINDOW), minutes=RECENT_MINUTES,
+    plays = panels.recent(w.enriched, "timestamp", RECENT_MINUTES, w.as_of)
+    return panels.mood_timeline(metrics.windowed_mood(plays, TIMELINE_WINDOW), minutes=RECENT_MINUTES,
                                 as_of=w.as_of)
 
 
@@ -244,7 +267,8 @@ def global_fallback(w: Workload) -> DataFrame:
 
 _BATCH = [
     enriched_events, match_tiers, clean_catalog, clean_history, track_features, artist_features,
-    global_features, feature_keys, duplicate_keys, catalog_id_duplicates, orphans, coverage_report,
+    global_features, feature_keys, duplicate_keys, catalog_id_duplicates, orphans, orphans_tracks_albums,
+    orphans_albums_artists, features_from_json, coverage_report,
     coverage_exact, known_tracks, unmatched_logs, matched_logs, distinct_artists, leaderboard, mood_metrics,
     engagement, mood_sample, windowed_mood, windowed_leaderboard, windowed_engagement, kpi, kpi_recent, heatmap,
     heatmap_grid, skip_profile, completion_by_hour, artist_engagement, likeability, nostalgia, top_tracks,

@@ -1,17 +1,20 @@
 """The shared inputs of every registered query over one test-data folder.
 
-Nothing here runs until a query is acted on; each property is a lazy
-DataFrame built from the folder's Parquet tables.
+Each property is a lazy DataFrame built from the folder's Parquet tables,
+but for ``enriched_tiered``: it is the result of an enrich job, which the first
+query that needs it runs.
 """
 
 from __future__ import annotations
 
+import os
+import zlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.session import app_id, run_folder, shared_dir
+from cadence.session import app_id, remove_folder, shared_dir
 from cadence.operators import enrich as enr
 from cadence.operators import prepare
 from cadence.sources.fixtures import catalog_from_part, history_from_events, read_table
@@ -84,15 +87,26 @@ class Workload:
     def enriched_tiered(self) -> DataFrame:
         """The enriched plays, written once as a table that every panel then scans.
 
-        Like the reference's enriched-events table: enrichment (the joins) runs
-        once, and each panel reads only its columns from Parquet. The table
-        lives in the shared checkpoint folder; without one the plan is used as is.
+        The joins run once, and each panel reads only its columns and the days
+        (``dt`` folders) of its lookback. One table per application and input
+        folder, under the shared folder; :meth:`drop_tables` removes it.
         """
-        folder = run_folder(self.spark, "enriched") if shared_dir(self.spark) else None
-        if folder is None:
-            return self.enriched_plan
-        self.enriched_plan.write.mode("overwrite").parquet(folder)
-        return self.spark.read.parquet(folder)
+        by_day = self.enriched_plan.withColumn("dt", F.to_date("timestamp")).hint("rebalance", F.col("dt"))
+        (by_day.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dt").parquet(self.enriched_path))
+        schema = by_day.schema
+        return self.spark.read.schema(schema).parquet(self.enriched_path)
+
+    @property
+    def enriched_path(self) -> str:
+        name = f"{app_id(self.spark)}-{zlib.crc32(self.sf_dir.encode()):08x}"
+        return os.path.join(shared_dir(self.spark), "cadence-enriched", name)
+
+    def drop_tables(self) -> None:
+        """Delete the enriched table and forget the plans that read it."""
+        remove_folder(self.spark, self.enriched_path)
+        for name in ("enriched_tiered", "enriched", "as_of"):
+            self.__dict__.pop(name, None)
+        self._shared.pop((app_id(self.spark), self.sf_dir), None)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -102,7 +116,7 @@ class Workload:
     def as_of(self):
         """The newest play: lookback panels are anchored in the data, not the wall clock.
 
-        Read from the enriched plays (one row per cleaned play), so the
-        anchor costs one column scan of that table, not a second derivation.
+        Read from the newest day of the enriched plays only.
         """
-        return self.enriched.select(F.max("timestamp")).scalar()
+        newest_day = self.enriched.select(F.max("dt")).scalar()
+        return self.enriched.where(F.col("dt") == newest_day).select(F.max("timestamp")).scalar()

@@ -75,24 +75,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return d.rstrip("/")
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """The checkpoint folder, or — in local mode only (a test machine) — a local one set now.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the checkpoint folder, or the warehouse where none is named.
 
-    Returns None on a cluster without ``spark.checkpoint.dir``: callers then
-    keep their work in the plan instead of writing intermediate tables.
+    Both are shared by the driver and the executors of a cluster.
     """
-    d = configured_checkpoint_dir(spark)
-    if d:
-        return d.rstrip("/")
-    if (spark.conf.get("spark.master", None) or "").startswith("local"):
-        import tempfile
-        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="cadence-checkpoints-"))
-    return None
+    return (configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for one run's tables and stream state."""
-    base = shared_dir(spark)
-    if base is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables on whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

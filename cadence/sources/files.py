@@ -6,10 +6,18 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from cadence.operators import prepare
-from cadence.schemas import CATALOG_SCHEMA, RAW_HISTORY_SCHEMA
+from cadence.schemas import (
+    ARTIST_PREFIX,
+    CATALOG_FEATURES,
+    CATALOG_SCHEMA,
+    GLOBAL_KEY,
+    RAW_HISTORY_SCHEMA,
+    TRACK_PREFIX,
+)
 
 TIERS = ("tracks", "artists", "global")
 
@@ -59,24 +67,38 @@ def write_feature_store(tracks: DataFrame, artists: DataFrame, global_row: DataF
     global_row.coalesce(1).write.mode("overwrite").format(fmt).save(os.path.join(path, "global"))
 
 
-def write_bucketed_tracks(tracks: DataFrame, path: str, table: str, buckets: int) -> None:
-    """The track tier as a bucketed table (``buckets`` hash buckets on ``id``, sorted within each).
+def features_of_json(keyed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tracks, artists, global) of the keyed JSON form; a feature that is absent or no number is 0.0."""
+    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in CATALOG_FEATURES])
+    value = keyed.select("key", F.from_json("value", schema).alias("v"))
+    feats = [F.coalesce(F.col(f"v.{f}"), F.lit(0.0)).alias(f) for f in CATALOG_FEATURES]
 
-    A later join on the track id reads the tier bucket by bucket and shuffles
-    only the other side into the same buckets: the tier is never shuffled
-    again, however often it is joined. The table is external (files under
-    ``path``); its bucket layout is kept in the session catalog.
-    """
-    (tracks.write.mode("overwrite").option("path", os.path.join(path, "tracks_bucketed"))
-     .bucketBy(buckets, "id").sortBy("id").saveAsTable(table))
+    def tier(prefix: str, name: str) -> DataFrame:
+        return value.where(F.col("key").startswith(prefix)).select(
+            F.substring(F.col("key"), F.lit(len(prefix) + 1), F.length("key")).alias(name), *feats)
+
+    return tier(TRACK_PREFIX, "id"), tier(ARTIST_PREFIX, "artist"), value.where(F.col("key") == GLOBAL_KEY).select(*feats)
 
 
-def read_bucketed_tracks(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+def store_version(spark: SparkSession, path: str) -> str:
+    """Changes whenever the store under ``path`` is written again (times of its completed writes)."""
+    jvm = spark._jvm
+    out = []
+    for part in ("keyed", *TIERS):
+        p = jvm.org.apache.hadoop.fs.Path(os.path.join(path, part, "_SUCCESS"))
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            out.append(f"{part}:{fs.getFileStatus(p).getModificationTime()}")
+    return ",".join(out)
 
 
 def store_exists(spark: SparkSession, path: str) -> bool:
-    """True when all three tiers have been written under ``path``."""
+    """True when all three tiers, or their keyed JSON form, have been written under ``path``."""
+    try:
+        spark.read.schema("key string, value string").json(os.path.join(path, "keyed")).schema  # noqa: B018
+        return True
+    except AnalysisException:
+        pass
     try:
         for t in TIERS:
             spark.read.parquet(os.path.join(path, t)).schema  # noqa: B018 (lists the files only)
@@ -100,4 +122,9 @@ def load_feature_store(spark: SparkSession, path: str, catalog: DataFrame | None
             prepare.assert_unique(clean, "id")
         write_feature_store(prepare.track_features(clean), prepare.artist_features(clean),
                             prepare.global_features(clean), path)
+    try:
+        return features_of_json(spark.read.schema("key string, value string").json(os.path.join(path, "keyed")))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
     return tuple(spark.read.parquet(os.path.join(path, t)) for t in TIERS)  # type: ignore[return-value]

@@ -18,10 +18,17 @@ from pyspark.sql import functions as F
 # Fixed values of the derivation rule (FIXTURES.md §2).
 TRACK_ID_PREFIX = "t"
 SECOND_ARTIST = "x"
-EXCLUDED_BRAND = "Brand#7"      # neither track nor artist known -> global tier
-ARTIST_ONLY_MODULUS = 4         # parts with key % 4 == 0 are left out -> artist tier
+UNLISTED_BRAND = "Brand#7"      # its plays name an unknown track and artist -> global tier
+UNLISTED_TRACK_PREFIX, UNLISTED_ARTIST = "u", "Unlisted#7"
+ARTIST_ONLY_MODULUS = 4         # plays of parts with key % 4 == 0 name an unknown track -> artist tier
+COMMA_MODULUS = 13              # parts whose artist list ends with a comma
+FEATURED_MODULUS = 37           # parts whose artists text goes on after the list (no list literal)
+NONE_MODULUS = 41               # parts whose artist list starts with None (no first artist)
 NULL_DURATION_MODULUS = 31      # parts with key % 31 == 0 get a null duration -> dropped
 NULL_MS_MODULUS = 23            # events with id % 23 == 0 have no ms_played
+NAN_MS_MODULUS = 43             # events with id % 43 == 0 have ms_played NaN
+HUGE_MS_MODULUS = 47            # events with id % 47 == 0 have an ms_played beyond int
+HUGE_MS = 1e12
 NULL_URI_MODULUS = 19           # events with id % 19 == 0 have no track uri
 NULL_ARTIST_MODULUS = 17        # events with id % 17 == 0 have no artist
 EVENT_KEY_FACTOR = 7            # part key = (event_id * 7 + user_id) % count(part)
@@ -41,12 +48,17 @@ def catalog_from_part(part: DataFrame) -> DataFrame:
     """Song catalog in the raw catalog layout (id, artists list literal, 13 features)."""
     k = F.col("p_partkey")
     q = F.lit("'")
+    quoted = F.concat(q, F.col("p_brand"), q)
+    artists = (
+        F.when(k % NONE_MODULUS == 0, F.concat(F.lit("[None, "), quoted, F.lit("]")))
+        .when(k % FEATURED_MODULUS == 0, F.concat(F.lit("["), quoted, F.lit("] feat "), F.lit(SECOND_ARTIST)))
+        .when(k % COMMA_MODULUS == 0, F.concat(F.lit("["), quoted, F.lit(",]")))
+        .otherwise(F.concat(F.lit("["), quoted, F.lit(", "), q, F.lit(SECOND_ARTIST), q, F.lit("]")))
+    )
     return (
-        part.where((k % ARTIST_ONLY_MODULUS != 0) & (F.col("p_brand") != EXCLUDED_BRAND))
-        .select(
+        part.select(
             F.concat(F.lit(TRACK_ID_PREFIX), k.cast("string")).alias("id"),
-            F.concat(F.lit("["), q, F.col("p_brand"), q, F.lit(", "), q, F.lit(SECOND_ARTIST), q, F.lit("]"))
-            .alias("artists"),
+            artists.alias("artists"),
             _frac(k, 37).alias("valence"),
             _frac(k, 91).alias("energy"),
             (F.col("p_size").cast("double") / 50).alias("danceability"),
@@ -81,27 +93,23 @@ def history_from_events(events: DataFrame, part: DataFrame) -> DataFrame:
     p = part.select("p_partkey", "p_name", "p_type", "p_brand")
     j = e.join(p, e["_pk"] == p["p_partkey"], "inner")
     eid, et = F.col("event_id"), F.col("event_type")
+    unlisted = F.col("p_brand") == UNLISTED_BRAND
+    prefix = F.when(unlisted | (F.col("p_partkey") % ARTIST_ONLY_MODULUS == 0), UNLISTED_TRACK_PREFIX).otherwise(TRACK_ID_PREFIX)
     return j.select(
         eid.alias("event_id"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.when(eid % NULL_MS_MODULUS == 0, F.lit(None).cast("double"))
+        .when(eid % NAN_MS_MODULUS == 0, F.lit(float("nan"))).when(eid % HUGE_MS_MODULUS == 0, F.lit(HUGE_MS))
         .otherwise(F.floor(F.col("value") * MS_PER_VALUE) + F.lit(0.5)).alias("ms_played"),
         F.when(eid % NULL_URI_MODULUS == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(TRACK_ID_PREFIX), F.col("p_partkey").cast("string"))).alias("spotify_track_uri"),
+        .otherwise(F.concat(prefix, F.col("p_partkey").cast("string"))).alias("spotify_track_uri"),
         F.col("p_name").alias("track_name"),
         F.col("p_type").alias("album_name"),
         F.when(eid % NULL_ARTIST_MODULUS == 0, F.lit(None).cast("string"))
-        .otherwise(F.col("p_brand")).alias("artist_name"),
+        .otherwise(F.when(unlisted, UNLISTED_ARTIST).otherwise(F.col("p_brand"))).alias("artist_name"),
         F.when(F.col("user_id") % 2 == 0, F.lit("TRUE")).otherwise(F.lit("false")).alias("shuffle"),
         F.when(et == "error", F.lit("True")).when(et == "signup", F.lit(None).cast("string"))
         .otherwise(F.lit("FALSE")).alias("skipped"),
         F.when(et == "click", F.lit("ForwardSkipBtn")).when(et == "view", F.lit("trackdone"))
         .otherwise(F.lit(None).cast("string")).alias("reason_end"),
     )
-
-
-def load_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(raw catalog, raw history) for a test-data folder."""
-    part = read_table(spark, sf_dir, "part")
-    events = read_table(spark, sf_dir, "events")
-    return catalog_from_part(part), history_from_events(events, part)

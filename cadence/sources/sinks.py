@@ -1,10 +1,9 @@
 """Result-table sinks and table contracts.
 
-:class:`TableSink` writes Parquet tables partitioned by ``batch_id``; a
-replayed micro-batch overwrites its own partition (dynamic partition
-overwrite), so a retry after a failure never duplicates rows.
-:class:`JdbcSink` appends over JDBC (at-least-once: a replayed batch
-repeats its rows unless the table has a key on ``batch_id``).
+Both sinks replace a micro-batch as a whole when it is written again, so a
+retry never duplicates rows, whatever the clock says by then and even when
+the retry has no rows for a table. :class:`TableSink` overwrites the batch's
+own folder; :class:`JdbcSink` deletes the batch's rows before it inserts.
 """
 
 from __future__ import annotations
@@ -38,15 +37,12 @@ def conform(df: DataFrame, name: str, extra: list[str] | None = None) -> DataFra
     return df.select(*cols)
 
 
-def violations(df: DataFrame, name: str) -> DataFrame:
-    """Rows that break a NOT NULL rule of the contract."""
-    nn = CONTRACTS[name]["not_null"]
-    if not nn:
-        return df.limit(0)
-    cond = F.lit(False)
-    for c in nn:
-        cond = cond | F.col(c).isNull()
-    return df.where(cond)
+def split_violations(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that keep the contract's NOT NULL rules, rows that break one)."""
+    bad = F.lit(False)
+    for c in CONTRACTS[name]["not_null"]:
+        bad = bad | F.col(c).isNull()
+    return df.where(~bad), df.where(bad)
 
 
 # Time column of each result table; its date becomes the ``dt`` partition.
@@ -60,11 +56,15 @@ TIME_COLUMNS = {
 }
 
 
+# Columns that name the reports of one run of one query, outermost folder first.
+REPORT_KEYS = ["query_id", "run_id", "batch_id"]
+
+
 class TableSink:
-    """Parquet result tables under ``root``/<table>/dt=<date>/batch_id=<n>.
+    """Parquet result tables under ``root``/<table>/batch_id=<n>/dt=<date>.
 
-    ``dt`` lets lookback panels skip whole folders (partition pruning);
-    ``batch_id`` makes each micro-batch's write replaceable.
+    ``batch_id`` makes each micro-batch's write replaceable as a whole; ``dt``
+    lets lookback panels skip whole folders (partition pruning).
     """
 
     def __init__(self, root: str):
@@ -74,23 +74,23 @@ class TableSink:
         return os.path.join(self.root, name)
 
     def write(self, df: DataFrame, name: str, batch_id: int | None = None) -> None:
-        """Write one batch's rows; re-writing the same ``batch_id`` replaces them.
+        """Write one batch's rows; writing the same ``batch_id`` again replaces all of them.
 
-        Without ``batch_id`` a frame that carries a ``batch_id`` column replaces
-        just those batches; any other frame replaces the table.
+        Without ``batch_id`` a frame with ``query_id``, ``run_id`` and ``batch_id`` columns
+        replaces just those reports; any other frame replaces the table.
         """
-        out = df if batch_id is None else df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        parts = []
+        out, parts = df, [c for c in REPORT_KEYS if c in df.columns] if batch_id is None else []
         tcol = TIME_COLUMNS.get(name)
         if tcol and tcol in out.columns:
             out = out.withColumn("dt", F.to_date(F.col(tcol)))
-            parts.append("dt")
-        if "batch_id" in out.columns:
-            parts.append("batch_id")
-        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(self.path(name))
+            if not parts:
+                out = out.hint("rebalance", F.col("dt"))
+        path = self.path(name) if batch_id is None else os.path.join(self.path(name), f"batch_id={int(batch_id)}")
+        folders = [*parts, *(["dt"] if "dt" in out.columns else [])]
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if parts else "static")
+        if folders:
+            w = w.partitionBy(*folders)
+        w.parquet(path)
 
     def create(self, spark: SparkSession, name: str) -> bool:
         """S12 ``CREATE TABLE IF NOT EXISTS``: write an empty table of the contract; False if it exists."""
@@ -118,6 +118,8 @@ class TableSink:
             schema = T.StructType(list(contract(name).fields))
             if name in TIME_COLUMNS:
                 schema = schema.add("dt", T.DateType())
+            for c in REPORT_KEYS[:2] if name == "system_metrics" else []:
+                schema = schema.add(c, T.StringType())
             schema = schema.add("batch_id", T.LongType())
         try:
             r = spark.read.schema(schema) if schema is not None else spark.read
@@ -129,16 +131,55 @@ class TableSink:
 
 
 class JdbcSink:
-    """Append-only relational sink (PostgreSQL in the reference; any JDBC driver on the classpath)."""
+    """Relational sink (PostgreSQL in the reference; any JDBC driver on the classpath)."""
 
     def __init__(self, url: str, properties: dict[str, str] | None = None, batchsize: int = 500):
         self.url = url
         self.properties = dict(properties or {})
         self.properties.setdefault("batchsize", str(batchsize))
 
+    def _connection(self, spark: SparkSession):
+        jvm = spark._jvm
+        if "driver" in self.properties:  # registers the driver with the DriverManager Spark itself uses
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self.properties["driver"])
+        p = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            p.setProperty(k, v)
+        return jvm.java.sql.DriverManager.getConnection(self.url, p)
+
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        c = self._connection(spark)
+        try:
+            found = c.getMetaData().getTables(None, None, None, None)
+            while found.next():
+                if found.getString("TABLE_NAME").lower() == name.lower():
+                    return True
+            return False
+        finally:
+            c.close()
+
+    def delete_batch(self, spark: SparkSession, name: str, batch_id: int) -> None:
+        c = self._connection(spark)
+        try:
+            s = c.prepareStatement(f'DELETE FROM {name} WHERE "batch_id" = ?')
+            s.setLong(1, int(batch_id))
+            s.executeUpdate()
+        finally:
+            c.close()
+
     def write(self, df: DataFrame, name: str, batch_id: int | None = None) -> None:
+        """Insert one batch's rows after deleting what an earlier try of the batch left."""
         out = df if batch_id is None else df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        if batch_id is not None and self.exists(df.sparkSession, name):
+            self.delete_batch(df.sparkSession, name, batch_id)
         out.write.mode("append").jdbc(self.url, name, properties=self.properties)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.jdbc(self.url, name, properties=self.properties)
+        """The table with its contract's types, or an empty frame of the contract when there is none."""
+        if name not in CONTRACTS:
+            return spark.read.jdbc(self.url, name, properties=self.properties)
+        if not self.exists(spark, name):
+            return spark.createDataFrame([], T.StructType(list(contract(name).fields)).add("batch_id", T.LongType()))
+        table = spark.read.option("preferTimestampNTZ", "true").jdbc(self.url, name, properties=self.properties)
+        kept = ["batch_id"] if "batch_id" in [c.lower() for c in table.columns] else []
+        return conform(table, name, extra=kept)

@@ -10,18 +10,20 @@ Scale notes:
   micro-batch shuffles only its own rows to meet it (the catalog is never
   re-shuffled); the artist tier is measured once and broadcast only when
   small; the global tier is one row.
-* Each table is written under ``batch_id`` with dynamic partition
-  overwrite: a batch replayed after a failure replaces its rows instead of
-  adding them again. Progress lives in the checkpoint folder, so a restart
-  continues from the last committed batch.
-* The enriched batch is persisted (memory and disk) while the five writes
-  read it; lost blocks are recomputed from the source offsets.
+* The sinks replace a batch's rows of every table as a whole: a batch
+  replayed after a failure, on whatever day, doesn't add them again. Progress
+  lives in the checkpoint folder, so a restart continues from the last
+  committed batch.
+* The enriched batch is persisted (memory and disk): the events table is
+  written first and fills the cache, then the other writes run as concurrent
+  jobs over it. Lost blocks are recomputed from the source offsets.
+* A feature store that is written again while the stream runs is read again
+  before the next batch (:class:`WatchedStore`).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -33,8 +35,8 @@ from pyspark.sql.streaming import StreamingQuery
 from cadence.operators.enrich import enrich, split_quarantine
 from cadence.operators.metrics import engagement, leaderboard, mood_metrics, mood_sample
 from cadence.operators.sizing import broadcast_if_small
-from cadence.schemas import TS_FORMAT
-from cadence.sources.sinks import TableSink, conform
+from cadence.sources.files import load_feature_store, store_version
+from cadence.sources.sinks import conform, split_violations
 
 
 @dataclass
@@ -59,43 +61,72 @@ class FeatureStore:
             df.unpersist()
 
 
-def batch_stamp(when: dt.datetime | None = None):
-    """One wall-clock literal per batch, shared by all five tables."""
-    when = when or dt.datetime.now()
-    return F.to_timestamp_ntz(F.lit(when.strftime("%Y-%m-%d %H:%M:%S")), F.lit(TS_FORMAT))
+class WatchedStore:
+    """The feature store under ``path``, prepared again when it has been written again."""
+
+    def __init__(self, spark: SparkSession, path: str, catalog: DataFrame | None = None):
+        self.spark, self.path, self.catalog = spark, path, catalog
+        self.store: FeatureStore | None = None
+        self.version = ""
+
+    def current(self) -> FeatureStore:
+        version = store_version(self.spark, self.path)
+        if self.store is None or version != self.version:
+            self.release()
+            self.store = FeatureStore.prepare(*load_feature_store(self.spark, self.path, catalog=self.catalog))
+            self.version = store_version(self.spark, self.path)  # it may just have been built
+        return self.store
+
+    def release(self) -> None:
+        if self.store is not None:
+            self.store.release()
+            self.store = None
+
+
+def batch_stamp(spark: SparkSession, when: dt.datetime | None = None):
+    """One wall-clock literal per batch, shared by all tables.
+
+    Spark's own clock in the session zone, the one that lookbacks are anchored to.
+    """
+    if when is not None:
+        text = when.strftime("%Y-%m-%d %H:%M:%S")
+    else:
+        text = spark.sql("SELECT substring(CAST(localtimestamp() AS STRING), 1, 19)").first()[0]
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def _write_all(sink, tables: list[tuple[DataFrame, str]], batch_id: int, parallel: bool) -> None:
-    """Write each (frame, table); independent writes are submitted as concurrent Spark jobs."""
-    if not parallel or len(tables) < 2:
-        for df, name in tables:
+    """Write each (frame, table): the first fills the cache, the others then run as concurrent Spark jobs."""
+    first, rest = tables[0], tables[1:]
+    sink.write(*first, batch_id)
+    if not parallel or len(rest) < 2:
+        for df, name in rest:
             sink.write(df, name, batch_id)
         return
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(sink.write, df, name, batch_id) for df, name in tables]
+    with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+        futures = [pool.submit(sink.write, df, name, batch_id) for df, name in rest]
         for f in futures:
             f.result()
 
 
 HOT_TRACK_FRACTION = 0.01
-# Below this many plays a batch is joined without the hot-key split: a third of
-# a small batch in one task is no straggler, and the split costs two small jobs.
-HOT_SPLIT_MIN_ROWS = 1_000_000
 
 
-def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
+def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore | WatchedStore, sink, *,
                   sample_n: int = 200, sample_mode: str = "limit", when: dt.datetime | None = None,
                   parallel_writes: bool = True, hot_track_fraction: float | None = HOT_TRACK_FRACTION) -> bool:
     """One micro-batch -> events, leaderboard, mood, engagement, samples (+ quarantine).
 
-    Returns False for an empty batch (nothing written, P13). The six writes
-    read the same persisted enriched batch and run as concurrent jobs; each
-    is idempotent per ``batch_id``, so a failure in one is repaired by the
-    batch's retry without duplicating the others. In batches of at least
-    ``HOT_SPLIT_MIN_ROWS`` plays, tracks with ``hot_track_fraction`` of the
-    plays are joined map-side, since AQE cannot split skew against the
-    persisted track tier.
+    Returns False for an empty batch (nothing written, P13). The writes read
+    the same persisted enriched batch; each replaces the batch's rows, so a
+    failure in one is repaired by the batch's retry without duplicating the
+    others. Tracks with ``hot_track_fraction`` of the plays are joined
+    map-side, since AQE cannot split skew against the persisted track tier.
+    Event rows that break a NOT NULL rule go to the quarantine table.
     """
+    if isinstance(store, WatchedStore):
+        store = store.current()
+    spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = batch.count()                      # also fills the cache
@@ -103,20 +134,21 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
             return False
         raw_col = "raw" if "raw" in batch.columns else None
         valid, bad = split_quarantine(batch, raw_col=raw_col)
-        split = hot_track_fraction if rows >= HOT_SPLIT_MIN_ROWS else None
         enriched = enrich(valid, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1,
-                          hot_track_fraction=split, log_rows=rows).persist(StorageLevel.MEMORY_AND_DISK)
+                          hot_track_fraction=hot_track_fraction, log_rows=rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stamp = batch_stamp(when)
+            stamp = batch_stamp(spark, when)
+            ok, broken = split_violations(conform(enriched, "realtime_streaming_events"), "realtime_streaming_events")
+            broken = broken.select(F.to_json(F.struct("*")).alias("raw"), F.lit("null in a required column").alias("reason"))
             tables = [
-                (enriched, "realtime_streaming_events"),
-                (leaderboard(enriched, stamp), "realtime_leaderboard"),
-                (mood_metrics(enriched, stamp), "realtime_mood_metrics"),
-                (engagement(enriched, stamp), "engagement_metrics"),
-                (mood_sample(enriched, sample_n, sample_mode), "mood_matrix_samples"),
-                (bad, "quarantine"),
+                (ok, "realtime_streaming_events"),
+                (conform(leaderboard(enriched, stamp), "realtime_leaderboard"), "realtime_leaderboard"),
+                (conform(mood_metrics(enriched, stamp), "realtime_mood_metrics"), "realtime_mood_metrics"),
+                (conform(engagement(enriched, stamp), "engagement_metrics"), "engagement_metrics"),
+                (conform(mood_sample(enriched, sample_n, sample_mode), "mood_matrix_samples"), "mood_matrix_samples"),
+                (conform(bad, "quarantine").unionByName(broken), "quarantine"),
             ]
-            _write_all(sink, [(conform(df, name), name) for df, name in tables], batch_id, parallel_writes)
+            _write_all(sink, tables, batch_id, parallel_writes)
         finally:
             enriched.unpersist()
         return True
@@ -124,7 +156,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore, sink, *,
         batch.unpersist()
 
 
-def start_stream_job(logs: DataFrame, store: FeatureStore, sink, checkpoint: str,
+def start_stream_job(logs: DataFrame, store: FeatureStore | WatchedStore, sink, checkpoint: str,
                      trigger: dict | None = None, query_name: str | None = None, **batch_options) -> StreamingQuery:
     """Run :func:`process_batch` on every micro-batch of the parsed log stream.
 
@@ -142,159 +174,4 @@ def start_stream_job(logs: DataFrame, store: FeatureStore, sink, checkpoint: str
     return w.start()
 
 
-# --- registered queries: the stream run over a test-data folder -----------------
-
-_RUNS: dict[tuple[str, str], str] = {}
-REPLAY_FILES = 4
-STREAM_WINDOW = "10 minutes"
-STREAM_WATERMARK = "1 hour"
-
-
-def stream_run(spark: SparkSession, sf_dir: str) -> str:
-    """Replay the cleaned history of ``sf_dir`` through the streaming job once; return the sink root.
-
-    The history is written as JSON lines in time order (several files, one
-    per micro-batch) under the shared checkpoint folder, read back as a file
-    stream, and processed with ``availableNow``.
-    """
-    from cadence.plans.workload import Workload
-    from cadence.session import app_id, run_folder
-    from cadence.sources.files import load_feature_store
-    from cadence.streaming.progress import progress_metrics
-    from cadence.streaming.replay import replay_stream, write_replay_files
-    from cadence.streaming.windows import enriched_stream, start_windowed
-
-    key = (sf_dir, app_id(spark))
-    if key in _RUNS:
-        return _RUNS[key]
-    root = run_folder(spark, "stream")
-    w = Workload.of(spark, sf_dir)
-    write_replay_files(w.history, os.path.join(root, "input"), REPLAY_FILES)
-    tracks, artists, global_row = load_feature_store(spark, os.path.join(root, "store"), catalog=w.catalog)
-    store = FeatureStore.prepare(tracks, artists, global_row)
-    sink = TableSink(os.path.join(root, "tables"))
-    inp = os.path.join(root, "input")
-    try:
-        q = start_stream_job(replay_stream(spark, inp, files_per_trigger=1), store, sink,
-                             os.path.join(root, "_checkpoint"), trigger={"availableNow": True})
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"stream failed: {q.exception()}")
-        # The same replay through event-time windows with a watermark (stateful, append mode)
-        wq = start_windowed(enriched_stream(replay_stream(spark, inp, files_per_trigger=1), store, STREAM_WATERMARK),
-                            os.path.join(root, "windowed_mood"), os.path.join(root, "_checkpoint_windowed"),
-                            kind="mood", size=STREAM_WINDOW, trigger={"availableNow": True})
-        wq.awaitTermination()
-        if wq.exception() is not None:
-            raise RuntimeError(f"windowed stream failed: {wq.exception()}")
-    finally:
-        store.release()
-    # The main query's progress reports (one per micro-batch) as system metrics.
-    # A long-running job uses streaming.progress.ProgressRecorder instead.
-    sink.write(progress_metrics(spark, q.recentProgress), "system_metrics")
-    _RUNS[key] = root
-    return root
-
-
-def _sink(spark: SparkSession, sf_dir: str) -> TableSink:
-    return TableSink(os.path.join(stream_run(spark, sf_dir), "tables"))
-
-
-def stream_play_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream = batch: per-batch leaderboard counts summed per track equal the batch count."""
-    lb = _sink(spark, sf_dir).read(spark, "realtime_leaderboard")
-    return lb.groupBy("track_uri").agg(F.sum("play_count").cast("long").alias("plays"))
-
-
-def stream_engagement_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream = batch: skip and natural-end counts per track summed over batches."""
-    e = _sink(spark, sf_dir).read(spark, "engagement_metrics")
-    return e.groupBy("track_uri").agg(F.sum("skip_count").cast("long").alias("skip_count"),
-                                      F.sum("natural_end_count").cast("long").alias("natural_end_count"))
-
-
-def stream_mood_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream = batch: per-batch sums re-weighted into the overall averages."""
-    from cadence.functions import present
-    m = _sink(spark, sf_dir).read(spark, "realtime_mood_metrics")
-    n = F.sum("total_streams")
-    return m.agg(n.cast("long").alias("total_streams"),
-                 present(F.sum("sum_valence") / n).alias("avg_valence"),
-                 present(F.sum("sum_energy") / n).alias("avg_energy"))
-
-
-def stream_windowed_mood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W4 in streaming: every 10-minute window the final watermark has closed, emitted once."""
-    from cadence.plans.registry import show
-    root = stream_run(spark, sf_dir)
-    out = spark.read.parquet(os.path.join(root, "windowed_mood"))
-    return show(out.select("window_start_time", "window_end_time", "avg_valence", "avg_energy", "total_streams",
-                           "sum_valence", "sum_energy"))
-
-
-def stream_system_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One system-metrics row per micro-batch that had input (rate and processing delay)."""
-    return _sink(spark, sf_dir).read(spark, "system_metrics").select(
-        "batch_id", "events_per_second", "spark_processing_delay_ms")
-
-
-def stream_top_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A14 + T1 read from the streamed leaderboard table (per-batch counts merged), as the dashboard does."""
-    from cadence.plans.dashboard import dashboard
-    return dashboard(spark, _sink(spark, sf_dir), minutes=None)["top_tracks"]
-
-
-def stream_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8 read from the streamed events table."""
-    from cadence.plans.dashboard import dashboard
-    return dashboard(spark, _sink(spark, sf_dir), minutes=None)["heatmap"]
-
-
-def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per batch in the events table (one row per non-empty micro-batch)."""
-    ev = _sink(spark, sf_dir).read(spark, "realtime_streaming_events")
-    return ev.groupBy("batch_id").agg(F.count(F.lit(1)).alias("events"))
-
-
-def stream_queries() -> dict:
-    return {
-        "stream_play_counts": stream_play_counts,
-        "stream_engagement_totals": stream_engagement_totals,
-        "stream_mood_totals": stream_mood_totals,
-        "stream_batches": stream_batches,
-        "stream_windowed_mood": stream_windowed_mood,
-        "stream_system_metrics": stream_system_metrics,
-        "stream_top_tracks": stream_top_tracks,
-        "stream_heatmap": stream_heatmap,
-    }
-
-
-def stream_oracle() -> dict[str, str]:
-    from cadence.plans.oracle import PRELUDE, p6
-    return {
-        "stream_play_counts": PRELUDE + "SELECT track_uri, COUNT(*) AS plays FROM enriched GROUP BY track_uri",
-        "stream_engagement_totals": PRELUDE + """
-            SELECT track_uri, CAST(SUM(CASE WHEN is_skip THEN 1 ELSE 0 END) AS BIGINT) AS skip_count,
-              CAST(SUM(CASE WHEN NOT is_skip THEN 1 ELSE 0 END) AS BIGINT) AS natural_end_count
-            FROM enriched GROUP BY track_uri""",
-        "stream_mood_totals": PRELUDE + f"""
-            SELECT COUNT(*) AS total_streams, {p6("avg(valence)")} AS avg_valence,
-              {p6("avg(energy)")} AS avg_energy FROM enriched""",
-        "stream_windowed_mood": PRELUDE + f"""
-            SELECT * FROM (
-              SELECT time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start_time,
-                time_bucket(INTERVAL '10 minutes', "timestamp") + INTERVAL '10 minutes' AS window_end_time,
-                {p6("avg(valence)")} AS avg_valence, {p6("avg(energy)")} AS avg_energy, COUNT(*) AS total_streams,
-                {p6("sum(valence)")} AS sum_valence, {p6("sum(energy)")} AS sum_energy
-              FROM enriched GROUP BY 1, 2)
-            WHERE window_end_time <= (SELECT max("timestamp") FROM enriched) - INTERVAL 1 HOUR""",
-        "stream_top_tracks": PRELUDE + """
-            SELECT track_name, artist_name, COUNT(*) AS plays FROM enriched
-            GROUP BY track_name, artist_name ORDER BY plays DESC, track_name, artist_name LIMIT 10""",
-        "stream_heatmap": PRELUDE + """
-            SELECT day_of_week, hour_of_day, COUNT(*) AS plays FROM enriched GROUP BY day_of_week, hour_of_day""",
-    }
-
-
-__all__ = ["FeatureStore", "process_batch", "start_stream_job", "batch_stamp", "stream_run", "stream_queries",
-           "stream_oracle"]
+__all__ = ["FeatureStore", "WatchedStore", "process_batch", "start_stream_job", "batch_stamp"]

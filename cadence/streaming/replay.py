@@ -1,64 +1,33 @@
-"""S3: replay a listening history as a live log stream.
+"""S3: a listening history as a live log stream.
 
-The reference's producer loops over a CSV on one machine and sleeps between
-messages. Here the history is laid out as JSON-line files (one file per
-micro-batch) and read back as a file stream: the rate is set by
-``maxFilesPerTrigger`` and the trigger interval instead of a sleep, and the
-same files can be replayed to test recovery. With ``restamp`` every record's
-ts is replaced by the batch's wall clock, as the reference producer does.
+The reference's producer loops over a file on one machine and sleeps between
+messages. Here a folder of JSON-line files is read as a file stream: the rate
+is set by ``maxFilesPerTrigger`` and the trigger interval instead of a sleep,
+and the same files can be replayed to test recovery.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cadence.functions import to_json_row
-from cadence.schemas import LOG_SCHEMA, TS_FORMAT
+from cadence.schemas import LOG_SCHEMA
 from cadence.sources.kafka import parse_logs
 
 
-MAX_ROWS_PER_FILE = 1_000_000
+def log_lines(history: DataFrame) -> DataFrame:
+    """The messages of the log topic: each cleaned play as one JSON text ``value``, in ranges of ts.
 
-
-def write_replay_files(history: DataFrame, path: str, n_files: int, relative_error: float = 0.001,
-                       max_rows_per_file: int = MAX_ROWS_PER_FILE) -> int:
-    """Write log records as JSON lines: consecutive ts ranges, one file (one micro-batch) each.
-
-    A file stream takes files in modification order, so the ranges are
-    written one after another (oldest first); each range is one write job
-    and its rows are sorted by ts. At least ``n_files`` ranges are written,
-    more when needed to keep each file under ``max_rows_per_file`` rows. The
-    range bounds are approximate quantiles of ts (a few numbers on the
-    driver). Returns the number of files.
+    One range-partitioned job lays a history of any size out as files; plays
+    without a ts come first, so none is lost.
     """
     cols = [f.name for f in LOG_SCHEMA.fields]
-    logs = history.select(*cols).withColumn("_t", F.unix_seconds(F.col("ts").cast("timestamp")))
-    logs = logs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = logs.count()
-        n_files = max(n_files, -(-rows // max_rows_per_file))
-        probs = [i / n_files for i in range(1, n_files)]
-        bounds = logs.approxQuantile("_t", probs, relative_error) if probs else []
-        edges = [None] + bounds + [None]
-        for i in range(n_files):
-            cond = F.lit(True)
-            if edges[i] is not None:
-                cond = cond & (F.col("_t") >= edges[i])
-            if edges[i + 1] is not None:
-                cond = cond & (F.col("_t") < edges[i + 1])
-            (logs.where(cond).repartition(1).sortWithinPartitions("ts")
-             .select(to_json_row(*cols).alias("value")).write.mode("overwrite").text(f"{path}/chunk={i:05d}"))
-    finally:
-        logs.unpersist()
-    return n_files
+    return history.select(*cols).repartitionByRange("ts").select(to_json_row(*cols).alias("value"))
 
 
-def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1, restamp: bool = False) -> DataFrame:
+def replay_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Parsed log stream from JSON-line files (S2 applied to each line, raw text kept)."""
-    lines = spark.readStream.option("maxFilesPerTrigger", str(files_per_trigger)).text(path)
-    logs = parse_logs(lines, "value")
-    if restamp:
-        logs = logs.withColumn("ts", F.date_format(F.localtimestamp(), TS_FORMAT))
-    return logs
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
+    return parse_logs(reader.text(path), "value")

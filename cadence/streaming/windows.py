@@ -30,11 +30,18 @@ def enriched_stream(logs: DataFrame, store, watermark: str = "10 minutes") -> Da
     UTC reading is the play's wall-clock ``timestamp`` (no session zone involved);
     window bounds are mapped back to wall-clock times.
     """
-    valid, _ = split_quarantine(logs, raw_col="raw" if "raw" in logs.columns else None)
+    valid, _ = split_quarantine(logs, raw_col="raw" if "raw" in logs.columns else None)  # see quarantine_stream
     e = enrich(valid, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1)
     return e.withColumn(EVENT_TIME, wallclock_instant("timestamp")).withWatermark(EVENT_TIME, watermark)
 
 
+def quarantine_stream(logs: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """P15 for a windowed job: the rows that :func:`enriched_stream` can't window, with their reason."""
+    _, bad = split_quarantine(logs, raw_col="raw" if "raw" in logs.columns else None)
+    w = bad.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 def windowed_metrics(enriched: DataFrame, kind: str = "mood", size: str = "1 minute") -> DataFrame:
     """A4/A5/A6 per event-time tumbling window (needs a watermarked input in streaming)."""
     return KINDS[kind](enriched, size, EVENT_TIME)

@@ -7,9 +7,9 @@ from cadence.__main__ import main
 from cadence.plans.workload import Workload
 from cadence.sources.files import load_feature_store
 from cadence.sources.sinks import TableSink
-from cadence.streaming.replay import write_replay_files
 
 from .conftest import SF_SMALL
+from .helpers import write_replay_files
 from .test_sources import CATALOG_CSV, HISTORY_CSV
 
 
@@ -37,7 +37,15 @@ def test_prepare_coverage_and_stream(spark, scratch, capsys):
     assert TableSink(sink).read(spark, "realtime_streaming_events").count() == w.history.count()
 
     capsys.readouterr()
-    assert main(["dashboard", "--sink", sink, "--minutes", "0"]) == 0
-    panels = {x["panel"]: x["rows"] for x in map(json.loads, capsys.readouterr().out.strip().splitlines())}
-    assert panels["kpi"][0]["total_events"] == w.history.count()
-    assert len(panels["heatmap_grid"]) == 7 and len(panels["top_tracks"]) == 10
+    out = os.path.join(scratch, "panels")
+    assert main(["dashboard", "--sink", sink, "--minutes", "0", "--out", out]) == 0
+    told = {x["panel"]: x["path"] for x in map(json.loads, capsys.readouterr().out.strip().splitlines())}
+    assert spark.read.json(told["kpi"]).first().total_events == w.history.count()
+    assert spark.read.json(told["heatmap_grid"]).count() == 7 and spark.read.json(told["top_tracks"]).count() == 10
+    assert TableSink(sink).read(spark, "system_metrics").count() == 2      # one report per micro-batch
+
+    assert main(["refresh", "--sink", sink, "--catalog", cp]) == 0
+    assert TableSink(sink).read(spark, "artists").count() == 2
+    assert main(["windows", "--source", "files", "--input", inp, "--store", os.path.join(scratch, "store2"), "--kind", "leaderboard",
+                 "--size", "1 day", "--out", os.path.join(scratch, "win"), "--checkpoint", os.path.join(scratch, "wck"), "--available-now"]) == 0
+    assert spark.read.parquet(os.path.join(scratch, "win", "leaderboard")).count() > 0

@@ -89,3 +89,27 @@ def test_wallclock_instant_round_trip_in_any_zone(spark):
                 assert r.s == int(r.t.replace(tzinfo=dt.timezone.utc).timestamp())
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_first_artist_of_odd_literals(spark):
+    rows = [("['A'] feat B",), ("['A',]",), ("[None, 'A']",), ("[None]",), ("['A', None]",), ("['A, None, B', 'C']",), (" ['A'] ",), ("[broken",)]
+    got = _col(spark, rows, "a string", cf.first_artist("a"))
+    assert got == ["['A'] feat B", "A", None, None, "A", "A, None, B", "A", "[broken"]
+
+
+def test_log_ts_has_one_format(spark):
+    rows = [("2024-01-01 10:00:00",), ("2024",), ("2024-01-01",), ("2024-01-01T10:00:00+09:00",), ("2024-13-01 00:00:00",), (None,)]
+    got = _col(spark, rows, "t string", cf.parse_ts("t"))
+    assert got == [dt.datetime(2024, 1, 1, 10)] + [None] * 5
+
+
+def test_wall_clocks_without_a_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            t = spark.createDataFrame([("2024-03-10 02:30:01.75",)], "x string").select(F.col("x").cast("timestamp_ntz").alias("t"))
+            r = t.select(cf.format_ts("t").alias("a"), cf.truncate_second("t").cast("string").alias("b")).first()
+            assert (r.a, r.b) == ("2024-03-10 02:30:01",) * 2, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

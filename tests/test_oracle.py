@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from cadence.streaming.job import stream_queries
+from cadence.plans.stream_queries import stream_queries
 
 from .conftest import SF_SMALL
 
@@ -32,7 +32,7 @@ def _rows(cols, rows):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("part", "events"):
+    for t in ("part", "events", "documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t + '.parquet')}')")
     return con
 
@@ -57,7 +57,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle_or_is_streamed():
     missing = set(queries()) - set(oracle_sql())
-    assert missing <= set(stream_queries())
+    assert not missing & set(stream_queries())
+    assert all(q == "pipeline" or q.startswith("op") for q in missing)      # held against brute force in tests/llm
 
 
 def test_entry(spark):

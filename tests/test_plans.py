@@ -76,8 +76,8 @@ def test_stream_batch_join_does_not_reshuffle_tracks(spark):
         e = enrich(w.history, store.tracks, store.artists, store.global_row, artist_broadcast_bytes=-1)
         e.write.format("noop").mode("overwrite").save()
         plan = e._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin [spotify_track_uri" in plan
-        assert re.search(r"Exchange hashpartitioning\(spotify_track_uri#\d+, \d+\), ENSURE_REQUIREMENTS", plan)
+        assert "SortMergeJoin [coalesce(spotify_track_uri" in plan
+        assert re.search(r"Exchange hashpartitioning\(coalesce\(spotify_track_uri#\d+, .*, \d+\), ENSURE_REQUIREMENTS", plan)
         # the only exchange on the track id is the one inside the cached relation
         assert not re.search(r"Exchange hashpartitioning\((id|_t_key)#\d+, \d+\), ENSURE_REQUIREMENTS", plan)
         assert re.search(r"Exchange hashpartitioning\(id#\d+, \d+\), REPARTITION_BY_NUM", plan)
@@ -105,7 +105,7 @@ def test_hot_track_partition_is_split(spark):
         rows = e.collect()             # runs this frame's own plan (small fixture)
         plan = e._jdf.queryExecution().executedPlan().toString()
         assert "isFinalPlan=true" in plan
-        assert re.search(r"SortMergeJoin\(skew=true\) \[spotify_track_uri#\d+\]", plan), plan
+        assert re.search(r"SortMergeJoin\(skew=true\) \[coalesce\(spotify_track_uri#\d+", plan), plan
         assert len(rows) == h.count()
     finally:
         _restore(spark, old)
@@ -153,22 +153,24 @@ def test_hot_track_split_against_persisted_tier(spark):
         _restore(spark, old)
 
 
-def test_bucketed_track_tier_is_not_shuffled(spark, scratch):
-    """With the track tier bucketed on its id, the enrichment join shuffles only the plays."""
-    from cadence.operators.enrich import enrich
-    from cadence.sources.files import read_bucketed_tracks, write_bucketed_tracks
-    old = _no_broadcast(spark)
-    try:
-        w = Workload(spark, SF_SMALL)
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        write_bucketed_tracks(w.tracks, scratch, "cadence_test_tracks", n)
-        tracks = read_bucketed_tracks(spark, "cadence_test_tracks")
-        e = enrich(w.history, tracks, w.artists, w.global_row, artist_broadcast_bytes=-1)
-        plan = e._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin [spotify_track_uri" in plan
-        assert not re.search(r"Exchange hashpartitioning\((id|_t_key)#\d+", plan)
-        assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan
-        assert e.count() == w.enriched.count()
-    finally:
-        spark.sql("DROP TABLE IF EXISTS cadence_test_tracks")
-        _restore(spark, old)
+RECENT = ["kpi_recent", "top_tracks_recent", "events_per_second_recent", "mood_timeline_recent"]
+
+
+def test_lookbacks_prune_the_enriched_table(spark):
+    for name in RECENT:
+        plan = _plan(batch_queries()[name](spark, SF_SMALL))
+        assert re.search(r"PartitionFilters: \[[^\]]*\(?dt#\d+ >= ", plan), name
+
+
+def test_first_seen_names_are_hash_aggregated_before_the_shuffle(spark):
+    for name in ("leaderboard", "windowed_leaderboard", "top_tracks", "top_tracks_recent", "track_profile", "album_dim"):
+        plan = _plan(batch_queries()[name](spark, SF_SMALL))
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "FileScan" in line and "enriched" in line:      # upwards from the scan to the first exchange
+                above = []
+                for up in reversed(lines[:i]):
+                    if "Exchange" in up:
+                        break
+                    above.append(up)
+                assert not any("SortAggregate" in x for x in above), name

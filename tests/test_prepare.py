@@ -92,3 +92,8 @@ def test_artist_means_round_half_even(spark):
     a = prepare.artist_features(prepare.clean_catalog(cat)).first()
     assert a.valence == 0.1234   # mean 0.12345 -> half-even
     assert prepare.global_features(prepare.clean_catalog(cat)).select(F.col("valence")).first()[0] == 0.1234
+
+
+def test_odd_play_times_do_not_stop_the_job(spark):
+    rows = [("2024-01-01 10:00:00", x, "t1", "n", "a", "A", "TRUE", "false", None) for x in (float("nan"), 1e12, float("inf"), -5.9, None, 7.9)]
+    assert [r.ms_played for r in prepare.clean_history(_raw_history(spark, rows)).collect()] == [0, 0, 0, -5, 0, 7]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadence.operators import panels, prepare
 from cadence.plans.workload import Workload
 from cadence.sources.files import (
+    features_of_json,
     load_feature_store,
     read_catalog,
     read_history,
@@ -16,7 +17,7 @@ from cadence.sources.files import (
     write_history,
 )
 from cadence.sources.kafka import parse_logs
-from cadence.sources.sinks import JdbcSink, TableSink, conform, violations
+from cadence.sources.sinks import JdbcSink, TableSink, conform, split_violations
 from cadence.streaming.progress import ProgressRecorder, progress_row
 
 from .conftest import SF_SMALL
@@ -79,7 +80,8 @@ def test_conform_and_violations(spark):
     c = conform(df, "engagement_metrics")
     assert str(c.schema["completion_rate"].dataType) == "DecimalType(5,4)"
     assert float(c.first().completion_rate) == 0.1235
-    assert violations(c, "engagement_metrics").count() == 1
+    ok, broken = split_violations(c, "engagement_metrics")
+    assert (ok.count(), broken.count()) == (0, 1)
     art = conform(spark.createDataFrame([("A",)], "artist_name string"), "artists").first()
     assert art.total_play_count == 0 and art.likeability_score is None
 
@@ -103,6 +105,7 @@ def test_jdbc_sink_embedded(spark):
                                "artist_name string, play_count int")
     sink.write(conform(lb, "realtime_leaderboard"), "LEADERBOARD", batch_id=1)
     sink.write(conform(lb, "realtime_leaderboard"), "LEADERBOARD", batch_id=2)
+    sink.write(conform(lb, "realtime_leaderboard"), "LEADERBOARD", batch_id=2)      # the batch's retry replaces it
     back = sink.read(spark, "LEADERBOARD")
     assert back.count() == 2 and back.agg(F.sum("PLAY_COUNT" if "PLAY_COUNT" in back.columns
                                                 else "play_count")).first()[0] == 6
@@ -110,16 +113,17 @@ def test_jdbc_sink_embedded(spark):
 
 def test_progress_rows_to_sink(spark, scratch):
     p = {"timestamp": "2024-01-01T10:00:00.123Z", "batchId": 3, "numInputRows": 50,
-         "processedRowsPerSecond": 24.6, "durationMs": {"triggerExecution": 2032}}
+         "inputRowsPerSecond": 24.6, "processedRowsPerSecond": 99.0, "id": "q", "runId": "r", "durationMs": {"triggerExecution": 2032}}
     r = progress_row(p)
     assert (r["events_per_second"], r["spark_processing_delay_ms"], r["batch_id"]) == (25, 2032, 3)
-    rec = ProgressRecorder()
     import json
-    rec.reports = [json.dumps(p), json.dumps(dict(p, batchId=4, numInputRows=0))]
     sink = TableSink(scratch)
-    assert rec.flush(spark, sink) == 2
+    rec = ProgressRecorder(spark, sink)
+    for x in (p, dict(p, batchId=4, numInputRows=0), dict(p, id="other")):
+        rec.record(json.dumps(x))
+    assert rec.flush() == 3
     rows = sink.read(spark, "system_metrics").collect()
-    assert [(x.batch_id, x.events_per_second) for x in rows] == [(3, 25)]
+    assert sorted((x.query_id, x.batch_id, x.events_per_second) for x in rows) == [("other", 3, 25), ("q", 3, 25)]
 
 
 def test_table_create_and_recreate(spark, scratch):
@@ -161,3 +165,22 @@ def test_kafka_needs_only_the_connector(spark):
         read_log_stream(spark, "broker:9092", "logs", min_partitions=4)
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         publish_logs(spark.createDataFrame([("x",)], "ts string"), "broker:9092", "logs")
+
+
+def test_jdbc_missing_table_reads_empty(spark):
+    from cadence.plans.dashboard import dashboard
+    sink = JdbcSink("jdbc:derby:memory:cadence_empty;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    assert sink.read(spark, "realtime_leaderboard").count() == 0
+    assert dashboard(spark, sink, minutes=None)["kpi"].first().total_events == 0
+
+
+def test_json_store_round_trip(spark, scratch):
+    w = Workload(spark, SF_SMALL)
+    write_feature_store(w.tracks, w.artists, w.global_row, scratch, fmt="json")
+    assert store_exists(spark, scratch)
+    tracks, artists, glob = load_feature_store(spark, scratch)
+    assert sorted((r.id, r.energy) for r in tracks.collect()) == sorted((r.id, r.energy) for r in w.tracks.collect())
+    assert artists.count() == w.artists.count() and glob.count() == 1
+    odd = spark.createDataFrame([("track:x", '{"energy": 0.5, "tempo": "fast"}'), ("track:y", "junk")], "key string, value string")
+    got = {r.id: (r.energy, r.tempo, r.year) for r in features_of_json(odd)[0].collect()}
+    assert got == {"x": (0.5, 0.0, 0.0), "y": (0.0, 0.0, 0.0)}
