@@ -2,8 +2,8 @@
 
 Writing: each task sorts its pages by (URL key, date, page id) and writes them as WARC 1.1 records —
 one archive file is one locally sorted capture run. Records go through Spark's text writer, whose
-line separator is the two line ends that close a record, so a file is a plain WARC file on any store
-Spark writes to. Of records with equal payloads of ``REVISIT_BYTES`` or more, the one with the
+line separator is the two line ends that close a record, so a file is a gzip-compressed WARC file on
+any store Spark writes to (offsets in the index count uncompressed bytes). Of records with equal payloads of ``REVISIT_BYTES`` or more, the one with the
 smallest page id is a response and the others are revisits that refer to it and carry no payload.
 
 Reading: archives are parsed by their Content-Length; a response's payload is checked against its
@@ -19,6 +19,7 @@ A page's date is taken from ``date`` if given, else its page id in seconds after
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -72,11 +73,17 @@ def records(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str) -> None:
     (records(pages).sortWithinPartitions("key", "date", "page_id").select("record")
-        .write.option("lineSep", RECORD_END).text(path))
+        .write.option("lineSep", RECORD_END).option("compression", "gzip").text(path))
 
 
 # --- reading --------------------------------------------------------------------------------------
 
+def unpacked(content) -> memoryview:
+    """An archive's bytes, out of gzip where it is compressed."""
+    content = memoryview(content)
+    return memoryview(gzip.decompress(content)) if bytes(content[:2]) == b"\x1f\x8b" else content
+
+
 def parse_archive(content: memoryview) -> Iterator[tuple[int, int, dict[str, str], memoryview]]:
     """(offset, length, header fields in lower case, block) of each record."""
     at = 0
@@ -125,7 +132,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, content in zip(b.column("path").to_pylist(), b.column("content")):
-                rows = list(index_rows(name.rsplit("/", 1)[1], memoryview(content.as_buffer())))
+                rows = list(index_rows(name.rsplit("/", 1)[1], unpacked(content.as_buffer())))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
