@@ -5,7 +5,8 @@
 * A word's vector is the sum of the index vectors of the words up to two places before and after it,
   over all documents, labelled or not. Tasks add up their own table, a tree reduction adds the tables:
   BUCKETS x DIMENSIONS numbers, whatever the corpus holds. Vectors are scaled to length 1.
-* A document is the mean of its words' vectors, each weighted less the more frequent the word is.
+* A document pools its words' vectors, each weighted less the more frequent the word is: their mean,
+  and the mean product of neighbours, number by number, which tells repeated words from varied ones.
 * A two-layer numpy network is fitted on at most about ``TRAIN_DOCS`` labelled documents, by a hash
   of their id. Some of them are kept aside to choose the temperature that divides the network's
   output before the logistic function, so that scores are calibrated probabilities.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from cadence.llm.common import hash_share, ship, text_bytes
 
 BUCKETS, DIMENSIONS, NONZERO, WINDOW, SEED = 1 << 14, 64, 2, 2, 7
+POOLED = 2 * DIMENSIONS
 TRAIN_DOCS, HIDDEN, EPOCHS = 20_000, 32, 60
 #: Bytes of text handled at a time.
 CHUNK = 1 << 20
@@ -117,13 +119,17 @@ def scaled(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """[texts, DIMENSIONS]: mean word vector of each text."""
-    out = np.zeros((len(offsets) - 1, DIMENSIONS))
+    """[texts, POOLED]: mean of each text's word vectors, and mean product of each two that stand together."""
+    out = np.zeros((len(offsets) - 1, POOLED))
     for at, to, bucket, text in chunks(data, offsets):
         if len(bucket):
             first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-            sums = np.add.reduceat(vectors[bucket], first, axis=0)
-            out[at + text[first]] = sums / np.diff(np.append(first, len(text)))[:, None]
+            n = np.diff(np.append(first, len(text)))[:, None]
+            of = vectors[bucket]
+            out[at + text[first], :DIMENSIONS] = np.add.reduceat(of, first, axis=0) / n
+            of[:-1] *= of[1:]
+            of[np.append(first[1:] - 1, len(text) - 1)] = 0  # the last word of a text has no neighbour after it
+            out[at + text[first], DIMENSIONS:] = np.add.reduceat(of, first, axis=0) / n
     return out
 
 
@@ -171,7 +177,7 @@ class Network:
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, train_docs: int = TRAIN_DOCS) -> Network | None:
     """A network from ``docs`` (doc_id, text) with ``labels`` (doc_id, label 0 or 1)."""
     spark = ship(docs.sparkSession)
-    labels = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    labels = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).select("doc_id", "label").distinct()
     n = labels.count()
     chosen = labels.filter(hash_share(train_docs / max(1, n), "doc_id")).select("doc_id", F.col("label").cast("int").alias("label"))
     shared = spark.sparkContext.broadcast(vectors)
@@ -181,11 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, train_docs: i
             x = pooled(shared.value, *text_bytes(b.column("text"))).astype(np.float32)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([v.tobytes() for v in x], pa.binary())], ["doc_id", "label", "x"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most about train_docs rows of two numbers
-    got = rows.select("doc_id", "label", F.col("text").cast("string").alias("text")).mapInArrow(pool, "doc_id long, label int, x binary").toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about train_docs rows of two numbers
+    rows = rows.groupBy("doc_id", "label", F.xxhash64("text")).agg(F.first(F.col("text").cast("string")).alias("text"))  # repeated rows once
+    got = rows.select("doc_id", "label", "text").mapInArrow(pool, "doc_id long, label int, x binary").toArrow()
     if not got.num_rows:
         return None
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, DIMENSIONS).astype(float)
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, POOLED).astype(float)
     y, ids = got.column("label").to_numpy().astype(float), got.column("doc_id").to_numpy()
     order = np.lexsort((*x.T[:3], y, ids))  # the same order whatever the partitions were
     return Network(x[order], y[order])
