@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.session import configured_checkpoint_dir
+from cadence.session import shared_dir
 
 
 _SHIPPED: set[str] = set()
@@ -30,17 +30,9 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; where it is unset (tests), the session's warehouse.
-
-    Both are shared between the driver and all executors; a machine-local folder is never used.
-    """
-    d = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    return d.rstrip("/")
-
-
 def work_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), "cadence-llm", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    return os.path.join(shared_dir(spark), "cadence-llm", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -59,6 +51,15 @@ def hash_share(share: float, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
 
 
+def sampled(rows: DataFrame, share: float, keep: str, *columns: str) -> DataFrame:
+    """About ``share`` of the different rows by ``columns``, each once, with the columns and ``keep``.
+
+    Rows that are repeated ever so often count as one, so that the sample stays as small as it is meant.
+    """
+    picked = rows.filter(hash_share(share, *columns, keep))
+    return picked.groupBy(*columns, F.xxhash64(keep).alias("_hash")).agg(F.first(keep).alias(keep)).drop("_hash")
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """An Arrow string column as (all bytes, n + 1 offsets); a null has length zero."""
     import pyarrow as pa

@@ -11,7 +11,7 @@ bytes that end with it. The trees are therefore laid out as tables from these by
 per language, exact for every language, and whole batches of texts are scored by table look-ups.
 
 Training counts come from a documented sample of labelled rows: about ``TRAIN_BYTES`` of text per
-language, by a hash of the id, counted in Spark. Texts are lower-cased (A-Z) and ASCII characters
+language, by a hash of id and text, counted in Spark. Texts are lower-cased (A-Z) and ASCII characters
 that aren't letters count as a space.
 
 Defined cases: a text that is null or without a letter is ``und`` with score 0, as is every text if
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import hash_share, ship, text_bytes
+from cadence.llm.common import ship, text_bytes
 
 ORDER = 4
 #: Bytes of sampled text per language, about.
@@ -161,7 +161,7 @@ def train(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
     if not sizes:
         return None
     share = spark.createDataFrame([(r["lang"], min(1.0, train_bytes / r["bytes"])) for r in sizes], "lang string, share double")
-    sample = labelled.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    sample = labelled.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

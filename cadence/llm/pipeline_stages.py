@@ -7,7 +7,7 @@ the prefix ``_stage_`` so that they don't clash with columns of the documents.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.llm import decontam, packing, pii, quality, simhash
@@ -34,8 +34,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     goes = groups.select("row_key").distinct().join(stays, "row_key", "left_anti").withColumnRenamed("row_key", "_stage_gone")
     kept = docs.withColumn("_stage_key", simhash.row_key()).join(goes, F.col("_stage_key") == F.col("_stage_gone"), "left_anti")
     repeats = groups.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").join(stays, "row_key", "left_semi")
-    if repeats.limit(1).count():  # only then must the texts be dealt out by key
-        kept = kept.withColumn("_stage_rank", F.row_number().over(Window.partitionBy("_stage_key").orderBy("_stage_key"))).filter("_stage_rank = 1").drop("_stage_rank")
+    if repeats.limit(1).count():  # only then must the texts be dealt out by key; each task keeps one row of a key before
+        kept = kept.dropDuplicates(["_stage_key"])
     return kept.drop("_stage_key")
 
 

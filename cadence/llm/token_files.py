@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import hash_share, materialize, ship, work_path
+from cadence.llm.common import materialize, sampled, ship, work_path
 from cadence.llm.wordcache import encoder
 
 MAGIC, TRAILER = b"TOKBLK01", "TOKEND01\n"
@@ -59,7 +59,7 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, n_docs: int
         for b in batches:
             yield pa.RecordBatch.from_pydict({"ids": pa.array([x[:DICT_SAMPLE_BYTES] for x in _encoded(b, vocabulary, end)], pa.binary())})
 
-    got = [bytes(r[0]) for r in docs.filter(hash_share(n_docs / rows, "doc_id")).select("text").mapInArrow(samples, "ids binary").collect()]
+    got = [bytes(r[0]) for r in sampled(docs, n_docs / rows, "text", "doc_id").select("text").mapInArrow(samples, "ids binary").collect()]
     got = sorted(got) or [end]
     try:
         return zstandard.train_dictionary(DICT_BYTES, got).as_bytes()
