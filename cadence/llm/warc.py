@@ -14,7 +14,7 @@ with very many captures is spread over several ranges by date and page id.
 
 Defined cases: null html is empty, null url is empty, equal smallest page ids are all responses, a
 null page_id is never referred to, an empty table gives an empty index, other columns are ignored.
-A page's date is taken from ``date`` if given, else its page id in seconds after ``EPOCH``.
+A page's date is taken from ``date`` if given, else its page id (up to 10^9) in seconds after ``EPOCH``.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.functions import format_ts, instant_wallclock
 from cadence.llm.common import materialize, ship, work_path
 
 REVISIT_BYTES, EPOCH = 100, 1_700_000_000
@@ -51,10 +52,10 @@ def url_key(url: Column) -> Column:
 def records(pages: DataFrame) -> DataFrame:
     """key, date, page_id, record (without its closing line ends) of every page."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    date = F.col("date").cast("timestamp") if "date" in pages.columns else F.timestamp_seconds(F.lit(EPOCH) + F.coalesce(F.col("page_id"), F.lit(0)))
+    date = F.col("date").cast("timestamp") if "date" in pages.columns else F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(10**9)))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A").alias("url"),
-        F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), payload.alias("payload"),
+        F.concat(F.replace(format_ts(instant_wallclock(date)), F.lit(" "), F.lit("T")), F.lit("Z")).alias("date"), payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("bytes"), F.sha2(payload.cast("binary"), 256).alias("digest"))
     copies = rows.filter(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     told = rows.join(copies.select("digest", "first"), "digest", "left")
