@@ -13,8 +13,8 @@ A document leaks an item if consistent matches cover at least ``LEAST`` of the i
 of an item with fewer). Windows mostly of placeholders don't count. An item shorter than WINDOW
 tokens is one window of its own length; one of fewer than ``SHORTEST`` tokens is never looked for.
 
-The benchmark's windows are broadcast only after their number was measured; beyond
-``BROADCAST_WINDOWS`` both sides are shuffled by hash.
+The benchmark's windows, and the keys of suspect documents, are broadcast only after their number was
+measured; beyond ``BROADCAST_WINDOWS`` rows both sides are shuffled.
 
 Defined cases: a null text is empty and leaks nothing, a null doc_id or item_id is reported as null,
 rows equal in doc_id and text are reported once, empty tables give no row, other columns are ignored.
@@ -86,6 +86,12 @@ def item_windows(items: DataFrame) -> DataFrame:
     return hashed.join(n, "item_key")
 
 
+def measured(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (a few numbers each) as a written table, broadcast if it is small; else joins shuffle."""
+    rows = materialize(rows, name)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_WINDOWS else rows
+
+
 def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, item_id, matched, windows, slots, changed (slots with another value), row_key: one row per leak."""
     docs = docs.select("doc_id", "text")
@@ -104,8 +110,10 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     needed = F.least(F.lit(least), F.col("windows"))
     aligned = met.groupBy("row_key", "item_key", "size", "windows", "shift").agg(F.collect_set("at").alias("places"))
     enough = met.groupBy("row_key", "item_key", "windows").agg(F.count_distinct("at").alias("n")).filter(F.col("n") >= needed)
-    aligned = aligned.join(enough.select("row_key", "item_key"), ["row_key", "item_key"])
-    texts = docs.select("doc_id", row_key().alias("row_key"), "text").join(enough.select("row_key").distinct(), "row_key").dropDuplicates(["row_key"])
+    enough = measured(enough.select("row_key", "item_key"), "leak-pairs")
+    aligned = aligned.join(enough, ["row_key", "item_key"])
+    suspects = measured(enough.select("row_key").distinct(), "leak-rows")  # few: the other texts stay where they are
+    texts = docs.select("doc_id", row_key().alias("row_key"), "text").join(suspects, "row_key").dropDuplicates(["row_key"])
     texts = texts.select("row_key", "doc_id", tokens(F.col("text")).alias("doc_tokens"))
     asked = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text").dropDuplicates(["item_key"])
     asked = asked.select("item_key", "item_id", tokens(F.col("text")).alias("item_tokens"))
@@ -128,5 +136,5 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents (with all their columns) that leak no item."""
-    found = leaks(docs, items).select(F.col("row_key").alias("_stage_leak")).distinct()
+    found = measured(leaks(docs, items).select(F.col("row_key").alias("_stage_leak")).distinct(), "leaks")
     return docs.join(found, row_key() == F.col("_stage_leak"), "left_anti")
