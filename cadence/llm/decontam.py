@@ -9,6 +9,9 @@ consistent — one value of the item must have become one value of the document
 occurs. A question with other numbers or names keeps its template and passes; a chance meeting of
 templates whose values don't correspond fails.
 
+An item's first word has nothing before it that could mark it as a name or a unit; in a document it has.
+Its windows are looked for in each form, and the word itself must be equal.
+
 A document leaks an item if consistent matches cover at least ``LEAST`` of the item's windows (all,
 of an item with fewer). Windows mostly of placeholders don't count. An item shorter than WINDOW
 tokens is one window of its own length; one of fewer than ``SHORTEST`` tokens is never looked for.
@@ -43,7 +46,7 @@ def tokens(text: Column) -> Column:
     text = F.coalesce(text.cast("string"), F.lit(""))
     numbers = F.regexp_replace(F.regexp_replace(text, r"([0-9])[.,](?=[0-9])", "$1" + POINT), rf"[0-9][0-9{POINT}]*", NUMBER + "$0")
     units = F.regexp_replace(numbers, rf"({NUMBER}[0-9{POINT}]+)[ -]?({UNITS})\b", f"$1 {UNIT}$2")
-    named = F.regexp_replace(F.when(text.rlike("[0-9]"), units).otherwise(text), r"(?<=[\p{Ll},;] )\p{Lu}", NAME + "$0")
+    named = F.regexp_replace(F.when(text.rlike("[0-9]"), units).otherwise(text), r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu})", "$1" + NAME)
     return F.filter(F.split(named, rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}]+"), lambda t: t != "")
 
 
@@ -59,6 +62,16 @@ def value(token: Column) -> Column:
     return F.lower(token.substr(2, 2**31 - 1))
 
 
+def bare(token: Column) -> Column:
+    return F.when(is_slot(token), value(token)).otherwise(F.lower(token))
+
+
+def first_forms(token: Column) -> Column:
+    """An item's first token as it is and as what precedes it in a document may mark it: as a name or a unit."""
+    forms = F.array(token, F.when(token.rlike(r"^\p{Lu}"), F.concat(F.lit(NAME), token)), F.when(token.rlike(f"^({UNITS})$"), F.concat(F.lit(UNIT), token)))
+    return F.filter(forms, lambda t: t.isNotNull())
+
+
 def once(column: Column, then) -> Column:
     """``then(column)`` with the column computed once, though ``then`` uses it for every element."""
     return F.transform(F.array(column), then)[0]
@@ -75,14 +88,17 @@ def row_key() -> Column:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, item_key, size, at (0-based), hash, windows (of the item) of every window that counts."""
+    """item_id, item_key, size, at (0-based), hash, windows (of the item) of every window that counts; the first one in each form."""
     rows = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text").dropDuplicates(["item_key"])
     told = rows.withColumn("tokens", tokens(F.col("text"))).withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW))).filter(F.col("size") >= SHORTEST)
     placed = told.select("item_id", "item_key", "size", "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("at"))
     own = F.slice("tokens", F.col("at") + 1, F.col("size"))
     counted = placed.filter(2 * F.size(F.filter(own, lambda t: ~is_slot(t))) >= F.col("size"))
-    hashed = counted.select("item_id", "item_key", "size", "at", F.xxhash64(F.transform(own, lambda t: F.xxhash64(template(t)))).alias("hash"))
-    n = hashed.groupBy("item_key").agg(F.count(F.lit(1)).alias("windows"))
+    rest = F.slice("tokens", F.col("at") + 2, F.col("size") - 1)
+    forms = F.when(F.col("at") == 0, first_forms(F.col("tokens")[0])).otherwise(F.slice("tokens", F.col("at") + 1, 1))
+    formed = counted.select("item_id", "item_key", "size", "at", F.explode(F.transform(forms, lambda t: F.concat(F.array(t), rest))).alias("own"))
+    hashed = formed.select("item_id", "item_key", "size", "at", F.xxhash64(F.transform("own", lambda t: F.xxhash64(template(t)))).alias("hash"))
+    n = hashed.groupBy("item_key").agg(F.count_distinct("at").alias("windows"))
     return hashed.join(n, "item_key")
 
 
@@ -125,7 +141,8 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
         F.concat(template(item_token(k)), value(item_token(k))).alias("item"), value(doc_token(k)).alias("doc"), (value(item_token(k)) != value(doc_token(k))).alias("changed")))
     checked = both.select(
         "row_key", "doc_id", "item_key", "item_id", "windows", "places", pairs.alias("pairs"),
-        F.forall("covered", lambda k: F.coalesce(template(item_token(k)) == template(doc_token(k)), F.lit(False))).alias("same"))
+        F.forall("covered", lambda k: F.coalesce(
+            (template(item_token(k)) == template(doc_token(k))) | ((k == 0) & (bare(item_token(k)) == bare(doc_token(k)))), F.lit(False))).alias("same"))
     one_to_one = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size(F.array_distinct("pairs"))
     sound = checked.filter(F.col("same") & one_to_one)
     summed = sound.groupBy("row_key", "doc_id", "item_key", "item_id", "windows").agg(

@@ -202,6 +202,18 @@ def test_leaks_and_reparameterised_questions(spark):
     assert decontam.leaks(d, spark.createDataFrame([], "item_id int, text string")).count() == 0
 
 
+SHORT = "Which river runs through the old town near Salem in May"
+
+
+def test_leaks_in_running_text(spark):
+    items = [(1, SHORT), (2, "Name the largest old river there"), (3, "days of rain fell upon the old bridge"), (4, "What is the capital of our country today")]
+    docs = [f"He asked, {SHORT}?", f"he asked {SHORT}", SHORT.replace(" Salem", "\nSalem"), "Please; Name the largest old river there.",
+            SHORT.replace("near ", "near \u00a0\n "), "It was 5 days of rain fell upon the old bridge", "he knew Paris is the capital of our country today", f"he asked {SHORT.lower()}"]
+    found = decontam.leaks(docs_of(spark, docs), spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 1), (5, 3)}
+    assert all(r["matched"] == r["windows"] for r in found)
+
+
 def test_leaks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     items = spark.createDataFrame([(1, ITEM)], "item_id int, text string")
