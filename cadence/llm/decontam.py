@@ -6,13 +6,14 @@ template tokens are hashed and joined with those of the benchmark items. Matches
 an item are grouped by their shift (place in the document less place in the item), then checked
 against the texts: the templates must be equal, not only their hashes, and the slots must be
 consistent — one value of the item must have become one value of the document wherever it
-occurs. A question with other numbers or names keeps its template and passes; a chance meeting of
-templates whose values don't correspond fails.
+occurs. A question with other numbers or names keeps its template and passes. A window with every
+value unchanged is always sound; one with changed values is, unless it holds an item value that became
+several in its shift. Sound windows count, whatever became of the others.
 
 An item's first word has nothing before it that could mark it as a name or a unit; in a document it has.
 Its windows are looked for in each form, and the word itself must be equal.
 
-A document leaks an item if consistent matches cover at least ``LEAST`` of the item's windows (all,
+A document leaks an item if sound windows are at least ``LEAST`` of the item's windows (all,
 of an item with fewer). Windows mostly of placeholders don't count. An item shorter than WINDOW
 tokens is one window of its own length; one of fewer than ``SHORTEST`` tokens is never looked for.
 
@@ -133,21 +134,26 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     texts = texts.select("row_key", "doc_id", tokens(F.col("text")).alias("doc_tokens"))
     asked = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text").dropDuplicates(["item_key"])
     asked = asked.select("item_key", "item_id", tokens(F.col("text")).alias("item_tokens"))
-    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("size") - 1)))))
-    both = aligned.withColumn("covered", covered).join(texts, "row_key").join(asked, "item_key")
+    both = aligned.join(texts, "row_key").join(asked, "item_key")
     item_token = lambda k: F.col("item_tokens")[k]
     doc_token = lambda k: F.col("doc_tokens")[k + F.col("shift")]
-    pairs = F.transform(F.filter("covered", lambda k: is_slot(item_token(k))), lambda k: F.struct(
-        F.concat(template(item_token(k)), value(item_token(k))).alias("item"), value(doc_token(k)).alias("doc"), (value(item_token(k)) != value(doc_token(k))).alias("changed")))
-    checked = both.select(
-        "row_key", "doc_id", "item_key", "item_id", "windows", "places", pairs.alias("pairs"),
-        F.forall("covered", lambda k: F.coalesce(
-            (template(item_token(k)) == template(doc_token(k))) | ((k == 0) & (bare(item_token(k)) == bare(doc_token(k)))), F.lit(False))).alias("same"))
-    one_to_one = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size(F.array_distinct("pairs"))
-    sound = checked.filter(F.col("same") & one_to_one)
-    summed = sound.groupBy("row_key", "doc_id", "item_key", "item_id", "windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("matched"),
-        F.max(F.size("pairs")).cast("long").alias("slots"), F.max(F.size(F.filter("pairs", lambda p: p["changed"]))).cast("long").alias("changed"))
+    own = lambda at: F.sequence(at, at + F.col("size") - 1)
+    covered = lambda places: F.array_distinct(F.flatten(F.transform(places, own)))
+    slots = lambda places: F.filter(covered(places), lambda k: is_slot(item_token(k)))
+    named = lambda k: F.concat(template(item_token(k)), value(item_token(k)))
+    same = lambda k: F.coalesce(
+        (template(item_token(k)) == template(doc_token(k))) | ((k == 0) & (bare(item_token(k)) == bare(doc_token(k)))), F.lit(False))
+    kept = lambda k: ~is_slot(item_token(k)) | (value(item_token(k)) == value(doc_token(k)))
+    alike = F.filter("places", lambda p: F.forall(own(p), same))
+    pairs = lambda places: F.array_sort(F.array_distinct(F.transform(slots(places), lambda k: F.struct(named(k).alias("item"), value(doc_token(k)).alias("doc")))))
+    torn = lambda places: once(pairs(places), lambda a: F.transform(F.filter(a, lambda p, i: F.get(a, i - 1)["item"] == p["item"]), lambda p: p["item"]))
+    sound = once(alike, lambda places: once(torn(places), lambda t: F.filter(places, lambda p: (
+        F.forall(own(p), kept) | ~F.exists(own(p), lambda k: is_slot(item_token(k)) & F.array_contains(t, named(k)))))))
+    checked = both.select("row_key", "doc_id", "item_key", "item_id", "windows", once(sound, lambda places: F.struct(
+        places.alias("places"), F.size(slots(places)).alias("slots"), F.size(F.filter(slots(places), lambda k: ~kept(k))).alias("changed"))).alias("sound"))
+    summed = checked.groupBy("row_key", "doc_id", "item_key", "item_id", "windows").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("sound.places")))).cast("long").alias("matched"),
+        F.max("sound.slots").cast("long").alias("slots"), F.max("sound.changed").cast("long").alias("changed"))
     return summed.filter(F.col("matched") >= needed).select("doc_id", "item_id", "matched", "windows", "slots", "changed", "row_key")
 
 

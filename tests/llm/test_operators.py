@@ -214,6 +214,16 @@ def test_leaks_in_running_text(spark):
     assert all(r["matched"] == r["windows"] for r in found)
 
 
+def test_leaks_with_one_changed_value(spark):
+    item = "a tank holds 120 litres of clean water and then after a long slow leak in the old pipe it holds only 120 litres again"
+    other = item.replace("120", "85")
+    docs = [item.replace("only 120", "only 121"), other.replace("only 85", "only 86"), other,
+            item.replace("120", "7").replace("holds 7", "holds 8", 1).replace("clean", "dirty").replace("slow", "fast")]
+    found = decontam.leaks(docs_of(spark, docs), spark.createDataFrame([(1, item)], "item_id int, text string")).collect()
+    got = {r["doc_id"]: (r["matched"], r["changed"]) for r in found}
+    assert got == {0: (15, 0), 1: (11, 0), 2: (18, 2)}
+
+
 def test_leaks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     items = spark.createDataFrame([(1, ITEM)], "item_id int, text string")
