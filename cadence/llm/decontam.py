@@ -13,9 +13,10 @@ several in its shift. Sound windows count, whatever became of the others.
 An item's first word has nothing before it that could mark it as a name or a unit; in a document it has.
 Its windows are looked for in each form, and the word itself must be equal.
 
-A document leaks an item if sound windows are at least ``LEAST`` of the item's windows (all,
-of an item with fewer). Windows mostly of placeholders don't count. An item shorter than WINDOW
-tokens is one window of its own length; one of fewer than ``SHORTEST`` tokens is never looked for.
+Windows mostly of placeholders are hashed and compared with their values: they match only if every
+value is unchanged. A document leaks an item if sound windows are at least ``LEAST`` of the item's
+windows, or of those that aren't mostly placeholders (all, of an item with fewer). An item shorter than
+WINDOW tokens is one window of its own length; one of fewer than ``SHORTEST`` tokens is never looked for.
 
 The benchmark's windows, and the keys of suspect documents, are broadcast only after their number was
 measured; beyond ``BROADCAST_WINDOWS`` rows both sides are shuffled.
@@ -78,10 +79,25 @@ def once(column: Column, then) -> Column:
     return F.transform(F.array(column), then)[0]
 
 
-def window_hashes(text: Column, size: int) -> Column:
-    """A hash of each run of ``size`` template tokens, in order."""
-    hashes = F.transform(tokens(text), lambda t: F.xxhash64(template(t)))
-    return once(hashes, lambda a: F.when(F.size(a) >= size, F.transform(F.sequence(F.lit(1), F.size(a) - size + 1), lambda i: F.xxhash64(F.slice(a, i, size)))))
+def hashes(tokens: Column, exact: bool) -> Column:
+    """Of each token: a hash of its template; if ``exact``, that as ``t``, ``v``, one with its value, and whether it is a slot."""
+    both = lambda t: F.struct(F.xxhash64(template(t)).alias("t"), F.xxhash64(F.lower(t)).alias("v"), is_slot(t).alias("slot"))
+    return F.transform(tokens, both if exact else lambda t: F.xxhash64(template(t)))
+
+
+def mostly_slots(window: Column) -> Column:
+    return 2 * F.size(F.array_remove(window["slot"], F.lit(False))) > F.size(window)
+
+
+def window_hash(window: Column, exact: bool) -> Column:
+    """The templates' hash; of a window mostly of slots, if ``exact``, one with the values."""
+    return F.when(mostly_slots(window), F.xxhash64(F.lit("exact"), window["v"])).otherwise(F.xxhash64(window["t"])) if exact else F.xxhash64(window)
+
+
+def window_hashes(text: Column, size: int, exact: bool) -> Column:
+    """A hash of each run of ``size`` tokens, in order."""
+    return once(hashes(tokens(text), exact), lambda a: F.when(F.size(a) >= size, F.transform(
+        F.sequence(F.lit(1), F.size(a) - size + 1), lambda i: window_hash(F.slice(a, i, size), exact))))
 
 
 def row_key() -> Column:
@@ -89,17 +105,17 @@ def row_key() -> Column:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, item_key, size, at (0-based), hash, windows (of the item) of every window that counts; the first one in each form."""
+    """item_id, item_key, size, at (0-based), free (other values may stand in it), exact (hashed with its values), hash,
+    windows and free_windows (of the item) of every window; the first one in each form."""
     rows = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text").dropDuplicates(["item_key"])
     told = rows.withColumn("tokens", tokens(F.col("text"))).withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW))).filter(F.col("size") >= SHORTEST)
     placed = told.select("item_id", "item_key", "size", "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("at"))
-    own = F.slice("tokens", F.col("at") + 1, F.col("size"))
-    counted = placed.filter(2 * F.size(F.filter(own, lambda t: ~is_slot(t))) >= F.col("size"))
-    rest = F.slice("tokens", F.col("at") + 2, F.col("size") - 1)
+    own, rest = F.slice("tokens", F.col("at") + 1, F.col("size")), F.slice("tokens", F.col("at") + 2, F.col("size") - 1)
     forms = F.when(F.col("at") == 0, first_forms(F.col("tokens")[0])).otherwise(F.slice("tokens", F.col("at") + 1, 1))
-    formed = counted.select("item_id", "item_key", "size", "at", F.explode(F.transform(forms, lambda t: F.concat(F.array(t), rest))).alias("own"))
-    hashed = formed.select("item_id", "item_key", "size", "at", F.xxhash64(F.transform("own", lambda t: F.xxhash64(template(t)))).alias("hash"))
-    n = hashed.groupBy("item_key").agg(F.count_distinct("at").alias("windows"))
+    formed = placed.select("item_id", "item_key", "size", "at", (~mostly_slots(hashes(own, True))).alias("free"),
+                           F.explode(F.transform(forms, lambda t: hashes(F.concat(F.array(t), rest), True))).alias("own"))
+    hashed = formed.select("item_id", "item_key", "size", "at", "free", mostly_slots(F.col("own")).alias("exact"), window_hash(F.col("own"), True).alias("hash"))
+    n = hashed.groupBy("item_key").agg(F.count_distinct("at").alias("windows"), F.count_distinct(F.when(F.col("free"), F.col("at"))).alias("free_windows"))
     return hashed.join(n, "item_key")
 
 
@@ -113,20 +129,25 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, item_id, matched, windows, slots, changed (slots with another value), row_key: one row per leak."""
     docs = docs.select("doc_id", "text")
     windows = materialize(item_windows(items), "item-windows")
-    sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # at most WINDOW numbers
+    sizes = sorted(windows.groupBy("size").agg(F.max("exact")).collect())  # at most WINDOW rows
     small = windows.count() <= BROADCAST_WINDOWS
-    wanted = windows.select("hash", "size", "item_key", "at", "windows")
+    wanted = windows.select("hash", "size", "item_key", "at", "free", "windows", "free_windows")
     wanted = F.broadcast(wanted) if small else wanted
     met = None
-    for size in sizes or [WINDOW]:
-        here = docs.select(row_key().alias("row_key"), F.posexplode(window_hashes(F.col("text"), size)).alias("place", "hash"))
-        own = here.join(wanted.filter(F.col("size") == size), "hash").select("row_key", "item_key", "size", "windows", "at", (F.col("place") - F.col("at")).alias("shift"))
+    for size, exact in sizes or [(WINDOW, False)]:
+        here = docs.select(row_key().alias("row_key"), F.posexplode(window_hashes(F.col("text"), size, exact)).alias("place", "hash"))
+        own = here.join(wanted.filter(F.col("size") == size), "hash").select("row_key", "item_key", "size", "windows", "free_windows", "at", "free", (F.col("place") - F.col("at")).alias("shift"))
         met = own if met is None else met.unionByName(own)
     met = materialize(met, "window-matches")
 
-    needed = F.least(F.lit(least), F.col("windows"))
-    aligned = met.groupBy("row_key", "item_key", "size", "windows", "shift").agg(F.collect_set("at").alias("places"))
-    enough = met.groupBy("row_key", "item_key", "windows").agg(F.count_distinct("at").alias("n")).filter(F.col("n") >= needed)
+    def covers(all_found: Column, free_found: Column) -> Column:
+        free, every = (F.least(F.lit(least), F.col(c)) for c in ("free_windows", "windows"))
+        return ((free_found >= free) & (free > 0)) | (all_found >= every)
+
+    aligned = met.groupBy("row_key", "item_key", "size", "windows", "free_windows", "shift").agg(F.collect_set(F.struct("at", "free")).alias("places"))
+    ats = met.select("row_key", "item_key", "windows", "free_windows", "at", "free").distinct().groupBy("row_key", "item_key", "windows", "free_windows").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("free").alias("free_n"))
+    enough = ats.filter(covers(F.col("n"), F.col("free_n")))
     enough = measured(enough.select("row_key", "item_key"), "leak-pairs")
     aligned = aligned.join(enough, ["row_key", "item_key"])
     suspects = measured(enough.select("row_key").distinct(), "leak-rows")  # few: the other texts stay where they are
@@ -138,23 +159,24 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     item_token = lambda k: F.col("item_tokens")[k]
     doc_token = lambda k: F.col("doc_tokens")[k + F.col("shift")]
     own = lambda at: F.sequence(at, at + F.col("size") - 1)
-    covered = lambda places: F.array_distinct(F.flatten(F.transform(places, own)))
+    covered = lambda places: F.array_distinct(F.flatten(F.transform(places, lambda p: own(p["at"]))))
     slots = lambda places: F.filter(covered(places), lambda k: is_slot(item_token(k)))
     named = lambda k: F.concat(template(item_token(k)), value(item_token(k)))
     same = lambda k: F.coalesce(
         (template(item_token(k)) == template(doc_token(k))) | ((k == 0) & (bare(item_token(k)) == bare(doc_token(k)))), F.lit(False))
     kept = lambda k: ~is_slot(item_token(k)) | (value(item_token(k)) == value(doc_token(k)))
-    alike = F.filter("places", lambda p: F.forall(own(p), same))
+    alike = F.filter("places", lambda p: F.forall(own(p["at"]), same))
     pairs = lambda places: F.array_sort(F.array_distinct(F.transform(slots(places), lambda k: F.struct(named(k).alias("item"), value(doc_token(k)).alias("doc")))))
     torn = lambda places: once(pairs(places), lambda a: F.transform(F.filter(a, lambda p, i: F.get(a, i - 1)["item"] == p["item"]), lambda p: p["item"]))
     sound = once(alike, lambda places: once(torn(places), lambda t: F.filter(places, lambda p: (
-        F.forall(own(p), kept) | ~F.exists(own(p), lambda k: is_slot(item_token(k)) & F.array_contains(t, named(k)))))))
-    checked = both.select("row_key", "doc_id", "item_key", "item_id", "windows", once(sound, lambda places: F.struct(
+        F.forall(own(p["at"]), kept) | (p["free"] & ~F.exists(own(p["at"]), lambda k: is_slot(item_token(k)) & F.array_contains(t, named(k))))))))
+    checked = both.select("row_key", "doc_id", "item_key", "item_id", "windows", "free_windows", once(sound, lambda places: F.struct(
         places.alias("places"), F.size(slots(places)).alias("slots"), F.size(F.filter(slots(places), lambda k: ~kept(k))).alias("changed"))).alias("sound"))
-    summed = checked.groupBy("row_key", "doc_id", "item_key", "item_id", "windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("sound.places")))).cast("long").alias("matched"),
+    summed = checked.groupBy("row_key", "doc_id", "item_key", "item_id", "windows", "free_windows").agg(
+        F.array_distinct(F.flatten(F.collect_list("sound.places"))).alias("places"),
         F.max("sound.slots").cast("long").alias("slots"), F.max("sound.changed").cast("long").alias("changed"))
-    return summed.filter(F.col("matched") >= needed).select("doc_id", "item_id", "matched", "windows", "slots", "changed", "row_key")
+    counted = summed.withColumn("matched", F.size("places").cast("long")).withColumn("free_matched", F.size(F.filter("places", lambda p: p["free"])))
+    return counted.filter(covers(F.col("matched"), F.col("free_matched"))).select("doc_id", "item_id", "matched", "windows", "slots", "changed", "row_key")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

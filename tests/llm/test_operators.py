@@ -224,6 +224,17 @@ def test_leaks_with_one_changed_value(spark):
     assert got == {0: (15, 0), 1: (11, 0), 2: (18, 2)}
 
 
+def test_leaks_of_numbers_and_names(spark):
+    series, people, short = "3 1 4 1 5 9 2 6 5 35 89 79 32 38", "it names Ada, Bob, Cyd, Dan, Eve, Fay, Gus, Hal, Ivy, Joe, Kim, Lee, Max, Ned", "5 km 7 kg 9 m"
+    items = [(1, series), (2, people), (3, short), (4, "2 4 6 8 10 is what he said and then they all went home in the dark")]
+    docs = [f"Numbers: {series}, and more.", series.replace("9 2", "9 3"), "it names Ada, Bob, Cyd, Dan, Eve, Fay, Gus, Hal, Ivy, Joe, Kim, Lee, Max and nobody",
+            people.replace("Ada", "Zoe").replace("Eve", "Ann").replace("Hal", "Jim").replace("Kim", "Ron"), f"it was {short} again", "it was 5 km 7 kg 8 m again",
+            "3 5 7 9 11 is what he said and then they all went home in the dark"]
+    found = decontam.leaks(docs_of(spark, docs), spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 1), (2, 2), (4, 3), (6, 4)}
+    assert {r["doc_id"]: (r["matched"], r["windows"]) for r in found}[0] == (7, 7)
+
+
 def test_leaks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     items = spark.createDataFrame([(1, ITEM)], "item_id int, text string")
