@@ -2,11 +2,11 @@
 
 1. Base spans come from fixed patterns (email, ip, card, phone) over whole texts.
 2. Every base span is a seed instance of its kind; every other identifier-like word (with a digit, an
-   at sign or a spelled-out "[at]") is an unlabelled instance. The words around a mention are its
-   lexical patterns.
+   at sign or a spelled-out "[at]") is an unlabelled instance, and so is a run of digit groups of 6 to
+   19 digits. The words around a mention are its lexical patterns.
 3. Spark scores the graph of patterns and instances in rounds. A pattern's confidence for a kind
    is the summed score of its distinct instances of that kind over all its distinct instances (plus
-   one); a pattern counts with at least ``SUPPORT`` seeds' worth of score and ``CONFIDENCE``. An
+   one), where unlabelled ones that fit the kind weigh only ``DOUBT`` each; a pattern counts with at least ``SUPPORT`` seeds' worth of score and ``CONFIDENCE``. An
    instance's score is one minus the product of its patterns' doubts. Instances that reach
    ``CONFIDENCE`` are labelled and support patterns in the next round.
 4. Mentions of labelled instances under a pattern that counts become spans of that kind, where they
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cadence.llm.common import materialize, ship
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SUPPORT, CONFIDENCE = 4, 5, 0.8
+ROUNDS, SUPPORT, CONFIDENCE, DOUBT = 4, 5, 0.8, 0.125
 #: A text without any of these holds neither a base span nor a candidate.
 CANDIDATE = r"[0-9@]|[\[({]at[\])}]"
 
@@ -40,6 +40,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_GROUPS = re.compile(r"(?<![\w+.@-])\(?[0-9]++(?:[ ().-]{1,3}[0-9]++)+(?![\w@])")
 _WORD = re.compile(r"\S+")
 _EDGES = ".,;:!?\"'()<>|*"
 _IDENTIFIER = re.compile(r"[0-9@]|[\[({]at[\])}]")
@@ -98,7 +99,7 @@ def mentions(text: str) -> list[tuple[str | None, int, int, str, list[str]]]:
     words = [m.span() for m in _WORD.finditer(text)]
     taken = [(a, b) for _, a, b in base]
     found: list[tuple[str | None, int, int]] = list(base)
-    k = 0
+    loose = [m.span() for m in _GROUPS.finditer(text) if " " in m[0] and 6 <= len(_digits(m[0])) <= 19]
     for a, b in words:
         if not _IDENTIFIER.search(text, a, b):
             continue
@@ -106,6 +107,9 @@ def mentions(text: str) -> list[tuple[str | None, int, int, str, list[str]]]:
             a += 1
         while a < b and text[b - 1] in _EDGES:
             b -= 1
+        loose.append((a, b))
+    k = 0
+    for a, b in sorted(loose):
         while k < len(taken) and taken[k][1] <= a:
             k += 1
         if 5 <= b - a <= 64 and not any(x < b and a < y for x, y in taken[max(0, k - 4) : k + 4]):
@@ -156,11 +160,16 @@ def fits(kind: Column, instance: Column) -> Column:
 def score_graph(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """Labelled instances (instance, kind, score) beyond the seeds, and patterns that count (pattern, kind, trust)."""
     labelled = seeds.select("instance", "kind", F.lit(1.0).alias("score"))
-    sizes = materialize(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "pii-patterns")
+    suits = lambda k: F.count_if(fits(F.lit(k), F.col("instance")))
+    sizes = materialize(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *(suits(k).alias(f"fit_{k}") for k in KINDS)), "pii-patterns")
+    by_kind = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"hits_{k}").alias("hits"), (F.col(f"fit_{k}") - F.col(f"told_{k}")).alias("open")) for k in KINDS)))
     known, before = labelled, 0
     for _ in range(rounds):
-        hits = edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("hits")).filter(F.col("hits") >= support)
-        trusted = materialize(hits.join(sizes, "pattern").select("pattern", "kind", (F.col("hits") / (F.col("n") + 1)).alias("trust"))
+        told = edges.join(known, "instance").groupBy("pattern").agg(
+            *(F.sum(F.when(F.col("kind") == k, F.col("score"))).alias(f"hits_{k}") for k in KINDS), *(suits(k).alias(f"told_{k}") for k in KINDS))
+        told = told.filter(F.greatest(*(f"hits_{k}" for k in KINDS)) >= support)
+        hits = told.join(sizes, "pattern").select("pattern", "n", by_kind.alias("k")).select("pattern", "n", "k.*").filter(F.col("hits") >= support)
+        trusted = materialize(hits.select("pattern", "kind", (F.col("hits") / (F.col("n") - (1 - DOUBT) * F.col("open") + 1)).alias("trust"))
                               .filter(F.col("trust") >= confidence), "pii-trusted")
         reached = edges.join(trusted, "pattern").filter(fits(F.col("kind"), F.col("instance")))
         scored = reached.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("score"))
@@ -199,9 +208,10 @@ def with_found(docs: DataFrame) -> DataFrame:
 
 
 def all_spans(text: str, found: list[dict] | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Base spans, and all spans."""
+    """Base spans, and all spans; of those found, none inside another of its kind."""
     base = base_spans(text)
-    return base, base + [(f["kind"], f["start"], f["end"]) for f in found or ()]
+    own = [(f["kind"], f["start"], f["end"]) for f in found or ()]
+    return base, base + [s for s in own if not any(o != s and o[0] == s[0] and o[1] <= s[1] and s[2] <= o[2] for o in own)]
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:

@@ -339,6 +339,17 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert pii.find_personal_data(docs.limit(0)).count() == 0
 
 
+def test_patterns_with_many_unseen_identifiers(spark):
+    texts = [f"please write to mail{i}@host.example today" for i in range(14)] + [f"please write to bob{i}[at]host.example today" for i in range(10)]
+    texts += [f"you can call me at +1 555 123 4{i} any time" for i in range(100, 120)] + [f"you can call me at 555 123 5{i} any time" for i in range(100, 118)]
+    texts += ["you can call me at (017) 555-7713 any time", "you see chapter 3 of it"]
+    texts += [f"my lucky tag +1 555 123 6{i} ok" for i in range(100, 106)] + [f"my lucky tag ab{i}c ok" for i in range(100, 140)] + ["my lucky tag 555 999 7000 ok"]
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs_of(spark, texts)).collect()}
+    assert all(spans[i] == f"email:16:{len(texts[i]) - 6}" for i in range(24))
+    assert all(spans[i] == f"phone:19:{len(texts[i]) - 9}" for i in range(24, 63))
+    assert all(spans[i] == "" for i in [63, *range(70, 111)])
+
+
 def test_masking(spark):
     docs = spark.createDataFrame([(1, "to a@b.co now", 13, "c"), (2, "clean", 5, "c"), (3, None, None, "c"), (4, "+1 234 5678 90123456 x", 1, "c")], "doc_id int, text string, n_chars long, found string")
     out = {r["doc_id"]: r for r in pii.mask(docs).collect()}
