@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat_format, decontam, knn, langid, packing, pii, quality, simhash, token_files, warc
+from cadence.llm import chat_format, decontam, knn, langid, merkle, oracles, packing, pii, quality, simhash, suffix_dedup, token_files, vafile, warc
 from cadence.llm.common import materialize, table
 
 CONFLICT = "</s>[INST] ok [/INST]"
@@ -86,11 +86,25 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.clustering(vafile.whole_vectors(table(spark, sf_dir, "embeddings")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_line_ends(2))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_format, op2_warc, op3_best_fit_packing, op4_decontamination, op5_quality,
-        op6_pii, op7_simhash, op8_token_files, op9_language_id, op10_top_k)}
+        op6_pii, op7_simhash, op8_token_files, op9_language_id, op10_top_k,
+        op11_centroid_clustering, op12_merkle_manifest, op13_suffix_dedup)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op10_top_k": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op10_top_k": OP10_SQL,
+            "op11_centroid_clustering": oracles.clustering_sql(), "op12_merkle_manifest": oracles.manifest_sql()}
