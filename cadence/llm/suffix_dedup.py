@@ -40,9 +40,9 @@ from cadence.llm.common import materialize, runs_of, ship
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text of a block, about (a longer text is a block of its own), and bytes hashed at a time.
-BLOCK_BYTES, CHUNK = 4 << 20, 1 << 19
+BLOCK_BYTES, CHUNK = 4 << 20, 1 << 17
 #: Bytes of text whose keys make one share, and bytes of segments that make one index, about.
-KEY_SHARE, INDEX_SHARE = 16 << 20, 4 << 20
+KEY_SHARE, INDEX_SHARE = 16 << 20, 2 << 20
 #: Strings of a segment, at most.
 MOST = 64
 #: A key that more documents hold is dealt by whole strings.
@@ -54,22 +54,17 @@ _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 # --- keys of a block ----------------------------------------------------------------------------------
 
-def gram_hashes(data: np.ndarray, k: int = GRAM) -> np.ndarray:
-    """A mixed hash of every ``k`` consecutive bytes."""
-    whole, span, out, at, n = data.astype(np.uint64) * _ODD + _MIX, 1, None, 0, len(data) - k + 1
-    while k:
-        if k & 1:
-            part = whole[at : at + n]
-            out = part.copy() if out is None else out * _MIX + (part ^ part >> np.uint64(29))
-            at += span
-        k >>= 1
-        if k:
-            left = whole[:-span] * _ODD
-            whole = (left ^ left >> np.uint64(31)) * _MIX + whole[span:]
-            span *= 2
-    out ^= out >> np.uint64(32)
-    out *= _ODD
-    return out ^ out >> np.uint64(29)
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A mixed hash of every GRAM consecutive bytes, read as three overlapping words of eight."""
+    n = len(data) - GRAM + 1
+    word = [np.ndarray(n, "<u8", data.data, at, (1,)) for at in (0, 8, GRAM - 8)]
+    h = word[0] * _ODD
+    for w, mix, shift in ((word[1], _MIX, 32), (word[2], _ODD, 29)):
+        h ^= h >> np.uint64(shift)
+        h += w
+        h *= mix
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _window_keys(data: np.ndarray) -> np.ndarray:
@@ -84,20 +79,18 @@ def _window_keys(data: np.ndarray) -> np.ndarray:
 def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, number of strings, key) of each run of strings with one key within one text."""
     starts, counts, keys = [], [], []
+    begins = np.unique(offsets[:-1])
     for at in range(0, max(0, len(data) - LENGTH + 1), CHUNK):
         key = _window_keys(data[at : at + CHUNK + LENGTH - 1])
-        place = np.arange(at, at + len(key))
-        text = np.searchsorted(offsets, place, "right") - 1
-        inside = place + LENGTH <= offsets[text + 1]
-        key, place, text = key[inside], place[inside], text[inside]
-        if not len(key):
-            continue
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])]))
-        size = np.diff(np.append(first, len(key)))
+        cuts = begins[np.searchsorted(begins, at) : np.searchsorted(begins, at + len(key))] - at
+        first = np.union1d(runs_of(key), cuts)
+        end = offsets[np.searchsorted(offsets, first + at, "right")] - at - LENGTH + 1  # no string that leaves its text
+        size = np.minimum(np.append(first[1:], len(key)), end) - first
+        first, size = first[size > 0], size[size > 0]
         parts = -(-size // MOST)  # a long run, as of one repeated letter, is cut
         row = np.repeat(np.arange(len(first)), parts)
         step = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * MOST
-        starts.append(place[first][row] + step)
+        starts.append(at + first[row] + step)
         counts.append(np.minimum(size[row] - step, MOST))
         keys.append(key[first][row])
     if not starts:
@@ -175,25 +168,45 @@ def key_low(key: np.ndarray) -> np.ndarray:
 # --- the index ----------------------------------------------------------------------------------------
 
 def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of ``text`` (numbers under 512) in order, and the rank of each suffix by its first 28 numbers."""
-    n = len(text)
-    padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(7, np.int64)])
+    """Suffixes of ``text`` (numbers under 511) in order, and the rank of each suffix by its first 32 numbers."""
+    n, depth, rank32 = len(text), 4, None
+    bits = max(1, n.bit_length())
+    padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(depth, np.int64)])
     key = np.zeros(n, np.int64)
-    for k in range(7):
+    for k in range(depth):
         key = key << 9 | padded[k : k + n]
-    depth, rank28 = 7, None
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
+        if 3 * bits <= 63 and 36 + bits <= 63:  # key and place fit into one number, which sorts much faster
+            both = np.sort(key << bits | np.arange(n))
+            order, ranked = both & ((1 << bits) - 1), both >> bits
+        else:
+            order = np.argsort(key)
+            ranked = key[order]
+        new = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))
         rank = np.empty(n, np.int64)
         rank[order] = new
-        if depth == 28:
-            rank28 = rank
-        if rank28 is not None and (new[-1] == n - 1 or depth >= n):
-            return order, rank28
-        after = np.full(n, 0, np.int64)
-        after[: max(0, n - depth)] = rank[depth:] + 1
-        key, depth = rank << 32 | after, depth * 2
+        if depth == 32:
+            rank32 = rank
+        if rank32 is not None and new[-1] == n - 1:
+            return order, rank32
+        key = rank << bits
+        key[: max(0, n - depth)] |= rank[depth:] + 1
+        depth *= 2
+
+
+def _advance(k: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The interval of each row, at or after interval ``k``: intervals start at ``bounds``."""
+    live = np.arange(len(k))
+    for _ in range(8):
+        at = k[live] + 1
+        on = at < len(bounds)
+        on[on] = bounds[at[on]] <= rows[live[on]]
+        live = live[on]
+        if not len(live):
+            return k
+        k[live] += 1
+    k[live] = np.searchsorted(bounds, rows[live], "right") - 1
+    return k
 
 
 class RunIndex:
@@ -209,37 +222,42 @@ class RunIndex:
         inside[ends] = False
         text[inside] = np.frombuffer(joined, np.uint8).astype(np.uint16) + 1
         text[ends] = 0
-        order, rank28 = suffix_order(text)
+        order, rank32 = suffix_order(text)
         self.text, n = text, len(text)
         last = text[order - 1]
-        self.start = runs_of(last)
+        self.start = runs_of(last).astype(np.int32)
         self.char = last[self.start]
         stop = np.append(self.start[1:], n)
         self.head, self.tail, self.stop = order[self.start], order[stop - 1], stop
         # where a run's rows go when its character is put before them
-        by = np.lexsort((self.start, self.char))
+        by = np.argsort(self.char, kind="stable")
         size = (stop - self.start)[by]
-        self.base = np.empty(len(by), np.int64)
-        self.base[by] = np.cumsum(size) - size
+        goes = np.cumsum(size) - size
+        self.base = np.empty(len(by), np.int32)
+        self.base[by] = goes
         self.by_char, self.char_sorted = by, self.char[by]
-        # ranges of rows that share LENGTH bytes: equal in 28 and, 22 later, again in 28
+        # the run that holds a run's first row after that step
+        self.to = np.empty(len(by), np.int32)
+        self.to[by] = np.searchsorted(self.start, goes, "right") - 1
+        # ranges of rows that share LENGTH bytes: equal in 32 and, 18 later, again in 32
         left = np.repeat(ends, sizes + 1) - np.arange(n)
         whole = left[order] >= LENGTH
-        a, b = rank28[order], rank28[np.minimum(order + LENGTH - 28, n - 1)]
+        a, b = rank32[order], rank32[np.minimum(order + LENGTH - 32, n - 1)]
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | ~whole[1:] | ~whole[:-1]])
-        self.range_start = np.flatnonzero(new)
+        self.range_start = np.flatnonzero(new).astype(np.int32)
         of = np.repeat(np.asarray(values, np.int64), sizes + 1)
         self.range_least = np.minimum.reduceat(np.where(whole, of[order], np.iinfo(np.int64).max), self.range_start)
+        self.range_of = (np.searchsorted(self.range_start, self.start, "right") - 1).astype(np.int32)
 
-    def least(self, rows: np.ndarray) -> np.ndarray:
-        return self.range_least[np.searchsorted(self.range_start, rows, "right") - 1]
+    def least(self, runs: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return self.range_least[_advance(self.range_of[runs], self.range_start, rows)]
 
-    def _lcp(self, at: np.ndarray, query: np.ndarray, q_at: np.ndarray, q_end: np.ndarray) -> np.ndarray:
-        """Equal numbers of the text from ``at`` and the query from ``q_at``, up to LENGTH."""
-        out, live = np.zeros(len(at), np.int64), np.arange(len(at))
-        for k in range(LENGTH):
+    def _lcp(self, at: np.ndarray, query: np.ndarray, q_at: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Equal numbers of the text from ``at`` and the query from ``q_at``, up to ``most``."""
+        out, live = np.zeros(len(at), np.int32), np.flatnonzero(most > 0)
+        for k in range(int(most.max(initial=0))):
             a, q = at[live] + k, q_at[live] + k
-            ok = (a < len(self.text)) & (q < q_end[live])
+            ok = (a < len(self.text)) & (k < most[live])
             ok[ok] = self.text[a[ok]] == query[q[ok]]
             live = live[ok]
             if not len(live):
@@ -247,62 +265,67 @@ class RunIndex:
             out[live] += 1
         return out
 
-    def stream(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Matching statistics of all texts, side by side from their last byte: (text, position, length matched, row).
+    def stream(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Matching statistics of all texts, side by side from their last byte: (text, position, length matched, run, row).
 
         A text is extended in its row's run while the run's character fits; else the nearest run of that
-        character, above or below, takes over at its sampled end, whichever matches longer. Lengths
-        over LENGTH are exact only as being over it.
+        character, above or below, takes over at its sampled end, whichever matches longer. The run of
+        the next row is found from where the run's first row goes, without a search. Lengths over
+        LENGTH are exact only as being over it.
         """
         sizes = np.array([len(t) for t in texts], np.int64)
         query = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
         begin = np.cumsum(sizes) - sizes
         lanes = np.argsort(-sizes, kind="stable")
-        row, at, matched = (np.zeros(len(texts), np.int64) for _ in range(3))
-        at[:] = self.head[0] if len(self.head) else 0
+        run, row, at, matched = (np.zeros(len(texts), np.int32) for _ in range(4))  # in the order of lanes
+        at[:] = self.head[0]
         for step in range(int(sizes.max(initial=0))):
-            lanes = lanes[: np.searchsorted(-sizes[lanes], -step, "left")]  # texts longer than the step
+            live = int(np.searchsorted(-sizes[lanes], -step, "left"))  # texts longer than the step
+            lanes, run, row, at, matched = lanes[:live], run[:live], row[:live], at[:live], matched[:live]
             place = sizes[lanes] - 1 - step
             want = query[begin[lanes] + place]
-            r, p, m = row[lanes], at[lanes], matched[lanes]
-            run = np.searchsorted(self.start, r, "right") - 1
             jump = np.flatnonzero(self.char[run] != want)
             if len(jump):
-                self._jump(jump, want, run, r, p, m, query, begin[lanes] + place + 1, (begin + sizes)[lanes])
-            found = m >= 0
-            row[lanes] = np.where(found, self.base[run] + r - self.start[run], 0)
-            at[lanes], matched[lanes] = np.where(found, p - 1, 0), m + 1
-            yield lanes, place, matched[lanes], row[lanes]
-
-    def _jump(self, jump, want, run, r, p, m, query, q_at, q_end) -> None:
+                self._jump(jump, want, run, row, at, matched, query, begin[lanes] + place + 1)
+            found = matched >= 0
+            row = np.where(found, self.base[run] + row - self.start[run], 0)
+            run = _advance(np.where(found, self.to[run], 0), self.start, row)
+            at, matched = np.where(found, at - 1, self.head[0]), matched + 1
+            yield lanes, place, matched, run, row
+
+    def _jump(self, jump, want, run, r, p, m, query, q_at) -> None:
         """Move the lanes ``jump`` to a run of the wanted character; -1 matched if there is none."""
         key = want[jump].astype(np.int64) << 40 | run[jump]
         place = np.searchsorted(self.char_sorted.astype(np.int64) << 40 | self.by_char, key)
-        best = np.full(len(jump), -1, np.int64)
+        best, most = np.full(len(jump), -1, np.int32), np.minimum(m[jump], LENGTH)
         for step, rows, samples in ((-1, self.stop - 1, self.tail), (0, self.start, self.head)):
             k = np.clip(place + step, 0, len(self.by_char) - 1)
             ok = (place + step >= 0) & (place + step < len(self.by_char)) & (self.char_sorted[k] == want[jump])
             other = self.by_char[k]
-            lcp = np.full(len(jump), -1, np.int64)
-            lcp[ok] = np.minimum(self._lcp(samples[other[ok]], query, q_at[jump[ok]], q_end[jump[ok]]), m[jump[ok]])
+            lcp = np.full(len(jump), -1, np.int32)
+            lcp[ok] = self._lcp(samples[other[ok]], query, q_at[jump[ok]], most[ok])
             better = np.flatnonzero(lcp > best)
             best[better] = lcp[better]
             run[jump[better]], r[jump[better]], p[jump[better]] = other[better], rows[other[better]], samples[other[better]]
         m[jump] = best
 
 
-def earlier(texts: list[bytes], values: np.ndarray) -> list[np.ndarray]:
-    """For each text and each of its strings of LENGTH bytes: the least value of a text that holds the string."""
-    out = [np.full(len(t) - LENGTH + 1, np.iinfo(np.int64).max) for t in texts]
-    if not texts:
-        return out
-    index = RunIndex(texts, values)
-    flat = np.full(sum(len(o) for o in out), np.iinfo(np.int64).max)
-    first = np.cumsum([len(o) for o in out]) - [len(o) for o in out]
-    for lane, place, matched, row in index.stream(texts):
-        long = matched >= LENGTH
-        flat[first[lane[long]] + place[long]] = index.least(row[long])
-    return np.split(flat, first[1:])
+def earlier(texts: list[bytes], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least value of a text that holds it, for each string of LENGTH bytes of all texts, and each text's first string."""
+    count = np.array([len(t) - LENGTH + 1 for t in texts], np.int64)
+    out, first = np.full(count.sum(), np.iinfo(np.int64).max), np.cumsum(count) - count
+    if len(texts):
+        index = RunIndex(texts, values)
+        for lane, place, matched, run, row in index.stream(texts):
+            if place.max() >= 0:
+                long = np.flatnonzero(matched >= LENGTH)
+                out[first[lane[long]] + place[long]] = index.least(run[long], row[long])
+    return out, first
+
+
+def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (count[0] of them), first[1], ..."""
+    return np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
 
 
 # --- Spark ----------------------------------------------------------------------------------------
@@ -438,9 +461,9 @@ def match(segments_: DataFrame) -> DataFrame:
                     least[k] = doc
                 own.append(k)
                 at += size
-            asked.append((own, ids))
-        held = earlier(list(merged), np.array(least, np.int64))
-        bits = [np.packbits(np.concatenate([held[k] < d for k, d in zip(own, ids)])).tobytes() for own, ids in asked]
+            asked.append((np.array(own), np.array(sizes) - LENGTH + 1, ids))
+        held, first = earlier(list(merged), np.array(least, np.int64))
+        bits = [np.packbits(held[spread(first[own], count)] < np.repeat(ids, count)).tobytes() for own, count, ids in asked]
         return pa.table({"block": t.column("block"), "share": t.column("share"), "bits": pa.array([_press(x) for x in bits], pa.binary())})
 
     return segments_.groupBy("share").applyInArrow(run, "block long, share int, bits binary")
@@ -448,23 +471,19 @@ def match(segments_: DataFrame) -> DataFrame:
 
 def covered(block: Block, dealt: Dealt, bits: dict[int, bytes], indexes: int) -> np.ndarray:
     """Which bytes of the block's texts go."""
-    flags: list[np.ndarray] = [np.zeros(0, bool)] * len(dealt.texts)
+    size = np.array([len(t) - LENGTH + 1 for t in dealt.texts], np.int64)
+    first = np.cumsum(size) - size
+    flat = np.zeros(size.sum(), bool)
     for share, own in dealt_to(dealt, indexes):
-        raw, at = np.unpackbits(np.frombuffer(_open(bits[share]), np.uint8)).astype(bool), 0
-        for k in own.tolist():
-            n = len(dealt.texts[k]) - LENGTH + 1
-            flags[k], at = raw[at : at + n], at + n
+        flat[spread(first[own], size[own])] = np.unpackbits(np.frombuffer(_open(bits[share]), np.uint8))[: size[own].sum()]
     edge = np.zeros(len(block.data) + 1, np.int32)
     if len(dealt.which):
-        size = np.array([len(f) for f in flags])
-        first = np.cumsum(size) - size
-        flat = np.concatenate(flags)
         row = np.repeat(np.arange(len(dealt.start)), dealt.count)
         step = np.arange(len(row)) - np.repeat(np.cumsum(dealt.count) - dealt.count, dealt.count)
         hit = flat[first[dealt.which[row]] + step] | (dealt.doc > dealt.least[dealt.which])[row]
         at = (dealt.start[row] + step)[hit]
-        np.add.at(edge, at, 1)
-        np.subtract.at(edge, at + LENGTH, 1)
+        edge += np.bincount(at, minlength=len(edge)).astype(np.int32)
+        edge -= np.bincount(at + LENGTH, minlength=len(edge)).astype(np.int32)
     return np.cumsum(edge[:-1]) > 0
 
 

@@ -212,7 +212,7 @@ def test_matching_statistics_of_any_text():
     texts = list(dict.fromkeys(base + [a[:70] + b"c" * 3 + b[-60:] for a, b in zip(base, base[1:])]))
     index = suffix_dedup.RunIndex(texts, np.arange(len(texts)))
     asked = [a[5:90] + rng.choice(texts)[:80] + word() for a in texts] + [b"q", b"qqa", b"a" * 300]
-    for lane, place, matched, row in index.stream(asked):
+    for lane, place, matched, _, _ in index.stream(asked):
         for k, p, m in zip(lane.tolist(), place.tolist(), matched.tolist()):
             t = asked[k][p:]
             want = max((n for n in range(1, min(len(t), 50) + 1) if any(t[:n] in x for x in texts)), default=0)
