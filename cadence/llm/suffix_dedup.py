@@ -11,7 +11,8 @@ doc_id. Texts are dealt so that equal strings meet, and an index never holds mor
 * Each block deals the segments of these keys, different ones once, each with the least doc_id that
   holds it. A key of more than ``HOT`` documents doesn't go to one task: its strings are dealt singly, by their
   own hash.
-* Each share of segments becomes one index: suffix order, Burrows-Wheeler transform, of which only the
+* A key with one segment left has its strings nowhere else: the answer is the segment's own document. The
+  segments of the other keys of a share become one index: suffix order, Burrows-Wheeler transform, of which only the
   runs are kept, with the suffix positions sampled at both ends of each run, and the least doc_id of
   every row range whose suffixes share LENGTH bytes. The segments then stream through it from their
   last byte to their first: matching statistics say where LENGTH bytes match, the row says which range
@@ -310,8 +311,8 @@ class RunIndex:
         m[jump] = best
 
 
-def earlier(texts: list[bytes], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least value of a text that holds it, for each string of LENGTH bytes of all texts, and each text's first string."""
+def earlier(texts: list[bytes], values: np.ndarray) -> np.ndarray:
+    """The least value of a text that holds it, for each string of LENGTH bytes of all texts in a row."""
     count = np.array([len(t) - LENGTH + 1 for t in texts], np.int64)
     out, first = np.full(count.sum(), np.iinfo(np.int64).max), np.cumsum(count) - count
     if len(texts):
@@ -320,7 +321,7 @@ def earlier(texts: list[bytes], values: np.ndarray) -> tuple[np.ndarray, np.ndar
             if place.max() >= 0:
                 long = np.flatnonzero(matched >= LENGTH)
                 out[first[lane[long]] + place[long]] = index.least(run[long], row[long])
-    return out, first
+    return out
 
 
 def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -429,7 +430,7 @@ def deal_segments(blocks: DataFrame, replies: DataFrame, shares: int, indexes: i
                 dealt = block.dealt(*_known(b.column("replies")[k].as_py()), shares)
                 for share, own in dealt_to(dealt, indexes):
                     texts = [dealt.texts[i] for i in own.tolist()]
-                    raw = np.array([len(t) for t in texts], "<u4").tobytes() + dealt.least[own].astype("<i8").tobytes() + b"".join(texts)
+                    raw = np.array([len(t) for t in texts], "<u4").tobytes() + dealt.hash[own].astype("<u4").tobytes() + dealt.least[own].astype("<i8").tobytes() + b"".join(texts)
                     yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([share], pa.int32()), pa.array([len(own)], pa.int64()),
                                                       pa.array([_press(raw)], pa.binary())], ["block", "share", "n", "texts"])
 
@@ -449,20 +450,27 @@ def match(segments_: DataFrame) -> DataFrame:
     """block, share, bits: for each string of each segment whether a document smaller than the block's least holds it."""
     def run(t: pa.Table) -> pa.Table:
         merged: dict[bytes, int] = {}
-        asked, least = [], []
+        asked, least, keys = [], [], []
         for n, raw in zip(t.column("n").to_pylist(), t.column("texts").to_pylist()):
             raw = _open(raw)
-            sizes, ids, at, own = np.frombuffer(raw[: 4 * n], "<u4").tolist(), np.frombuffer(raw[4 * n : 12 * n], "<i8"), 12 * n, []
-            for size, doc in zip(sizes, ids.tolist()):
+            sizes, ids, at, own = np.frombuffer(raw[: 4 * n], "<u4").tolist(), np.frombuffer(raw[8 * n : 16 * n], "<i8"), 16 * n, []
+            for size, key, doc in zip(sizes, np.frombuffer(raw[4 * n : 8 * n], "<u4").tolist(), ids.tolist()):
                 k = merged.setdefault(raw[at : at + size], len(merged))
                 if k == len(least):
                     least.append(doc)
+                    keys.append(key)
                 elif doc < least[k]:
                     least[k] = doc
                 own.append(k)
                 at += size
             asked.append((np.array(own), np.array(sizes) - LENGTH + 1, ids))
-        held, first = earlier(list(merged), np.array(least, np.int64))
+        texts, least = list(merged), np.array(least, np.int64)
+        count = np.array([len(t) - LENGTH + 1 for t in texts], np.int64)
+        first = np.cumsum(count) - count
+        held = np.repeat(least, count)
+        _, group, size = np.unique(np.array(keys, np.int64), return_inverse=True, return_counts=True)
+        several = np.flatnonzero(size[group] > 1)
+        held[spread(first[several], count[several])] = earlier([texts[k] for k in several.tolist()], least[several])
         bits = [np.packbits(held[spread(first[own], count)] < np.repeat(ids, count)).tobytes() for own, count, ids in asked]
         return pa.table({"block": t.column("block"), "share": t.column("share"), "bits": pa.array([_press(x) for x in bits], pa.binary())})
 
