@@ -74,6 +74,17 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def small(batches, column: str = "text", most: int = 4 << 20, rows: int = 2048):
+    """The batches in slices of about ``most`` bytes of the text column (at least one row)."""
+    for b in batches:
+        _, at = text_bytes(b.column(column))
+        first = 0
+        while first < b.num_rows:
+            to = max(first + 1, min(first + rows, int(np.searchsorted(at, at[first] + most, "right")) - 1))
+            yield b.slice(first, to - first)
+            first = to
+
+
 def runs_of(values: np.ndarray) -> np.ndarray:
     """Start of each run of equal values."""
     if not len(values):

@@ -10,8 +10,10 @@ Statistics are frozen after training, so the code length of a byte depends only
 bytes that end with it. The trees are therefore laid out as tables from these bytes to one code length
 per language, exact for every language, and whole batches of texts are scored by table look-ups.
 
-Training counts come from a documented sample of labelled rows: about ``TRAIN_BYTES`` of text per
-language, by a hash of id and text, counted in Spark. Texts are lower-cased (A-Z) and ASCII characters
+Training counts come from a documented sample of the labelled rows: about ``TRAIN_BYTES`` of text per
+language (less each if there are many languages: ``ALL_BYTES`` in total), in pieces of ``PIECE`` bytes
+that are chosen by a hash of their bytes from all over every text, equal pieces once, counted in Spark.
+A language with less text than that is learned whole. Texts are lower-cased (A-Z) and ASCII characters
 that aren't letters count as a space.
 
 Defined cases: a text that is null or without a letter is ``und`` with score 0, as is every text if
@@ -21,6 +23,7 @@ out; repeated rows are scored each; an empty table gives no row; other columns a
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import ship, text_bytes
+from cadence.llm.common import ship, small, text_bytes
 
 ORDER = 4
-#: Bytes of sampled text per language, about.
-TRAIN_BYTES = 1_500_000
+#: Bytes of sampled text per language and in all, about, and of a piece of it.
+TRAIN_BYTES, ALL_BYTES, PIECE = 1_500_000, 96_000_000, 4096
 #: Bytes of text scored at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
@@ -123,14 +126,17 @@ class Model:
         at = 0
         while at < len(offsets) - 1:
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
-            out[at:to] = self._chunk(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+            for s in range(int(offsets[at]), int(offsets[to]), CHUNK):  # a long text in pieces, each with the bytes before it
+                e, seen = min(int(offsets[to]), s + CHUNK), min(ORDER, s - int(offsets[at]))
+                cuts = np.clip(offsets[at : to + 1], s, e) - s
+                bits = self._bits(data[s - seen : e], np.append(0, cuts[1:] + seen))[seen:]
+                some = np.diff(cuts) > 0
+                out[at:to][some] += np.add.reduceat(bits, cuts[:-1][some], axis=0, dtype=float)
             at = to
         return out
 
-    def _chunk(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(offsets) - 1, len(self.languages)))
-        if not len(data):
-            return out
+    def _bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """[bytes, languages]: bits of each byte under each language."""
         gram = grams(data, offsets)
         bits = np.zeros((len(gram), len(self.languages)), np.float32)
         left = np.arange(len(gram))
@@ -144,9 +150,7 @@ class Model:
             lookup, escape = self.contexts[k]
             row = lookup.rows_of(key >> 8)
             bits[left[row >= 0]] += escape[row[row >= 0]]
-        some = np.diff(offsets) > 0
-        out[some] = np.add.reduceat(bits.astype(float), offsets[:-1][some], axis=0)
-        return out
+        return bits
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,14 +161,30 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def train(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
     """Context trees from a sample of ``labelled`` (doc_id, text, lang)."""
     spark = ship(labelled.sparkSession)
-    sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).filter("bytes > 0").collect()  # a row per language
+    labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    different = labelled.groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.max(F.octet_length("text")).alias("bytes"))
+    sizes = different.groupBy("lang").agg(F.sum("bytes").alias("bytes")).filter("bytes > 0").collect()  # a row per language
     if not sizes:
         return None
-    share = spark.createDataFrame([(r["lang"], min(1.0, train_bytes / r["bytes"])) for r in sizes], "lang string, share double")
-    sample = labelled.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    per = min(train_bytes, ALL_BYTES // len(sizes))
+    share = {r["lang"]: min(1.0, per / r["bytes"]) * (1 << 32) for r in sizes}
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            data, at = text_bytes(b.column("text"))
+            names, out = [], []
+            for lang, s, e in zip(b.column("lang").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                for k in range(s, e, PIECE):
+                    piece = data[k : min(e, k + PIECE)].tobytes()
+                    if zlib.crc32(piece) < share.get(lang, 0):
+                        names.append(lang)
+                        out.append(piece)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(out, pa.binary())], ["lang", "text"])
+
+    sample = labelled.mapInArrow(pieces, "lang string, text binary").dropDuplicates(["lang", "text"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             lang = np.array(b.column("lang").to_pylist(), object)
             for name in sorted(set(lang)):
                 gram, n = np.unique(grams(*text_bytes(b.column("text").filter(pa.array(lang == name)))), return_counts=True)
@@ -185,7 +205,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for b in batches:
+        for b in small(batches, most=2 << 20):
             if model is None:
                 names, best = ["und"] * b.num_rows, np.zeros(b.num_rows)
             else:

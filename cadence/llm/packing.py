@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import materialize, ship
+from cadence.llm.common import materialize, ship, small
 from cadence.llm.wordcache import encoder
 
 #: Groups of large lengths; lengths above this share of the capacity are large.
@@ -215,7 +215,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_ids:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, ranks = TaskContext.get().partitionId(), defaultdict(int)
         encode, end, step = encoder(vocabulary).encode, struct.pack("<I", end_id), 4 * capacity
-        for b in batches:
+        for b in small(batches):
             rows, ids = [], []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 data = encode(text or "") + end

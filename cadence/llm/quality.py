@@ -7,13 +7,14 @@
   BUCKETS x DIMENSIONS numbers, whatever the corpus holds. Vectors are scaled to length 1.
 * A document pools its words' vectors, each weighted less the more frequent the word is: their mean,
   and the mean product of neighbours, number by number, which tells repeated words from varied ones.
-* A two-layer numpy network is fitted on at most about ``TRAIN_DOCS`` labelled documents, by a hash
-  of their id. Some of them are kept aside to choose the temperature that divides the network's
+* A two-layer numpy network is fitted on about ``TRAIN_DOCS`` labelled rows (never more than twice as many),
+  by a hash of their id and text, rows that repeat both once. Some of them are kept aside to choose the temperature that divides the network's
   output before the logistic function, so that scores are calibrated probabilities.
 
 Defined cases: a null or empty text has the zero vector and the network's score for it; if nothing is
 labelled, every score is 0.5; a null label or doc_id isn't learned from; a null doc_id isn't held out;
-repeated rows are scored each; an empty table gives no row; other columns are ignored.
+repeated rows are scored each; an empty table gives no row; other columns are ignored. A long text is
+handled in pieces that end between words, so only a single word has to fit into memory several times.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import hash_share, ship, text_bytes
+from cadence.llm.common import hash_share, ship, small, text_bytes
 
 BUCKETS, DIMENSIONS, NONZERO, WINDOW, SEED = 1 << 14, 64, 2, 2, 7
 POOLED = 2 * DIMENSIONS
 TRAIN_DOCS, HIDDEN, EPOCHS = 20_000, 32, 60
 #: Bytes of text handled at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _KIND = np.full(256, 2, np.uint8)  # 0 white space, 1 letters, digits and bytes of longer characters, 2 marks
 _KIND[:33] = 0
@@ -63,12 +64,29 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return bucket[real], (np.searchsorted(offsets, starts[real], "right") - 1)
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, text after the last, bucket and text number of each word), about CHUNK bytes at a time."""
+def chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, text number) of the words, about CHUNK bytes at a time; a cut stands at an end of a word."""
     at = 0
-    while at < len(offsets) - 1:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
-        yield at, to, *words(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+    while at < len(data):
+        to = min(len(data), at + CHUNK)
+        if to < len(data):
+            back = _KIND[data[at : to + 1]]
+            cut = np.flatnonzero(back[1:] != back[:-1])
+            ends = offsets[np.searchsorted(offsets, at, "right") : np.searchsorted(offsets, to, "right")]
+            last = max(at + 1 + int(cut[-1]) if len(cut) else at, int(ends[-1]) if len(ends) else at)
+            if last > at:
+                to = last
+            else:  # one word of CHUNK bytes: on to its end
+                end = int(offsets[np.searchsorted(offsets, at, "right")])
+                for step in range(to, end, CHUNK):
+                    here = np.flatnonzero(_KIND[data[step : step + CHUNK]] != _KIND[data[at]])
+                    if len(here):
+                        end = step + int(here[0])
+                        break
+                to = end
+        first, last = np.searchsorted(offsets, at, "right") - 1, np.searchsorted(offsets, to, "left")
+        bucket, text = words(data[at:to], np.clip(offsets[first : last + 1], at, to) - at)
+        yield bucket, text + first
         at = to
 
 
@@ -79,14 +97,18 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
 
 
-def add_contexts(table: np.ndarray, counts: np.ndarray, bucket: np.ndarray, text: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> None:
+def add_contexts(table: np.ndarray, counts: np.ndarray, bucket: np.ndarray, text: np.ndarray, index: tuple[np.ndarray, np.ndarray],
+                 before: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))) -> None:
+    """Add the words' contexts; ``before`` are the WINDOW words before them, which a cut may have parted from them."""
     places, signs = index
     counts += np.bincount(bucket, minlength=BUCKETS)
+    old, bucket, text = len(before[0]), np.concatenate([before[0], bucket]), np.concatenate([before[1], text])
     for step in range(1, WINDOW + 1):
         near = np.flatnonzero(text[step:] == text[:-step])
+        near = near[near + step >= old]  # pairs of two earlier words are counted
         for word, other in ((bucket[near], bucket[near + step]), (bucket[near + step], bucket[near])):
             for k in range(NONZERO):
-                table += np.bincount(word * DIMENSIONS + places[other, k], signs[other, k], BUCKETS * DIMENSIONS)
+                np.add.at(table, word * DIMENSIONS + places[other, k], signs[other, k])
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
@@ -97,8 +119,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         index = index_vectors()
         table, counts = np.zeros(BUCKETS * DIMENSIONS), np.zeros(BUCKETS, np.int64)
         for b in batches:
-            for _, _, bucket, text in chunks(*text_bytes(b.column("text"))):
-                add_contexts(table, counts, bucket, text, index)
+            before = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            for bucket, text in chunks(*text_bytes(b.column("text"))):
+                add_contexts(table, counts, bucket, text, index, before)
+                before = (np.concatenate([before[0], bucket])[-WINDOW:], np.concatenate([before[1], text])[-WINDOW:])
         yield pa.RecordBatch.from_pydict({"sums": pa.array([table.astype(np.float32).tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     def add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,16 +145,22 @@ def scaled(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """[texts, POOLED]: mean of each text's word vectors, and mean product of each two that stand together."""
     out = np.zeros((len(offsets) - 1, POOLED))
-    for at, to, bucket, text in chunks(data, offsets):
+    n = np.zeros(len(offsets) - 1)
+    before, parted = np.zeros((0, DIMENSIONS), np.float32), -1  # the last word before a cut, and its text
+    for bucket, text in chunks(data, offsets):
         if len(bucket):
             first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-            n = np.diff(np.append(first, len(text)))[:, None]
+            n[text[first]] += np.diff(np.append(first, len(text)))
             of = vectors[bucket]
-            out[at + text[first], :DIMENSIONS] = np.add.reduceat(of, first, axis=0) / n
+            last = of[-1:].copy()
+            out[text[first], :DIMENSIONS] += np.add.reduceat(of, first, axis=0)
+            if parted == text[0]:
+                out[parted, DIMENSIONS:] += (before * of[:1])[0]
             of[:-1] *= of[1:]
             of[np.append(first[1:] - 1, len(text) - 1)] = 0  # the last word of a text has no neighbour after it
-            out[at + text[first], DIMENSIONS:] = np.add.reduceat(of, first, axis=0) / n
-    return out
+            out[text[first], DIMENSIONS:] += np.add.reduceat(of, first, axis=0)
+            before, parted = last, text[-1]
+    return out / np.maximum(n, 1)[:, None]
 
 
 class Network:
@@ -183,13 +213,15 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, train_docs: i
     shared = spark.sparkContext.broadcast(vectors)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             x = pooled(shared.value, *text_bytes(b.column("text"))).astype(np.float32)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([v.tobytes() for v in x], pa.binary())], ["doc_id", "label", "x"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about train_docs rows of two numbers
-    rows = rows.groupBy("doc_id", "label", F.xxhash64("text")).agg(F.first(F.col("text").cast("string")).alias("text"))  # repeated rows once
-    got = rows.select("doc_id", "label", "text").mapInArrow(pool, "doc_id long, label int, x binary").toArrow()
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # about train_docs rows of two numbers
+    many = rows.count()  # many more than the labels where a doc_id is repeated
+    rows = rows.filter(hash_share(train_docs / max(1, many), "doc_id", "text")).dropDuplicates(["doc_id", "label", "text"])
+    pooled_rows = rows.select("doc_id", "label", "text").mapInArrow(pool, "doc_id long, label int, x binary")
+    got = pooled_rows.orderBy(F.xxhash64("doc_id", "x"), "doc_id", "label", "x").limit(2 * train_docs).toArrow()
     if not got.num_rows:
         return None
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, POOLED).astype(float)
@@ -204,7 +236,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network | None) -> Data
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, network = shared.value
-        for b in batches:
+        for b in small(batches):
             if network is None:
                 s = np.full(b.num_rows, 0.5)
             else:

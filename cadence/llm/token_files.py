@@ -9,6 +9,9 @@ A file is a run of blocks, ended by Spark's text writer with ``TRAILER``. A bloc
 All numbers are little-endian; a frame holds one document's ids as unsigned 32-bit integers. The
 index lets a reader take one short document out of a block without touching the other frames.
 Blocks stand in ascending doc_id order within a file, and files in the order of their part number.
+Beside the files stand the dictionary, ``dictionary/<its SHA-256>``, and the table ``index`` (doc_id -> file, place and size of the
+frame, written when the files are read back): another session needs no more than the folder, and one
+document is read by its byte range.
 
 Defined cases: a null text is empty (its ids are the end id alone), a null doc_id sorts first,
 rows with one doc_id are ordered by their ids, an empty table gives no block, and columns beside
@@ -28,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import materialize, sampled, ship, work_path
+from cadence.llm.common import materialize, sampled, ship, small, work_path
 from cadence.llm.wordcache import encoder
 
 MAGIC, TRAILER = b"TOKBLK01", "TOKEND01\n"
@@ -40,7 +43,9 @@ DICT_DOCS, DICT_SAMPLE_BYTES, DICT_BYTES = 2_000, 16_384, 112_640
 BLOCK_BYTES, FILE_BYTES = 4 << 20, 32 << 20
 
 FRAMES = "doc_id long, n_tokens long, ids_crc32 long, frame binary"
-INDEX = "file int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+
+
+INDEX = "file int, path string, doc_id long, local_start long, n_tokens long, ids_crc32 long, at long, size long"
 
 
 def _encoded(batch: pa.RecordBatch, path: str, end: bytes) -> list[bytes]:
@@ -56,7 +61,7 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, n_docs: int
     end = struct.pack("<I", end_id)
 
     def samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_pydict({"ids": pa.array([x[:DICT_SAMPLE_BYTES] for x in _encoded(b, vocabulary, end)], pa.binary())})
 
     got = [bytes(r[0]) for r in sampled(docs, n_docs / rows, "text", "doc_id").select("text").mapInArrow(samples, "ids binary").collect()]
@@ -68,7 +73,7 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, n_docs: int
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -> bytes:
-    """Encode ``docs`` (doc_id, text) and write the files to ``path``; returns the dictionary."""
+    """Encode ``docs`` (doc_id, text) and write the files and the dictionary to ``path``; returns the dictionary."""
     spark = ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dictionary = train_dictionary(docs, vocabulary, end_id)
@@ -76,7 +81,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary))
-        for b in batches:
+        for b in small(batches):
             ids = _encoded(b, vocabulary, end)
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -101,10 +106,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -
         if rows:
             yield pa.RecordBatch.from_pydict({"block": pa.array([pack_block(rows, name)], pa.binary())})
 
-    (done.repartitionByRange(files, "doc_id", "ids_crc32").sortWithinPartitions("doc_id", "ids_crc32", "n_tokens", "frame")
+    # the row's number parts rows that are equal in the others
+    (done.repartitionByRange(files, "doc_id", "ids_crc32", F.monotonically_increasing_id()).sortWithinPartitions("doc_id", "ids_crc32", "n_tokens", "frame")
          .select("doc_id", "n_tokens", "frame").mapInArrow(blocks, "block binary")
          .select(F.col("block").cast("string").alias("value"))  # the bytes as they are
          .write.option("lineSep", TRAILER).text(path))
+    _put(spark, f"{path}/dictionary/{name.hex()}", dictionary)
     return dictionary
 
 
@@ -152,42 +159,81 @@ def blocks_of(content: bytes, dictionary: bytes) -> Iterator[Block]:
         yield block
 
 
-def read_tokens(spark: SparkSession, path: str, dictionary: bytes) -> DataFrame:
-    """One row per document, from the files: doc_id, start, n_tokens, ids_crc32."""
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _put(spark: SparkSession, path: str, content: bytes) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def read_range(spark: SparkSession, path: str, at: int, size: int) -> bytes:
+    """``size`` bytes of a file from ``at`` on, by a seek."""
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        source.seek(at)
+        return bytes(source.readNBytes(size))
+    finally:
+        source.close()
+
+
+def load_dictionary(spark: SparkSession, path: str) -> bytes:
+    """The dictionary beside the files in ``path``."""
+    fs, p = _fs(spark, f"{path}/dictionary")
+    found = [f for f in fs.listStatus(p) if not f.getPath().getName().startswith(".")]
+    content = read_range(spark, found[0].getPath().toString(), 0, found[0].getLen())
+    if hashlib.sha256(content).hexdigest() != found[0].getPath().getName():
+        raise ValueError("the dictionary isn't the one it is named for")
+    return content
+
+
+def part_number(path: str) -> int:
+    """The number of a file of Spark's text writer, however many digits it has."""
+    return int(path.rsplit("/part-", 1)[1].split("-", 1)[0])
+
+
+def read_tokens(spark: SparkSession, path: str, dictionary: bytes | None = None) -> DataFrame:
+    """One row per document, from the files: doc_id, start, n_tokens, ids_crc32. Writes the index beside them."""
     ship(spark)
+    dictionary = load_dictionary(spark, path) if dictionary is None else dictionary
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, content in zip(b.column("path").to_pylist(), b.column("content")):
-                file, at = int(name.rsplit("/part-", 1)[1][:5].rstrip("-")), 0
+                at, place = 0, 0
                 for block in blocks_of(content.as_buffer(), dictionary):
                     starts = at + np.concatenate([[0], np.cumsum(block.n_tokens)]).astype(np.int64)
                     at, n = int(starts[-1]), len(block.doc_id)
+                    ends = place + block.size - len(block.frames) + np.concatenate([[0], block.ends]).astype(np.int64)
+                    place += block.size + len(TRAILER)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([file] * n, pa.int32()), pa.array(block.doc_id, pa.int64()), pa.array(starts[:-1]),
+                        pa.array([part_number(name)] * n, pa.int32()), pa.array([name] * n, pa.string()), pa.array(block.doc_id, pa.int64()), pa.array(starts[:-1]),
                         pa.array(block.n_tokens.astype(np.int64)), pa.array([zlib.crc32(block.bytes(k)) for k in range(n)], pa.int64()),
-                    ], ["file", "doc_id", "local_start", "n_tokens", "ids_crc32"])
+                        pa.array(ends[:-1]), pa.array(np.diff(ends)),
+                    ], ["file", "path", "doc_id", "local_start", "n_tokens", "ids_crc32", "at", "size"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    index = materialize(files.select("path", "content").mapInArrow(parsed, INDEX), "token-index")
+    files.select("path", "content").mapInArrow(parsed, INDEX).write.mode("overwrite").parquet(f"{path}/index")
+    index = spark.read.schema(INDEX).parquet(f"{path}/index")
     # one row per file: the only total order needed
     before = index.groupBy("file").agg(F.sum("n_tokens").alias("n")).select(
         "file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
     return index.join(before, "file").select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def read_document(spark: SparkSession, path: str, dictionary: bytes, doc_id: int) -> list[np.ndarray]:
-    """The ids of every row with this doc_id, by the blocks' indexes: other frames stay compressed."""
-    ship(spark)
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for content in b.column("content"):
-                got = [block.bytes(k) for block in blocks_of(content.as_buffer(), dictionary) for k, i in enumerate(block.doc_id) if i == doc_id]
-                yield pa.RecordBatch.from_pydict({"ids": pa.array(got, pa.binary())})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return [np.frombuffer(bytes(r[0]), "<u4") for r in files.select("content").mapInArrow(found, "ids binary").collect()]
+def read_document(spark: SparkSession, path: str, dictionary: bytes | None, doc_id: int) -> list[np.ndarray]:
+    """The ids of every row with this doc_id: the index says where its frames stand, and only these bytes are read."""
+    dictionary = load_dictionary(spark, path) if dictionary is None else dictionary
+    press = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+    rows = spark.read.schema(INDEX).parquet(f"{path}/index").filter(F.col("doc_id") == doc_id).orderBy("file", "at").collect()
+    return [np.frombuffer(press.decompress(read_range(spark, r["path"], r["at"], r["size"])), "<u4") for r in rows]
 
 
 def tokens(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:

@@ -3,7 +3,9 @@
 Both vocabularies split a text into pre-tokens before merging, and no pre-token crosses a single
 space or newline between two visible characters, nor the end of a run of letters. A text can
 therefore be encoded as the concatenation of its words' ids, and each word needs the library once.
-Texts with other white space, or with several such characters in a row, go to the library whole.
+Texts with other white space, with several such characters in a row, or with the string of an added
+token (which is one id, as in the library's plain call) go to the library in pieces, cut where no
+pre-token crosses, since its result takes about 160 times the bytes of what it is given.
 """
 
 from __future__ import annotations
@@ -11,12 +13,17 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+from pyspark import TaskContext
 from tokenizers import Tokenizer
 
-#: Words kept per Python worker; a full cache is emptied, which costs time and changes no result.
-CACHE_WORDS = 700_000
+#: Bytes of words kept per Python worker and vocabulary, about; a full cache is emptied, which costs time and
+#: changes no result. ENTRY_BYTES: what an entry takes beside its characters and ids.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 150
+#: Longest word that is kept, and characters given to the library at once, about.
+LONGEST_KEPT, PIECE = 256, 1 << 16
 
 # White space besides space and newline: such texts are encoded whole.
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -     　]")
@@ -24,6 +31,8 @@ _WORD_THEN_MARK = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~].*
 
 
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+#: Before a single space or line end between letters, and after a letter before a mark that is no letter: no pre-token crosses.
+_CUT = re.compile("(?<=[A-Za-z])(?=[ \n][A-Za-z])|(?<=[^\\W\\d_])(?=[。、，．！？])")
 
 
 def _byte_names() -> str:
@@ -40,10 +49,16 @@ _BYTE_NAMES = _byte_names()
 
 
 class _Words(dict):
-    """Piece -> its ids as little-endian unsigned 32-bit bytes; ``lead`` stands before each piece."""
+    """Piece -> its ids as little-endian unsigned 32-bit bytes; ``lead`` stands before each piece.
+
+    ``held`` counts the bytes of all dictionaries of one encoder, which are emptied together.
+    """
 
     def __init__(self, tok: Tokenizer, lead: str, rest: "_Words | None"):
         super().__init__()
+        self.held = rest.held if rest is not None else [0]
+        self.all = rest.all if rest is not None else []
+        self.all.append(self)
         self.tok, self.lead, self.rest = tok, lead, rest if rest is not None else self
         self.model, self.lower = tok.model, tok.normalizer is not None
 
@@ -53,8 +68,6 @@ class _Words(dict):
         return _bytes([t.id for t in self.model.tokenize(word.translate(_BYTE_NAMES))])
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         m = _WORD_THEN_MARK.fullmatch(piece)
         if m:  # a run of letters ends a pre-token: the marks after it are words of their own
             ids = self[m[1]] + self.rest[m[2]]
@@ -62,7 +75,13 @@ class _Words(dict):
             ids = self.letters(piece)
         else:
             ids = _bytes(self.tok.encode(self.lead + piece, add_special_tokens=False).ids)
-        self[piece] = ids
+        if len(piece) <= LONGEST_KEPT:
+            self.held[0] += ENTRY_BYTES + 2 * len(piece) + len(ids)
+            if self.held[0] > CACHE_BYTES:
+                for words in self.all:
+                    words.clear()
+                self.held[0] = 0
+            self[piece] = ids
         return ids
 
 
@@ -78,16 +97,29 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.spaces_count = self.tok.normalizer is None  # the word-end vocabulary drops white space
         self.first = _Words(self.tok, "", None)
         self.inner = _Words(self.tok, " ", self.first) if self.spaces_count else self.first
 
+    def pieces(self, text: str, size: int) -> Iterator[str]:
+        """The text in pieces of about ``size`` characters, or longer where nothing allows a cut."""
+        at = 0
+        while at < len(text):
+            cut = _CUT.search(text, at + size) if len(text) - at > size else None
+            to = cut.start() if cut else len(text)
+            yield text[at:to]
+            at = to
+
     def whole(self, text: str) -> bytes:
-        return _bytes(self.tok.encode(text, add_special_tokens=False).ids)
+        """By the library, a piece of the text at a time."""
+        return b"".join(_bytes(self.tok.encode(t, add_special_tokens=False).ids) for t in self.pieces(text, PIECE))
 
     def encode(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text):
+        return self._encode(text) if len(text) <= 16 * PIECE else b"".join(map(self._encode, self.pieces(text, 16 * PIECE)))
+
+    def _encode(self, text: str) -> bytes:
+        if _OTHER_SPACE.search(text) or any(t in text for t in self.added):
             return self.whole(text)
         first, inner = self.first.__getitem__, self.inner.__getitem__
         if not self.spaces_count:
@@ -104,14 +136,17 @@ class WordEncoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, tuple[int, WordEncoder]] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """One encoder per Python worker and vocabulary; words that an earlier stage left are given up."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else -1
+    if path not in _ENCODERS or _ENCODERS[path][0] != stage:
+        _ENCODERS.clear()
+        _ENCODERS[path] = (stage, WordEncoder(path))
+    return _ENCODERS[path][1]
 
 
 def ids_of(data: bytes) -> np.ndarray:

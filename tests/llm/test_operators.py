@@ -31,7 +31,6 @@ def docs_of(spark, texts, first=0):
 
 def encoded(name, text):
     tok = Tokenizer.from_file(public_tokenizers.path(name))
-    tok.encode_special_tokens = True
     return tok.encode(text or "", add_special_tokens=False).ids
 
 
