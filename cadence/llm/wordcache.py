@@ -19,9 +19,9 @@ import numpy as np
 from pyspark import TaskContext
 from tokenizers import Tokenizer
 
-#: Bytes of words kept per Python worker and vocabulary, about; a full cache is emptied, which costs time and
-#: changes no result. ENTRY_BYTES: what an entry takes beside its characters and ids.
-CACHE_BYTES, ENTRY_BYTES = 48 << 20, 150
+#: Bytes of words kept per Python worker and vocabulary, about, in two generations: when the younger one is full, it
+#: replaces the older one. ENTRY_BYTES: what an entry takes beside its characters and ids.
+CACHE_BYTES, ENTRY_BYTES = 112 << 20, 110
 #: Longest word that is kept, and characters given to the library at once, about.
 LONGEST_KEPT, PIECE = 256, 1 << 16
 
@@ -51,7 +51,7 @@ _BYTE_NAMES = _byte_names()
 class _Words(dict):
     """Piece -> its ids as little-endian unsigned 32-bit bytes; ``lead`` stands before each piece.
 
-    ``held`` counts the bytes of all dictionaries of one encoder, which are emptied together.
+    ``held`` counts the bytes of all dictionaries of one encoder, which grow old together.
     """
 
     def __init__(self, tok: Tokenizer, lead: str, rest: "_Words | None"):
@@ -59,6 +59,7 @@ class _Words(dict):
         self.held = rest.held if rest is not None else [0]
         self.all = rest.all if rest is not None else []
         self.all.append(self)
+        self.old: dict[str, bytes] = {}
         self.tok, self.lead, self.rest = tok, lead, rest if rest is not None else self
         self.model, self.lower = tok.model, tok.normalizer is not None
 
@@ -68,6 +69,26 @@ class _Words(dict):
         return _bytes([t.id for t in self.model.tokenize(word.translate(_BYTE_NAMES))])
 
     def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= LONGEST_KEPT:
+            self.held[0] += ENTRY_BYTES + len(piece) + len(ids)
+            if self.held[0] > CACHE_BYTES // 2:
+                for words in self.all:
+                    words.old = words.copy()
+                    words.clear()
+                self.held[0] = 0
+            self[piece] = ids
+        return ids
+
+    def forget(self) -> None:
+        self.held[0] = 0
+        for words in self.all:
+            words.old = {}
+            words.clear()
+
+    def encode(self, piece: str) -> bytes:
         m = _WORD_THEN_MARK.fullmatch(piece)
         if m:  # a run of letters ends a pre-token: the marks after it are words of their own
             ids = self[m[1]] + self.rest[m[2]]
@@ -75,13 +96,6 @@ class _Words(dict):
             ids = self.letters(piece)
         else:
             ids = _bytes(self.tok.encode(self.lead + piece, add_special_tokens=False).ids)
-        if len(piece) <= LONGEST_KEPT:
-            self.held[0] += ENTRY_BYTES + 2 * len(piece) + len(ids)
-            if self.held[0] > CACHE_BYTES:
-                for words in self.all:
-                    words.clear()
-                self.held[0] = 0
-            self[piece] = ids
         return ids
 
 
@@ -136,17 +150,21 @@ class WordEncoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[str, tuple[int, WordEncoder]] = {}
+_ENCODERS: dict[str, WordEncoder] = {}
+_STAGE = [-1]
 
 
 def encoder(path: str) -> WordEncoder:
     """One encoder per Python worker and vocabulary; words that an earlier stage left are given up."""
     task = TaskContext.get()
     stage = task.stageId() if task else -1
-    if path not in _ENCODERS or _ENCODERS[path][0] != stage:
-        _ENCODERS.clear()
-        _ENCODERS[path] = (stage, WordEncoder(path))
-    return _ENCODERS[path][1]
+    if stage != _STAGE[0]:
+        _STAGE[0] = stage
+        for e in _ENCODERS.values():
+            e.first.forget()
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def ids_of(data: bytes) -> np.ndarray:
