@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 #: Bytes of words kept per Python worker and vocabulary, about, in two generations: when the younger one is full, it
 #: replaces the older one. ENTRY_BYTES: what an entry takes beside its characters and ids.
-CACHE_BYTES, ENTRY_BYTES = 112 << 20, 110
+CACHE_BYTES, ENTRY_BYTES = 192 << 20, 150
 #: Longest word that is kept, and characters given to the library at once, about.
 LONGEST_KEPT, PIECE = 256, 1 << 16
 
@@ -65,8 +65,12 @@ class _Words(dict):
 
     def letters(self, word: str) -> bytes:
         """Ids of one run of letters: a single pre-token, so the library's merge model alone decides."""
-        word = (self.lead + (word.lower() if self.lower else word)).encode("utf-8").decode("latin-1")
-        return _bytes([t.id for t in self.model.tokenize(word.translate(_BYTE_NAMES))])
+        word = word.lower() if self.lower else word
+        if word.isascii():  # letters stand for themselves
+            name = _BYTE_NAMES[32] + word if self.lead else word
+        else:
+            name = (self.lead + word).encode("utf-8").decode("latin-1").translate(_BYTE_NAMES)
+        return _bytes([t.id for t in self.model.tokenize(name)])
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -89,6 +93,8 @@ class _Words(dict):
             words.clear()
 
     def encode(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            return self.letters(piece)
         m = _WORD_THEN_MARK.fullmatch(piece)
         if m:  # a run of letters ends a pre-token: the marks after it are words of their own
             ids = self[m[1]] + self.rest[m[2]]
