@@ -14,21 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.functions import present
+from cadence.functions import instant_wallclock, present, wallclock_instant
 from cadence.operators.enrich import split_quarantine
 from cadence.plans.dashboard import as_doubles, dashboard
 from cadence.plans.oracle import ENRICHED_SELECT, PRELUDE, p6
 from cadence.plans.registry import show
 from cadence.plans.workload import Workload
-from cadence.schemas import ENRICHED_COLUMNS, LOG_SCHEMA
+from cadence.schemas import BATCH_TABLES, ENRICHED_COLUMNS, LOG_SCHEMA
 from cadence.session import app_id, run_folder
+from cadence.sources.commits import CommittedSink
 from cadence.sources.files import load_feature_store
 from cadence.sources.kafka import parse_logs
 from cadence.sources.sinks import TableSink
 from cadence.streaming.job import FeatureStore, process_batch, start_stream_job
 from cadence.streaming.progress import ProgressRecorder
 from cadence.streaming.replay import log_lines, replay_stream
-from cadence.streaming.windows import KINDS, enriched_stream, start_windowed
+from cadence.streaming.windows import KINDS, enriched_stream, start_late_rows, start_windowed
 
 STREAM_WINDOW = "10 minutes"
 STREAM_WATERMARK = "1 hour"
@@ -66,7 +67,7 @@ def _store(spark: SparkSession, sf_dir: str, root: str) -> FeatureStore:
 def _build_job(spark: SparkSession, sf_dir: str, root: str) -> None:
     inp = os.path.join(root, "input")
     log_lines(Workload.of(spark, sf_dir).history).write.text(inp)
-    store, sink = _store(spark, sf_dir, root), TableSink(os.path.join(root, "tables"))
+    store, sink = _store(spark, sf_dir, root), CommittedSink(os.path.join(root, "tables"))
     recorder = ProgressRecorder(spark, sink).attach()
     try:
         per_batch = -(-max(1, _input_files(spark, inp)) // BATCHES)
@@ -105,9 +106,63 @@ def _build_replayed(spark: SparkSession, sf_dir: str, root: str) -> None:
         store.release()
 
 
+class _Stopped(RuntimeError):
+    pass
+
+
+class _StoppingSink(CommittedSink):
+    """Breaks off batch ``stop_at`` at its engagement table, when other tables have been written."""
+
+    stop_at = 3
+
+    def write(self, df: DataFrame, name: str, batch_id: int | None = None) -> None:
+        if batch_id == self.stop_at and name == "engagement_metrics":
+            raise _Stopped(name)
+        super().write(df, name, batch_id)
+
+
+def _build_stopped(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """A batch for each quarter of the day; the last is stopped between two writes, the others are merged into days."""
+    history = Workload.of(spark, sf_dir).history
+    store, sink = _store(spark, sf_dir, root), _StoppingSink(os.path.join(root, "tables"))
+    try:
+        for k in range(4):
+            logs = parse_logs(log_lines(history.where(F.floor(F.hour("ts") / 6) == k)), "value")
+            try:
+                process_batch(logs, k, store, sink, when=dt.datetime(2024, 3, 1, 6 * k))
+            except _Stopped:
+                pass
+        sink.compact(spark, [*BATCH_TABLES, "quarantine"])
+        sink.expire(spark)
+    finally:
+        store.release()
+
+
+def _build_late(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The plays in quarters of their time span, one trigger each; plays of every fifth second come a quarter late."""
+    w = Workload.of(spark, sf_dir)
+    second = F.unix_seconds(wallclock_instant("ts"))
+    history = w.history.where("ts is not null").withColumn("_s", second)
+    first, last = history.agg(F.min("_s"), F.max("_s")).first()
+    quarter = F.floor((F.col("_s") - (first or 0)) * 4 / ((last or 0) - (first or 0) + 1))
+    history = history.withColumn("_arrival", quarter + F.when(F.col("_s") % 5 == 0, 1).otherwise(0))
+    store, inp, now = _store(spark, sf_dir, root), os.path.join(root, "input"), {"availableNow": True}
+    try:
+        for k in range(5):
+            log_lines(history.where(F.col("_arrival") == k)).write.mode("append").text(inp)
+            for q in (start_windowed(enriched_stream(replay_stream(spark, inp), store, STREAM_WATERMARK), os.path.join(root, "windows"),
+                                     os.path.join(root, "_checkpoint_windows"), kind="mood", size=STREAM_WINDOW, trigger=now),
+                      start_late_rows(enriched_stream(replay_stream(spark, inp), store, STREAM_WATERMARK), os.path.join(root, "aside"),
+                                      os.path.join(root, "_checkpoint_aside"), STREAM_WINDOW, STREAM_WATERMARK, trigger=now)):
+                _run(q)
+    finally:
+        store.release()
+
+
 def _sink(spark: SparkSession, sf_dir: str, kind: str = "job") -> TableSink:
-    build = {"job": _build_job, "replayed": _build_replayed}[kind]
-    return TableSink(os.path.join(_root(spark, sf_dir, kind, build), "tables"))
+    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped}[kind]
+    path = os.path.join(_root(spark, sf_dir, kind, build), "tables")
+    return TableSink(path) if kind == "replayed" else CommittedSink(path)
 
 
 def _windows(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -134,6 +189,33 @@ def stream_replayed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plays.join(ends, "track_uri").join(events, "track_uri")
 
 
+def stream_committed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a batch that was stopped between two writes no table shows anything, of the others every table shows all."""
+    sink = _sink(spark, sf_dir, "stopped")
+    plays = _counts(sink, spark)
+    ends = sink.read(spark, "engagement_metrics").groupBy("track_uri").agg(
+        F.sum("skip_count").cast("long").alias("skip_count"), F.sum("natural_end_count").cast("long").alias("natural_end_count"))
+    events = sink.read(spark, "realtime_streaming_events").groupBy("track_uri").agg(F.count(F.lit(1)).alias("events"))
+    return plays.join(ends, "track_uri", "full").join(events, "track_uri", "full")
+
+
+def stream_compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the committed events, after their batches were merged into days."""
+    sink = _sink(spark, sf_dir, "stopped")
+    return as_doubles(sink.read(spark, "realtime_streaming_events")).select("batch_id", *ENRICHED_COLUMNS)
+
+
+def stream_late_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 over several triggers: plays in time of every closed window, and those that came after it had closed."""
+    root = _root(spark, sf_dir, "late", _build_late)
+    schema = T.StructType().add("window_start_time", "timestamp")
+    late = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(os.path.join(root, "aside", "late"))
+    late = late.groupBy(instant_wallclock("window_start_time").alias("window_start_time")).agg(F.count(F.lit(1)).alias("late"))
+    on_time = spark.read.parquet(os.path.join(root, "windows")).select("window_start_time", F.col("total_streams").alias("on_time"))
+    both = on_time.join(late, "window_start_time", "full")
+    return both.select("window_start_time", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("on_time", "late")])
+
+
 def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the streamed events table, as the sink stores them."""
     return as_doubles(_sink(spark, sf_dir).read(spark, "realtime_streaming_events")).select(*ENRICHED_COLUMNS)
@@ -218,7 +300,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STREAM = [
     stream_play_counts, stream_replayed_totals, stream_enriched_events, stream_engagement_totals, stream_engagement_rates,
     stream_mood_totals, stream_windowed_mood, stream_windowed_leaderboard, stream_windowed_engagement,
-    stream_top_tracks, stream_heatmap, stream_quarantine,
+    stream_top_tracks, stream_heatmap, stream_quarantine, stream_committed_totals, stream_compacted_events, stream_late_plays,
 ]
 
 
@@ -244,6 +326,20 @@ def stream_oracle() -> dict[str, str]:
         "stream_play_counts": PRELUDE + "SELECT track_uri, COUNT(*) AS plays FROM enriched GROUP BY track_uri",
         "stream_replayed_totals": PRELUDE + f"""
             SELECT track_uri, COUNT(*) AS plays, COUNT(*) AS events, {_SKIPS} FROM enriched GROUP BY track_uri""",
+        "stream_committed_totals": PRELUDE + f"""
+            SELECT track_uri, COUNT(*) AS plays, COUNT(*) AS events, {_SKIPS} FROM enriched WHERE hour_of_day < 18 GROUP BY track_uri""",
+        "stream_compacted_events": PRELUDE + f"SELECT hour_of_day // 6 AS batch_id, {stored} FROM enriched WHERE hour_of_day < 18",
+        "stream_late_plays": PRELUDE + f"""
+            , plays AS (SELECT {_BUCKET} AS window_start_time, CAST(epoch(date_trunc('second', "timestamp")) AS BIGINT) AS s FROM enriched),
+            span AS (SELECT min(s) AS a, max(s) AS b FROM plays),
+            came AS (SELECT window_start_time, CAST(epoch(window_start_time) AS BIGINT) + 600 AS e, s,
+              CAST(floor(CAST((s - a) * 4 AS DOUBLE) / (b - a + 1)) AS BIGINT) + CASE WHEN s % 5 = 0 THEN 1 ELSE 0 END AS k FROM plays, span),
+            marks AS (SELECT k, max(max(s)) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600 AS w FROM came GROUP BY k),
+            held AS (SELECT came.*, e <= w AS late FROM came JOIN marks USING (k))
+            SELECT window_start_time, CAST(SUM(CASE WHEN late IS TRUE THEN 0 ELSE 1 END) AS BIGINT) AS on_time,
+              CAST(SUM(CASE WHEN late IS TRUE THEN 1 ELSE 0 END) AS BIGINT) AS late
+            FROM held GROUP BY window_start_time, e
+            HAVING e <= (SELECT max(s) FROM came) - 3600""",
         "stream_enriched_events": PRELUDE + f"SELECT {stored} FROM enriched",
         "stream_engagement_totals": PRELUDE + f"SELECT track_uri, {_SKIPS} FROM enriched GROUP BY track_uri",
         "stream_engagement_rates": PRELUDE + f"""

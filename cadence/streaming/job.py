@@ -13,7 +13,8 @@ Scale notes:
 * The sinks replace a batch's rows of every table as a whole: a batch
   replayed after a failure, on whatever day, doesn't add them again. Progress
   lives in the checkpoint folder, so a restart continues from the last
-  committed batch.
+  committed batch. With a :class:`CommittedSink` the tables of a batch appear
+  together: a reader never sees a batch that was stopped between two writes.
 * The enriched batch is persisted (memory and disk): the events table is
   written first and fills the cache, then the other writes run as concurrent
   jobs over it. Lost blocks are recomputed from the source offsets.
@@ -35,6 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cadence.operators.enrich import enrich, split_quarantine
 from cadence.operators.metrics import engagement, leaderboard, mood_metrics, mood_sample
 from cadence.operators.sizing import broadcast_if_small
+from cadence.sources.commits import CommittedSink
 from cadence.sources.files import load_feature_store, store_version
 from cadence.sources.sinks import conform, split_violations
 
@@ -149,6 +151,12 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore | Watched
                 (conform(bad, "quarantine").unionByName(broken), "quarantine"),
             ]
             _write_all(sink, tables, batch_id, parallel_writes)
+            if isinstance(sink, CommittedSink):  # only now is the batch seen, in all tables at once
+                sink.commit(spark, batch_id)
+        except BaseException:
+            if isinstance(sink, CommittedSink):
+                sink.abandon(batch_id)
+            raise
         finally:
             enriched.unpersist()
         return True

@@ -47,6 +47,48 @@ def windowed_metrics(enriched: DataFrame, kind: str = "mood", size: str = "1 min
     return KINDS[kind](enriched, size, EVENT_TIME)
 
 
+class LateRows:
+    """Sets aside, batch by batch, the rows that the windowed job of the same input drops as late.
+
+    A batch is held against the watermark that the batches before it left: the latest event time seen so
+    far, less the delay, which is what the windowed job knows when the batch starts. A row is late if its
+    window has been closed by then. The latest time is kept in a small table, written after the rows
+    of its batch, so that a restart goes on with it and a replayed batch replaces its rows.
+    """
+
+    def __init__(self, spark, path: str, size: str, delay: str):
+        self.spark, self.path, self.size, self.delay = spark, path.rstrip("/"), size, delay
+
+    def watermark(self, batch_id: int) -> int | None:
+        """Latest event time of the batches before ``batch_id``, less the delay, in microseconds; None at first."""
+        if batch_id == 0:
+            return None
+        seen = self.spark.read.schema("latest timestamp").parquet(f"{self.path}/latest/batch-{batch_id - 1}")
+        return seen.select(F.unix_micros(F.max("latest") - F.expr(f"INTERVAL {self.delay}")).alias("w")).first()["w"]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            w = self.watermark(batch_id)
+            window = F.window(EVENT_TIME, self.size)
+            late = F.lit(False) if w is None else F.coalesce(F.unix_micros(window["end"]) <= w, F.lit(False))
+            rows = batch.withColumn("window_start_time", window["start"]).withColumn("late", late)
+            rows.where("late").drop("late").write.mode("overwrite").parquet(f"{self.path}/late/batch-{batch_id}")
+            latest = batch.agg(F.max(EVENT_TIME).alias("latest"))
+            if batch_id > 0:
+                before = self.spark.read.schema("latest timestamp").parquet(f"{self.path}/latest/batch-{batch_id - 1}")
+                latest = latest.unionByName(before).agg(F.max("latest").alias("latest"))
+            latest.write.mode("overwrite").parquet(f"{self.path}/latest/batch-{batch_id}")
+        finally:
+            batch.unpersist()
+
+
+def start_late_rows(events: DataFrame, path: str, checkpoint: str, size: str, delay: str, trigger: dict | None = None) -> StreamingQuery:
+    """Run :class:`LateRows` on a stream with an ``event_time``, over the same triggers as the windowed job."""
+    w = events.writeStream.foreachBatch(LateRows(events.sparkSession, path, size, delay)).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 def start_windowed(enriched: DataFrame, path: str, checkpoint: str, kind: str = "mood", size: str = "1 minute",
                    trigger: dict | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Append each closed window's row to a Parquet table (exactly once via the file sink log)."""
