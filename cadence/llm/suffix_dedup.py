@@ -502,7 +502,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     shares = max(1, -(-size // KEY_SHARE))
     replies = shared_keys(blocks, shares).groupBy("block").agg(F.collect_list(F.struct("part", "lows", "hot")).alias("replies"))
     indexes = max(1, -(-size // INDEX_SHARE))
-    segments_ = materialize(deal_segments(blocks, replies, shares, indexes), "dedup-segments")
+    segments_ = deal_segments(blocks, replies, shares, indexes)
     answers = materialize(match(segments_), "dedup-answers").groupBy("block").agg(F.collect_list(F.struct("share", "bits")).alias("answers"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
