@@ -94,7 +94,7 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of each bucket's index vector."""
     rng = np.random.default_rng(SEED)
     places = np.stack([rng.permutation(DIMENSIONS)[:NONZERO] for _ in range(BUCKETS)])
-    return places, rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
+    return places, rng.choice([-1, 1], (BUCKETS, NONZERO))
 
 
 def add_contexts(table: np.ndarray, counts: np.ndarray, bucket: np.ndarray, text: np.ndarray, index: tuple[np.ndarray, np.ndarray],
@@ -117,20 +117,20 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_vectors()
-        table, counts = np.zeros(BUCKETS * DIMENSIONS), np.zeros(BUCKETS, np.int64)
+        table, counts = np.zeros(BUCKETS * DIMENSIONS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
             before = (np.zeros(0, np.int64), np.zeros(0, np.int64))
             for bucket, text in chunks(*text_bytes(b.column("text"))):
                 add_contexts(table, counts, bucket, text, index, before)
                 before = (np.concatenate([before[0], bucket])[-WINDOW:], np.concatenate([before[1], text])[-WINDOW:])
-        yield pa.RecordBatch.from_pydict({"sums": pa.array([table.astype(np.float32).tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([table.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     def add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return a[0] + b[0], a[1] + b[1]
 
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(gather, "sums binary, counts binary").rdd.map(
-        lambda r: (np.frombuffer(r["sums"], np.float32), np.frombuffer(r["counts"], np.int64)))
-    zero = (np.zeros(BUCKETS * DIMENSIONS, np.float32), np.zeros(BUCKETS, np.int64))
+        lambda r: (np.frombuffer(r["sums"], np.int64), np.frombuffer(r["counts"], np.int64)))  # whole numbers: the order of tasks changes nothing
+    zero = (np.zeros(BUCKETS * DIMENSIONS, np.int64), np.zeros(BUCKETS, np.int64))
     table, counts = parts.treeReduce(add, depth=3) if parts.getNumPartitions() else zero
     return scaled(table, counts)
 
