@@ -91,7 +91,7 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_line_ends(2))
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_line_ends(2)).drop("log_position")  # the columns of its SQL
 
 
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
