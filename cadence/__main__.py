@@ -86,7 +86,11 @@ def cmd_stream(args) -> int:
     checkpoint = args.checkpoint or run_folder(spark, "stream-checkpoint")
     recorder = ProgressRecorder(spark, sink).attach()
     try:
-        q = start_stream_job(_logs(spark, args), store, sink, checkpoint, trigger=_trigger(args), query_name="cadence-stream")
+        logs = _logs(spark, args)
+        if args.drop_repeats:
+            from cadence.streaming.repeats import drop_repeats
+            logs = drop_repeats(logs, args.drop_repeats)
+        q = start_stream_job(logs, store, sink, checkpoint, trigger=_trigger(args), query_name="cadence-stream")
         failed = _finish(q)
     finally:
         recorder.close()
@@ -101,17 +105,52 @@ def cmd_windows(args) -> int:
     from cadence.streaming.job import FeatureStore
     from cadence.streaming.windows import enriched_stream, quarantine_stream, start_windowed
     spark = _session(args)
-    store = FeatureStore.prepare(*load_feature_store(spark, args.store))
     checkpoint = args.checkpoint or run_folder(spark, "windows-checkpoint")
     logs = _logs(spark, args)
+    if args.versioned:
+        return _versioned_windows(args, spark, logs, checkpoint)
+    store = FeatureStore.prepare(*load_feature_store(spark, args.store))
     aside = quarantine_stream(logs, os.path.join(args.out, "quarantine"), os.path.join(checkpoint, "quarantine"), _trigger(args))
     q = start_windowed(enriched_stream(logs, store, args.watermark), os.path.join(args.out, args.kind),
-                       os.path.join(checkpoint, args.kind), kind=args.kind, size=args.size, trigger=_trigger(args))
+                       os.path.join(checkpoint, args.kind), kind=args.kind, size=args.size, trigger=_trigger(args), salts=args.salts)
     failed = _finish(q) or _finish(aside)
     store.release()
     return failed
 
 
+def _versioned_windows(args, spark, logs, checkpoint: str) -> int:
+    """The windowed job over enriched batches: a version that ``publish`` adds reaches it without a restart."""
+    from pyspark.sql import types as T
+
+    from cadence.schemas import ENRICHED_SCHEMA
+    from cadence.streaming.versions import EnrichedBatches, VersionedStore, enriched_batches, start_enriched
+    from cadence.streaming.windows import EVENT_TIME, quarantine_stream, start_windowed
+    handler = EnrichedBatches(VersionedStore(spark, args.store), os.path.join(args.out, "enriched"))
+    schema = T.StructType([*ENRICHED_SCHEMA.fields]).add(EVENT_TIME, "timestamp")
+    aside = quarantine_stream(logs, os.path.join(args.out, "quarantine"), os.path.join(checkpoint, "quarantine"), _trigger(args))
+    enriching = start_enriched(logs, handler, os.path.join(checkpoint, "enriched"), _trigger(args))
+    failed = _finish(enriching) if args.available_now else 0
+    q = start_windowed(enriched_batches(spark, handler.root, schema, args.watermark), os.path.join(args.out, args.kind),
+                       os.path.join(checkpoint, args.kind), kind=args.kind, size=args.size, trigger=_trigger(args), salts=args.salts)
+    failed = failed or _finish(q) or _finish(enriching) or _finish(aside)
+    handler.release()
+    return failed
+
+
+def cmd_publish(args) -> int:
+    """Add the feature store of a catalog as a new version."""
+    from cadence.operators import prepare
+    from cadence.sources.files import read_catalog
+    from cadence.streaming.versions import VersionedStore
+    spark = _session(args)
+    clean = prepare.clean_catalog(read_catalog(spark, args.catalog))
+    prepare.assert_unique(clean, "id")
+    version = VersionedStore(spark, args.store).publish(
+        prepare.track_features(clean), prepare.artist_features(clean), prepare.global_features(clean))
+    print(json.dumps({"version": version}))
+    return 0
+
+
 def cmd_refresh(args) -> int:
     from cadence.operators import prepare
     from cadence.plans.dashboard import as_doubles
@@ -178,13 +217,20 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("stream", help="run the streaming job")
     source_options(s)
     s.add_argument("--catalog", help="catalog CSV to build the store from when it is absent")
+    s.add_argument("--drop-repeats", metavar="TIME", help="drop messages that came before within this time, e.g. '10 minutes'")
     sink_options(s)
 
+    u = sub.add_parser("publish", help="add a version to a versioned feature store")
+    u.add_argument("--catalog", required=True)
+    u.add_argument("--store", required=True)
+
     v = sub.add_parser("windows", help="run one windowed streaming job")
     source_options(v)
     v.add_argument("--kind", choices=["mood", "leaderboard", "engagement"], default="mood")
     v.add_argument("--size", default="1 minute")
     v.add_argument("--watermark", default="10 minutes")
+    v.add_argument("--salts", type=int, default=1, help="keys that the plays of a window and track are dealt over")
+    v.add_argument("--versioned", action="store_true", help="--store holds versions (see publish); each batch takes the newest")
     v.add_argument("--out", required=True, help="folder of the windowed tables")
 
     r = sub.add_parser("refresh", help="write the dimension tables from the events table")
@@ -201,7 +247,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
     if args.cmd in ("stream", "refresh", "dashboard") and not (args.sink or args.jdbc_url):
         p.error(f"{args.cmd} needs --sink or --jdbc-url")
-    return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream, "windows": cmd_windows,
+    return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream, "windows": cmd_windows, "publish": cmd_publish,
             "refresh": cmd_refresh, "dashboard": cmd_dashboard}[args.cmd](args)
 
 

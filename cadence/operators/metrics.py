@@ -134,3 +134,49 @@ def windowed_leaderboard(events: DataFrame, size: str = "10 minutes", time_col:
 def windowed_engagement(events: DataFrame, size: str = "10 minutes", time_col: str = "timestamp") -> DataFrame:
     """A6 per event-time tumbling window."""
     return _unwindow(engagement(_windowed(events, size, time_col), keys=["_w"]))
+
+
+# --- W4: the same over salted keys, in two chained aggregations ------------------
+
+def _salted(events: DataFrame, size: str, time_col: str, salts: int) -> DataFrame:
+    # by the row's values: a task that runs again deals its rows as before
+    return _windowed(events, size, time_col).withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salts)))
+
+
+def _rewindowed(partial: DataFrame, size: str) -> DataFrame:
+    """The window of the first step, from its event time: the second step then has a watermark of its own."""
+    return partial.withColumn("_w", F.window(F.window_time("_w"), size))
+
+
+def _mean(total: str, n: str) -> Column:
+    return F.try_divide(F.sum(total), F.sum(n))
+
+
+def salted_mood(events: DataFrame, size: str, time_col: str, salts: int) -> DataFrame:
+    """:func:`windowed_mood`; a window's plays are dealt over ``salts`` keys first."""
+    part = _salted(events, size, time_col, salts).groupBy("_w", "_salt").agg(
+        F.count(F.lit(1)).alias("_n"), *[f(c).alias(f"{p}{c}") for c in ("valence", "energy") for p, f in (("_s_", F.sum), ("_n_", F.count))])
+    out = _rewindowed(part, size).groupBy("_w").agg(
+        _mean("_s_valence", "_n_valence").alias("avg_valence"), _mean("_s_energy", "_n_energy").alias("avg_energy"),
+        F.sum("_n").alias("total_streams"), F.sum("_s_valence").alias("sum_valence"), F.sum("_s_energy").alias("sum_energy"))
+    return _unwindow(out)
+
+
+def salted_leaderboard(events: DataFrame, size: str, time_col: str, salts: int) -> DataFrame:
+    """:func:`windowed_leaderboard`; the first step keeps fixed-width state per track, names and salt."""
+    names = ["track_name", "artist_name"]
+    part = earliest(_salted(events, size, time_col, salts), ["_w", "_salt", "track_uri"], names, F.count(F.lit(1)).alias("_n"))
+    out = _rewindowed(part, size).groupBy("_w", "track_uri").agg(
+        first_seen(*names, order=FIRST_AT).alias("_first"), F.sum("_n").alias("play_count"))
+    return _unwindow(out.select("_w", "track_uri", F.col("_first.track_name").alias("track_name"),
+                                F.col("_first.artist_name").alias("artist_name"), "play_count"))
+
+
+def salted_engagement(events: DataFrame, size: str, time_col: str, salts: int) -> DataFrame:
+    """:func:`windowed_engagement`; a track's plays are dealt over ``salts`` keys first."""
+    skip = F.col("is_skip")
+    part = _salted(events, size, time_col, salts).groupBy("_w", "_salt", "track_uri").agg(
+        F.sum("completion_rate").alias("_s"), F.count("completion_rate").alias("_n"),
+        F.sum(F.when(skip, 1).otherwise(0)).alias("_skips"), F.sum(F.when(~skip, 1).otherwise(0)).alias("_ends"))
+    return _unwindow(_rewindowed(part, size).groupBy("_w", "track_uri").agg(
+        _mean("_s", "_n").alias("completion_rate"), F.sum("_skips").alias("skip_count"), F.sum("_ends").alias("natural_end_count")))

@@ -20,7 +20,7 @@ from cadence.plans.dashboard import as_doubles, dashboard
 from cadence.plans.oracle import ENRICHED_SELECT, PRELUDE, p6
 from cadence.plans.registry import show
 from cadence.plans.workload import Workload
-from cadence.schemas import BATCH_TABLES, ENRICHED_COLUMNS, LOG_SCHEMA
+from cadence.schemas import BATCH_TABLES, ENRICHED_COLUMNS, ENRICHED_SCHEMA, LOG_SCHEMA
 from cadence.session import app_id, run_folder
 from cadence.sources.commits import CommittedSink
 from cadence.sources.files import load_feature_store
@@ -28,13 +28,17 @@ from cadence.sources.kafka import parse_logs
 from cadence.sources.sinks import TableSink
 from cadence.streaming.job import FeatureStore, process_batch, start_stream_job
 from cadence.streaming.progress import ProgressRecorder
+from cadence.streaming.repeats import drop_repeats
 from cadence.streaming.replay import log_lines, replay_stream
-from cadence.streaming.windows import KINDS, enriched_stream, start_late_rows, start_windowed
+from cadence.streaming.versions import EnrichedBatches, VersionedStore, enriched_batches, start_enriched
+from cadence.streaming.windows import EVENT_TIME, KINDS, enriched_stream, start_late_rows, start_windowed
 
 STREAM_WINDOW = "10 minutes"
 STREAM_WATERMARK = "1 hour"
 #: Micro-batches of the run, about: files are dealt to so many triggers.
 BATCHES = 4
+#: Keys that a window's plays are dealt over in the salted windowed jobs.
+SALTS = 8
 
 _RUNS: dict[tuple[str, str, str], str] = {}
 
@@ -138,14 +142,19 @@ def _build_stopped(spark: SparkSession, sf_dir: str, root: str) -> None:
         store.release()
 
 
+def _quarters(history: DataFrame) -> DataFrame:
+    """The plays with a ts, and the quarter (``_quarter``, from 0) of their time span."""
+    second = F.unix_seconds(wallclock_instant("ts"))
+    history = history.where("ts is not null").withColumn("_s", second)
+    first, last = history.agg(F.min("_s"), F.max("_s")).first()
+    return history.withColumn("_quarter", F.floor((F.col("_s") - (first or 0)) * 4 / ((last or 0) - (first or 0) + 1)))
+
+
 def _build_late(spark: SparkSession, sf_dir: str, root: str) -> None:
     """The plays in quarters of their time span, one trigger each; plays of every fifth second come a quarter late."""
     w = Workload.of(spark, sf_dir)
-    second = F.unix_seconds(wallclock_instant("ts"))
-    history = w.history.where("ts is not null").withColumn("_s", second)
-    first, last = history.agg(F.min("_s"), F.max("_s")).first()
-    quarter = F.floor((F.col("_s") - (first or 0)) * 4 / ((last or 0) - (first or 0) + 1))
-    history = history.withColumn("_arrival", quarter + F.when(F.col("_s") % 5 == 0, 1).otherwise(0))
+    history = _quarters(w.history)
+    history = history.withColumn("_arrival", F.col("_quarter") + F.when(F.col("_s") % 5 == 0, 1).otherwise(0))
     store, inp, now = _store(spark, sf_dir, root), os.path.join(root, "input"), {"availableNow": True}
     try:
         for k in range(5):
@@ -159,8 +168,48 @@ def _build_late(spark: SparkSession, sf_dir: str, root: str) -> None:
         store.release()
 
 
+def _build_reseeded(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """A trigger for each quarter; after two, a store with half the valence and energy is published.
+
+    The windowed jobs, salted, read the enriched batches.
+    """
+    w = Workload.of(spark, sf_dir)
+    history, inp, now = _quarters(w.history), os.path.join(root, "input"), {"availableNow": True}
+    store = VersionedStore(spark, os.path.join(root, "store"))
+    store.publish(w.tracks, w.artists, w.global_row)
+    handler, schema = EnrichedBatches(store, os.path.join(root, "enriched")), T.StructType([*ENRICHED_SCHEMA.fields]).add(EVENT_TIME, "timestamp")
+    try:
+        for k in range(4):
+            if k == 2:
+                half = {c: F.col(c) / 2 for c in ("valence", "energy")}
+                store.publish(*(t.withColumns(half) for t in (w.tracks, w.artists, w.global_row)))
+            log_lines(history.where(F.col("_quarter") == k)).write.mode("append").text(inp)
+            _run(start_enriched(replay_stream(spark, inp), handler, os.path.join(root, "_checkpoint"), trigger=now))
+            running = [start_windowed(enriched_batches(spark, handler.root, schema, STREAM_WATERMARK), os.path.join(root, kind),
+                                      os.path.join(root, f"_checkpoint_{kind}"), kind=kind, size=STREAM_WINDOW, trigger=now, salts=SALTS)
+                       for kind in KINDS]
+            for q in running:
+                _run(q)
+    finally:
+        handler.release()
+
+
+def _build_repeated(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Every message of the history; those of every third second are sent again, in a later trigger of their own."""
+    w = Workload.of(spark, sf_dir)
+    inp, store, sink = os.path.join(root, "input"), _store(spark, sf_dir, root), CommittedSink(os.path.join(root, "tables"))
+    again = w.history.where(F.unix_seconds(wallclock_instant("ts")) % 3 == 0)
+    try:
+        for lines in (w.history, again):
+            log_lines(lines).write.mode("append").text(inp)
+            _run(start_stream_job(drop_repeats(replay_stream(spark, inp), "1 day"), store, sink, os.path.join(root, "_checkpoint"),
+                                  trigger={"availableNow": True}))
+    finally:
+        store.release()
+
+
 def _sink(spark: SparkSession, sf_dir: str, kind: str = "job") -> TableSink:
-    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped}[kind]
+    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped, "repeated": _build_repeated}[kind]
     path = os.path.join(_root(spark, sf_dir, kind, build), "tables")
     return TableSink(path) if kind == "replayed" else CommittedSink(path)
 
@@ -216,6 +265,36 @@ def stream_late_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("window_start_time", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("on_time", "late")])
 
 
+def _reseeded(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(_root(spark, sf_dir, "reseeded", _build_reseeded), kind))
+
+
+def stream_reseeded_mood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mood of every closed window, from a windowed job whose feature store is published anew half-way."""
+    return show(_reseeded(spark, sf_dir, "mood").select(
+        "window_start_time", "window_end_time", "avg_valence", "avg_energy", "total_streams", "sum_valence", "sum_energy"))
+
+
+def stream_salted_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays per track of every closed window, in two chained aggregations over several triggers."""
+    return _reseeded(spark, sf_dir, "leaderboard").select(
+        "window_start_time", "window_end_time", "track_uri", "track_name", "artist_name", "play_count")
+
+
+def stream_salted_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement per track of every closed window, in two chained aggregations over several triggers."""
+    return show(_reseeded(spark, sf_dir, "engagement").select(
+        "window_start_time", "window_end_time", "track_uri", "completion_rate", "skip_count", "natural_end_count"))
+
+
+def stream_deduplicated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays and skips per track of a log in which a third of the messages stand twice."""
+    sink = _sink(spark, sf_dir, "repeated")
+    ends = sink.read(spark, "engagement_metrics").groupBy("track_uri").agg(
+        F.sum("skip_count").cast("long").alias("skip_count"), F.sum("natural_end_count").cast("long").alias("natural_end_count"))
+    return _counts(sink, spark).join(ends, "track_uri", "full")
+
+
 def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the streamed events table, as the sink stores them."""
     return as_doubles(_sink(spark, sf_dir).read(spark, "realtime_streaming_events")).select(*ENRICHED_COLUMNS)
@@ -301,6 +380,7 @@ _STREAM = [
     stream_play_counts, stream_replayed_totals, stream_enriched_events, stream_engagement_totals, stream_engagement_rates,
     stream_mood_totals, stream_windowed_mood, stream_windowed_leaderboard, stream_windowed_engagement,
     stream_top_tracks, stream_heatmap, stream_quarantine, stream_committed_totals, stream_compacted_events, stream_late_plays,
+    stream_reseeded_mood, stream_salted_leaderboard, stream_salted_engagement, stream_deduplicated_counts,
 ]
 
 
@@ -322,7 +402,7 @@ def stream_oracle() -> dict[str, str]:
     stored = ENRICHED_SELECT
     for c in ("energy", "valence", "danceability", "acousticness", "completion_rate"):
         stored = stored.replace(p6(c), _p4(c))
-    return {
+    out = {
         "stream_play_counts": PRELUDE + "SELECT track_uri, COUNT(*) AS plays FROM enriched GROUP BY track_uri",
         "stream_replayed_totals": PRELUDE + f"""
             SELECT track_uri, COUNT(*) AS plays, COUNT(*) AS events, {_SKIPS} FROM enriched GROUP BY track_uri""",
@@ -363,6 +443,20 @@ def stream_oracle() -> dict[str, str]:
               SELECT {_BUCKET} AS window_start_time, {_BUCKET} + INTERVAL '10 minutes' AS window_end_time, track_uri,
                 {p6("avg(completion_rate)")} AS completion_rate, {_SKIPS}
               FROM enriched GROUP BY 1, 2, 3) {_CLOSED}""",
+        "stream_reseeded_mood": PRELUDE + f"""
+            , plays AS (SELECT *, CAST(epoch(date_trunc('second', "timestamp")) AS BIGINT) AS s FROM enriched),
+            span AS (SELECT min(s) AS a, max(s) AS b FROM plays),
+            scaled AS (SELECT "timestamp", valence * f AS valence, energy * f AS energy FROM (
+              SELECT plays.*, CASE WHEN floor(CAST((s - a) * 4 AS DOUBLE) / (b - a + 1)) >= 2 THEN 0.5 ELSE 1.0 END::DOUBLE AS f FROM plays, span))
+            SELECT * FROM (
+              SELECT {_BUCKET} AS window_start_time, {_BUCKET} + INTERVAL '10 minutes' AS window_end_time,
+                {p6("avg(valence)")} AS avg_valence, {p6("avg(energy)")} AS avg_energy, COUNT(*) AS total_streams,
+                {p6("sum(valence)")} AS sum_valence, {p6("sum(energy)")} AS sum_energy
+              FROM scaled GROUP BY 1, 2) {_CLOSED}""",
+        "stream_deduplicated_counts": PRELUDE + f"""
+            SELECT track_uri, COUNT(*) AS plays, {_SKIPS} FROM (
+              SELECT spotify_track_uri AS track_uri, skipped OR COALESCE(contains(lower(reason_end), 'skip'), false) AS is_skip
+              FROM (SELECT DISTINCT * EXCLUDE (event_id) FROM history)) GROUP BY track_uri""",
         "stream_top_tracks": PRELUDE + """
             SELECT track_name, artist_name, COUNT(*) AS plays FROM enriched
             GROUP BY track_name, artist_name ORDER BY plays DESC, track_name, artist_name LIMIT 10""",
@@ -373,3 +467,7 @@ def stream_oracle() -> dict[str, str]:
               AND event_id % {BAD_TS} = 0 THEN 'unreadable ts' ELSE 'missing ts' END AS reason
             FROM raw_history WHERE event_id % {NO_JSON} = 0 OR event_id % {NO_TS} = 0 OR event_id % {BAD_TS} = 0""",
     }
+    # the store's features that these use are the same in both versions
+    out["stream_salted_leaderboard"] = out["stream_windowed_leaderboard"]
+    out["stream_salted_engagement"] = out["stream_windowed_engagement"]
+    return out

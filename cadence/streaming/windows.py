@@ -15,9 +15,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cadence.functions import wallclock_instant
 from cadence.operators.enrich import enrich, split_quarantine
-from cadence.operators.metrics import windowed_engagement, windowed_leaderboard, windowed_mood
+from cadence.operators.metrics import (
+    salted_engagement,
+    salted_leaderboard,
+    salted_mood,
+    windowed_engagement,
+    windowed_leaderboard,
+    windowed_mood,
+)
 
 KINDS = {"mood": windowed_mood, "leaderboard": windowed_leaderboard, "engagement": windowed_engagement}
+SALTED = {"mood": salted_mood, "leaderboard": salted_leaderboard, "engagement": salted_engagement}
 
 
 EVENT_TIME = "event_time"
@@ -42,9 +50,15 @@ def quarantine_stream(logs: DataFrame, path: str, checkpoint: str, trigger: dict
     return (w.trigger(**trigger) if trigger else w).start()
 
 
-def windowed_metrics(enriched: DataFrame, kind: str = "mood", size: str = "1 minute") -> DataFrame:
-    """A4/A5/A6 per event-time tumbling window (needs a watermarked input in streaming)."""
-    return KINDS[kind](enriched, size, EVENT_TIME)
+def windowed_metrics(enriched: DataFrame, kind: str = "mood", size: str = "1 minute", salts: int = 1) -> DataFrame:
+    """A4/A5/A6 per event-time tumbling window (needs a watermarked input in streaming).
+
+    With ``salts`` over 1 two stateful aggregations are chained: the first keeps a window's partial sums by
+    key and salt, so that the plays of a hot track, or of a window, are spread over the state partitions;
+    the second merges the at most ``salts`` rows that the first emits of a key when the watermark closes its
+    window. The state of the first grows by up to ``salts`` rows a key.
+    """
+    return KINDS[kind](enriched, size, EVENT_TIME) if salts <= 1 else SALTED[kind](enriched, size, EVENT_TIME, salts)
 
 
 class LateRows:
@@ -90,9 +104,9 @@ def start_late_rows(events: DataFrame, path: str, checkpoint: str, size: str, de
 
 
 def start_windowed(enriched: DataFrame, path: str, checkpoint: str, kind: str = "mood", size: str = "1 minute",
-                   trigger: dict | None = None, fmt: str = "parquet") -> StreamingQuery:
+                   trigger: dict | None = None, fmt: str = "parquet", salts: int = 1) -> StreamingQuery:
     """Append each closed window's row to a Parquet table (exactly once via the file sink log)."""
-    w = (windowed_metrics(enriched, kind, size).writeStream.outputMode("append").format(fmt)
+    w = (windowed_metrics(enriched, kind, size, salts).writeStream.outputMode("append").format(fmt)
          .option("path", path).option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
