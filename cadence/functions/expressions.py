@@ -29,22 +29,72 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Parts of a list literal, as Java patterns. A string may have the prefix u; strings beside each other are one.
+_STRING = r"""[uU]?(?:'(?:[^'\\\n]++|\\.)*+'|"(?:[^"\\\n]++|\\.)*+")"""
+_STRINGS = rf"(?s)(?:{_STRING}\s*)+"
+_SCALAR = r"(?<![\w.])(?:None|True|False|[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)(?![\w.])"
+_ESCAPE = r"(?s)\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|.)|[^\\]+"
+# Escapes that make the text no literal, or name what has no UTF-8 form; looked for when escaped backslashes are out of the way.
+_NO_ESCAPE = (r"\\(?:x(?![0-9a-fA-F]{2})|u(?![0-9a-fA-F]{4})|U(?!(?:000[0-9a-fA-F]|0010)[0-9a-fA-F]{4})|N"
+              r"|[uU](?:0000)?[dD][89a-fA-F][0-9a-fA-F]{2}|U0000[dD][89a-fA-F])")
+_VALUE = "\u0001"
+# What a backslash and one character stand for.
+_ONE = {"\n": "", "\\": "\\", "'": "'", '"': '"', "a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
+
+
+def _unescaped(text: Column) -> Column:
+    """The text that the inside of a string literal stands for."""
+    ones = F.create_map(*[F.lit(x) for pair in _ONE.items() for x in pair])
+
+    def one(token: Column) -> Column:
+        kind = F.substring(token, 2, 1)
+        digits = F.when(kind.rlike("[0-7]"), F.conv(F.substring(token, 2, 3), 8, 16)).otherwise(F.substring(token, 3, 8))
+        point = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+        return (F.when(~token.startswith("\\"), token).when(kind.rlike("[xuU0-7]"), point)
+                .otherwise(F.coalesce(F.try_element_at(ones, kind), token)))
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_ESCAPE), 0), one), "")
+
+
+def _is_list(shape: Column) -> Column:
+    """Whether a text of values, commas and brackets is one list: a state machine over its characters.
+
+    The state is the brackets that are open, and whether a value has just ended; an array's fold
+    keeps it, so lists may be nested ever so deep.
+    """
+    def step(s: Column, c: Column) -> Column:
+        opens, closes = c.isin("[", "("), c.isin("]", ")")
+        top, inside = F.substring(s["open"], -1, 1), F.length(s["open"]) > 0
+        fits = (F.when(opens, ~s["ended"]).when(closes, inside & (F.concat(top, c).isin("[]", "()")))
+                .when(c == ",", s["ended"] & inside).when(c == _VALUE, ~s["ended"] & inside).otherwise(F.lit(False)))
+        still = (F.when(opens, F.concat(s["open"], c))
+                 .when(closes & inside, F.substring(s["open"], F.lit(1), F.length(s["open"]) - 1)).otherwise(s["open"]))
+        return F.struct(still.alias("open"), (closes | (c == _VALUE)).alias("ended"), (s["fits"] & fits).alias("fits"))
+
+    start = F.struct(F.lit("").alias("open"), F.lit(False).alias("ended"), F.lit(True).alias("fits"))
+    end = F.aggregate(F.split(shape, ""), start, step)
+    return shape.startswith("[") & end["fits"] & end["ended"] & (F.length(end["open"]) == 0)
+
+
 def first_artist(artists: str | Column) -> Column:
-    """first entry of a list literal such as ``['A', 'B']`` or ``['A',]``.
+    """first entry of a list literal such as ``['A', 'B']`` or ``['A',]``, its escapes decoded.
 
-    Text that is not a list literal as a whole, or an empty list, is returned
-    unchanged; a list that starts with ``None`` has no first artist (null).
-    Single and double quotes are both accepted.
+    Text that is not a list literal as a whole, or an empty list, is returned unchanged. A list may hold
+    strings of both quotes, numbers, ``None``, truth values, and lists and tuples of these; strings with the
+    prefixes r and b, sets and dictionaries are no such literals here, nor are escapes by a character's name. A list that starts
+    with ``None`` has no first artist (null), one that starts with a number or a truth value gives its text, one that starts
+    with a list or tuple is returned unchanged.
     """
     a = _c(artists)
-    literal = F.regexp_replace(F.trim(a), r",\s*\]$", "]")
-    options = {"allowSingleQuotes": "true"}
-    parsed = F.from_json(literal, "array<string>", options)
-    # a later None is no JSON either; written as null only where the plain text can't be read
-    with_null = F.from_json(F.regexp_replace(literal, r"(?<=,)\s*None\s*(?=[,\]])", "null"), "array<string>", options)
-    whole = literal.rlike(r"(?s)^\[.*\]$")
-    return (F.when(whole & literal.rlike(r"^\[\s*None\s*[,\]]"), F.lit(None).cast("string"))
-            .when(whole, F.coalesce(F.get(parsed, 0), F.get(with_null, 0), a)).otherwise(a))
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(a, _STRINGS, _VALUE), _SCALAR, _VALUE), r"\s+", "")
+    sound = ~F.regexp_replace(a, r"\\\\", "").rlike(_NO_ESCAPE)
+    run = F.regexp_extract(a, rf"(?s)^\s*\[\s*((?:{_STRING}\s*)+)", 1)
+    insides = F.transform(F.regexp_extract_all(run, F.lit("(?s)" + _STRING), 0), lambda x: F.regexp_extract(x, r"(?s)^[uU]?.(.*).$", 1))
+    scalar = F.regexp_extract(a, rf"^\s*\[\s*({_SCALAR})", 1)
+    first = (F.when(F.length(run) > 0, F.array_join(F.transform(insides, _unescaped), ""))
+             .when(scalar == "None", F.lit(None).cast("string")).when(F.length(scalar) > 0, scalar).otherwise(a))
+    # most texts that aren't lists end here, before any of this is computed
+    return F.when(a.rlike(r"(?s)^\s*\[.*\]\s*$"), F.when(_is_list(shape) & sound, first).otherwise(a)).otherwise(a)
 
 
 def normalized_artist(artists: str | Column) -> Column:

@@ -1,6 +1,10 @@
 """Hand-made rows with known answers for the scalar functions."""
 
+import ast
 import datetime as dt
+import random
+import re
+import warnings
 
 from pyspark.sql import functions as F
 
@@ -113,3 +117,35 @@ def test_wall_clocks_without_a_zone(spark):
             assert (r.a, r.b) == ("2024-03-10 02:30:01",) * 2, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _python_first(text):
+    try:
+        got = ast.literal_eval(text)
+    except (ValueError, SyntaxError):
+        return text
+    if not isinstance(got, list) or not got or isinstance(got[0], (list, tuple)):
+        return text
+    return got[0] if got[0] is None or isinstance(got[0], str) else re.match(r"\s*\[\s*([^\s,\]]+)", text)[1]
+
+
+ODD_LITERALS = [
+    r"['Beyonc\xe9', 'x']", r"['İbrahim', \"a\"]".replace('\\"', '"'), r"['Sinéad O\'Connor']", r'["a \"b\" c", None]', r"['a\\', 'b']", r"['a\\\'b']",
+    r"['\x4', 'a']", r"['\\x4', 'a']", r"['\101\60\7']", r"['\q\z']", r"['\U0001F600!']", r"['\U00110000']", r"['a' 'b' " + '"c"' + r", 'd']", r"[u'a', U'b']",
+    "[1, 'a']", "[1.5e3]", "[True, 'a']", "[None, 'a']", "['a', 1, None, False]", "['a', ['b', (1, 2,)], ()]", "[['a'], 'b']", "['a', ['b']", "['a']]", "['a', [(])]",
+    "['a'],['b']", "[,]", "['a',,]", "['a' 1]", "['a' , ]", "[ 'a'\n, 'b' ]", "('a', 'b')", "'a'", "['a'] feat. ['b']", "[a]", "[None1]", "['']", "['', 'a']", "[ ]", "",
+    "['a\nb']", "['it''s']", "['[', ']']", '["\'"]', r"['a\tb\n']", "['a\\\nb']", "[-1]", "['日本', 'x']", "[" * 40 + "]" * 40, "['a', " + "[" * 40 + "]" * 40 + "]",
+]
+
+
+def test_first_artist_is_the_literals_first_value(spark):
+    rng = random.Random(4)
+    parts = ["'", '"', "\\", "[", "]", "(", ")", ", ", ",", " ", "a", "é", "None", "True", "1", "\\'", "\\x41", "\\u00e9", "'a'", '"b"', "'c\\'d'", "x4"]
+    made = ["[" + "".join(rng.choice(parts) for _ in range(rng.randint(0, 7))) + "]" for _ in range(3000)]
+    texts = ODD_LITERALS + made
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        want = [_python_first(t) for t in texts]
+    got = _col(spark, [(t,) for t in texts], "a string", cf.first_artist("a"))
+    assert [(t, g, w) for t, g, w in zip(texts, got, want) if g != w] == []
+    assert sum(t != w for t, w in zip(texts, want)) > 100
