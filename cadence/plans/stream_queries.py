@@ -25,7 +25,7 @@ from cadence.session import app_id, run_folder
 from cadence.sources.commits import CommittedSink
 from cadence.sources.files import load_feature_store
 from cadence.sources.kafka import parse_logs
-from cadence.sources.sinks import TableSink
+from cadence.sources.sinks import LONG_REASON, TableSink
 from cadence.streaming.job import FeatureStore, process_batch, start_stream_job
 from cadence.streaming.progress import ProgressRecorder
 from cadence.streaming.repeats import drop_repeats
@@ -110,6 +110,21 @@ def _build_replayed(spark: SparkSession, sf_dir: str, root: str) -> None:
         store.release()
 
 
+#: Plays whose track name is made too long for the result tables, by event id.
+LONG_NAME = 41
+
+
+def _build_long(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The whole history as one batch; every 41st play has a name of over 255 characters."""
+    name = F.when(F.col("event_id") % LONG_NAME == 0, F.rpad("track_name", 256, "~")).otherwise(F.col("track_name"))
+    logs = parse_logs(log_lines(Workload.of(spark, sf_dir).history.withColumn("track_name", name)), "value")
+    store = _store(spark, sf_dir, root)
+    try:
+        process_batch(logs, 0, store, CommittedSink(os.path.join(root, "tables")), when=dt.datetime(2024, 3, 1))
+    finally:
+        store.release()
+
+
 class _Stopped(RuntimeError):
     pass
 
@@ -209,7 +224,7 @@ def _build_repeated(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def _sink(spark: SparkSession, sf_dir: str, kind: str = "job") -> TableSink:
-    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped, "repeated": _build_repeated}[kind]
+    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped, "repeated": _build_repeated, "long": _build_long}[kind]
     path = os.path.join(_root(spark, sf_dir, kind, build), "tables")
     return TableSink(path) if kind == "replayed" else CommittedSink(path)
 
@@ -295,6 +310,16 @@ def stream_deduplicated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(sink, spark).join(ends, "track_uri", "full")
 
 
+def stream_length_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays per track in the leaderboard and the events table, and those put aside for a text too long."""
+    sink = _sink(spark, sf_dir, "long")
+    events = sink.read(spark, "realtime_streaming_events").groupBy("track_uri").agg(F.count(F.lit(1)).alias("events"))
+    aside = sink.read(spark, "quarantine").where(F.col("reason") == LONG_REASON)
+    aside = aside.groupBy(F.get_json_object("raw", "$.track_uri").alias("track_uri")).agg(F.count(F.lit(1)).alias("aside"))
+    both = _counts(sink, spark).join(events, "track_uri", "full").join(aside, "track_uri", "full")
+    return both.select("track_uri", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("plays", "events", "aside")])
+
+
 def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the streamed events table, as the sink stores them."""
     return as_doubles(_sink(spark, sf_dir).read(spark, "realtime_streaming_events")).select(*ENRICHED_COLUMNS)
@@ -381,6 +406,7 @@ _STREAM = [
     stream_mood_totals, stream_windowed_mood, stream_windowed_leaderboard, stream_windowed_engagement,
     stream_top_tracks, stream_heatmap, stream_quarantine, stream_committed_totals, stream_compacted_events, stream_late_plays,
     stream_reseeded_mood, stream_salted_leaderboard, stream_salted_engagement, stream_deduplicated_counts,
+    stream_length_rules,
 ]
 
 
@@ -453,6 +479,10 @@ def stream_oracle() -> dict[str, str]:
                 {p6("avg(valence)")} AS avg_valence, {p6("avg(energy)")} AS avg_energy, COUNT(*) AS total_streams,
                 {p6("sum(valence)")} AS sum_valence, {p6("sum(energy)")} AS sum_energy
               FROM scaled GROUP BY 1, 2) {_CLOSED}""",
+        "stream_length_rules": PRELUDE + f"""
+            SELECT spotify_track_uri AS track_uri, COUNT(*) FILTER (event_id % {LONG_NAME} <> 0) AS plays,
+              COUNT(*) FILTER (event_id % {LONG_NAME} <> 0) AS events, COUNT(*) FILTER (event_id % {LONG_NAME} = 0) AS aside
+            FROM history GROUP BY 1""",
         "stream_deduplicated_counts": PRELUDE + f"""
             SELECT track_uri, COUNT(*) AS plays, {_SKIPS} FROM (
               SELECT spotify_track_uri AS track_uri, skipped OR COALESCE(contains(lower(reason_end), 'skip'), false) AS is_skip

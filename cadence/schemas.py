@@ -180,6 +180,12 @@ CONTRACTS: dict[str, dict] = {
     },
 }
 
+# Most characters of a text column of a result table, and of the columns with a bound of their own
+# (the messages put aside have none).
+MAX_TEXT = 255
+TEXT_LENGTHS = {("global_fallback_metrics", "name"): 50}
+UNBOUNDED_TABLES = ["quarantine"]
+
 # The five tables one micro-batch writes, in write order.
 BATCH_TABLES = [
     "realtime_streaming_events", "realtime_leaderboard", "realtime_mood_metrics",

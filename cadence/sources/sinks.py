@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.schemas import CONTRACTS
+from cadence.schemas import CONTRACTS, MAX_TEXT, TEXT_LENGTHS, UNBOUNDED_TABLES
 
 
 def contract(name: str):
@@ -37,12 +37,25 @@ def conform(df: DataFrame, name: str, extra: list[str] | None = None) -> DataFra
     return df.select(*cols)
 
 
-def split_violations(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that keep the contract's NOT NULL rules, rows that break one)."""
-    bad = F.lit(False)
+NULL_REASON, LONG_REASON = "null in a required column", "text too long"
+
+
+def violation(name: str, columns: list[str]) -> Column:
+    """The rule of the contract that a row with these columns breaks (the first of them), or null."""
+    missing, long = F.lit(False), F.lit(False)
     for c in CONTRACTS[name]["not_null"]:
-        bad = bad | F.col(c).isNull()
-    return df.where(~bad), df.where(bad)
+        missing = missing | F.col(c).isNull()
+    if name not in UNBOUNDED_TABLES:
+        for f in contract(name).fields:
+            if f.name in columns and isinstance(f.dataType, T.StringType):
+                long = long | F.coalesce(F.length(f.name) > TEXT_LENGTHS.get((name, f.name), MAX_TEXT), F.lit(False))
+    return F.when(missing, F.lit(NULL_REASON)).when(long, F.lit(LONG_REASON))
+
+
+def split_violations(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that keep the contract's NOT NULL and length rules, rows that break one)."""
+    reason = violation(name, df.columns)
+    return df.where(reason.isNull()), df.where(reason.isNotNull())
 
 
 # Time column of each result table; its date becomes the ``dt`` partition.

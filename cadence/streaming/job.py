@@ -38,7 +38,7 @@ from cadence.operators.metrics import engagement, leaderboard, mood_metrics, moo
 from cadence.operators.sizing import broadcast_if_small
 from cadence.sources.commits import CommittedSink
 from cadence.sources.files import load_feature_store, store_version
-from cadence.sources.sinks import conform, split_violations
+from cadence.sources.sinks import conform, split_violations, violation
 
 
 @dataclass
@@ -124,7 +124,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore | Watched
     failure in one is repaired by the batch's retry without duplicating the
     others. Tracks with ``hot_track_fraction`` of the plays are joined
     map-side, since AQE cannot split skew against the persisted track tier.
-    Event rows that break a NOT NULL rule go to the quarantine table.
+    Event rows that break a NOT NULL or a length rule go to the quarantine table, and to no other.
     """
     if isinstance(store, WatchedStore):
         store = store.current()
@@ -140,14 +140,14 @@ def process_batch(batch: DataFrame, batch_id: int, store: FeatureStore | Watched
                           hot_track_fraction=hot_track_fraction, log_rows=rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stamp = batch_stamp(spark, when)
-            ok, broken = split_violations(conform(enriched, "realtime_streaming_events"), "realtime_streaming_events")
-            broken = broken.select(F.to_json(F.struct("*")).alias("raw"), F.lit("null in a required column").alias("reason"))
+            ok, broken = split_violations(enriched, "realtime_streaming_events")
+            broken = broken.select(F.to_json(F.struct("*")).alias("raw"), violation("realtime_streaming_events", broken.columns).alias("reason"))
             tables = [
-                (ok, "realtime_streaming_events"),
-                (conform(leaderboard(enriched, stamp), "realtime_leaderboard"), "realtime_leaderboard"),
-                (conform(mood_metrics(enriched, stamp), "realtime_mood_metrics"), "realtime_mood_metrics"),
-                (conform(engagement(enriched, stamp), "engagement_metrics"), "engagement_metrics"),
-                (conform(mood_sample(enriched, sample_n, sample_mode), "mood_matrix_samples"), "mood_matrix_samples"),
+                (conform(ok, "realtime_streaming_events"), "realtime_streaming_events"),
+                (conform(leaderboard(ok, stamp), "realtime_leaderboard"), "realtime_leaderboard"),
+                (conform(mood_metrics(ok, stamp), "realtime_mood_metrics"), "realtime_mood_metrics"),
+                (conform(engagement(ok, stamp), "engagement_metrics"), "engagement_metrics"),
+                (conform(mood_sample(ok, sample_n, sample_mode), "mood_matrix_samples"), "mood_matrix_samples"),
                 (conform(bad, "quarantine").unionByName(broken), "quarantine"),
             ]
             _write_all(sink, tables, batch_id, parallel_writes)

@@ -17,7 +17,7 @@ from cadence.sources.files import (
     write_history,
 )
 from cadence.sources.kafka import parse_logs
-from cadence.sources.sinks import JdbcSink, TableSink, conform, split_violations
+from cadence.sources.sinks import LONG_REASON, NULL_REASON, JdbcSink, TableSink, conform, split_violations, violation
 from cadence.streaming.progress import ProgressRecorder, progress_row
 
 from .conftest import SF_SMALL
@@ -184,3 +184,17 @@ def test_json_store_round_trip(spark, scratch):
     odd = spark.createDataFrame([("track:x", '{"energy": 0.5, "tempo": "fast"}'), ("track:y", "junk")], "key string, value string")
     got = {r.id: (r.energy, r.tempo, r.year) for r in features_of_json(odd)[0].collect()}
     assert got == {"x": (0.5, 0.0, 0.0), "y": (0.0, 0.0, 0.0)}
+
+
+def test_contracts_bound_texts(spark):
+    rows = [("a" * 255, 1), ("日" * 255, 1), ("a" * 256, 2), (None, 3)]
+    df = spark.createDataFrame(rows, "track_uri string, skip_count int").withColumn("window_start_time", F.lit("2024-01-01").cast("timestamp_ntz"))
+    ok, broken = split_violations(conform(df, "engagement_metrics"), "engagement_metrics")
+    assert sorted(r["skip_count"] for r in ok.collect()) == [1, 1, 3]
+    assert broken.select(violation("engagement_metrics", broken.columns)).collect() == [(LONG_REASON,)]
+    both = broken.withColumn("window_start_time", F.lit(None).cast("timestamp_ntz"))
+    assert both.select(violation("engagement_metrics", both.columns)).first()[0] == NULL_REASON
+    names = spark.createDataFrame([("x" * 51,), ("x" * 50,)], "name string")
+    assert [len(r["name"]) for r in split_violations(conform(names, "global_fallback_metrics"), "global_fallback_metrics")[0].collect()] == [50]
+    long = spark.createDataFrame([("x" * 5000, "why")], "raw string, reason string")
+    assert split_violations(long, "quarantine")[1].isEmpty()
