@@ -49,3 +49,18 @@ def test_prepare_coverage_and_stream(spark, scratch, capsys):
     assert main(["windows", "--source", "files", "--input", inp, "--store", os.path.join(scratch, "store2"), "--kind", "leaderboard",
                  "--size", "1 day", "--out", os.path.join(scratch, "win"), "--checkpoint", os.path.join(scratch, "wck"), "--available-now"]) == 0
     assert spark.read.parquet(os.path.join(scratch, "win", "leaderboard")).count() > 0
+
+
+def test_versioned_windows(spark, scratch, capsys):
+    cp, inp, versions = (os.path.join(scratch, n) for n in ("catalog.csv", "in", "versions"))
+    open(cp, "w").write(CATALOG_CSV)
+    capsys.readouterr()
+    for number in (0, 1):
+        assert main(["publish", "--catalog", cp, "--store", versions]) == 0
+        assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"version": number}
+    write_replay_files(Workload(spark, SF_SMALL).history, inp, 2)
+    out = os.path.join(scratch, "win")
+    assert main(["windows", "--source", "files", "--input", inp, "--files-per-trigger", "5", "--store", versions, "--versioned", "--salts", "4",
+                 "--size", "1 day", "--out", out, "--checkpoint", os.path.join(scratch, "ck"), "--available-now"]) == 0
+    assert spark.read.parquet(os.path.join(out, "mood")).count() > 0
+    assert os.listdir(os.path.join(out, "enriched", "_chosen")) and spark.read.parquet(os.path.join(out, "enriched", "batch-*")).count() > 0
