@@ -154,10 +154,14 @@ def cmd_publish(args) -> int:
 def cmd_refresh(args) -> int:
     from cadence.operators import prepare
     from cadence.plans.dashboard import as_doubles
+    from cadence.plans.increments import IncrementalDimensions
     from cadence.plans.refresh import refresh_dimensions
     from cadence.sources.files import read_catalog
     spark = _session(args)
     sink = _sink(args)
+    if args.incremental:
+        IncrementalDimensions(sink).refresh(spark, prepare.clean_catalog(read_catalog(spark, args.catalog)))
+        return 0
     events = as_doubles(sink.read(spark, "realtime_streaming_events"))
     refresh_dimensions(sink, events, prepare.clean_catalog(read_catalog(spark, args.catalog)))
     return 0
@@ -236,6 +240,7 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("refresh", help="write the dimension tables from the events table")
     sink_options(r)
     r.add_argument("--catalog", required=True)
+    r.add_argument("--incremental", action="store_true", help="read only batches committed since the last refresh (needs --sink)")
 
     d = sub.add_parser("dashboard", help="write every panel from the result tables")
     sink_options(d)
@@ -245,6 +250,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--top", type=int, default=10)
 
     args = p.parse_args(argv)
+    if args.cmd == "refresh" and args.incremental and not args.sink:
+        p.error("--incremental needs --sink")
     if args.cmd in ("stream", "refresh", "dashboard") and not (args.sink or args.jdbc_url):
         p.error(f"{args.cmd} needs --sink or --jdbc-url")
     return {"prepare": cmd_prepare, "coverage": cmd_coverage, "stream": cmd_stream, "windows": cmd_windows, "publish": cmd_publish,

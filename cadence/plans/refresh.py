@@ -19,12 +19,25 @@ from cadence.sources.sinks import conform, split_violations
 
 def refresh_dimensions(sink, events: DataFrame, clean_catalog: DataFrame) -> dict[str, DataFrame]:
     """Write artists, albums, tracks and global_fallback_metrics; return the written frames."""
-    tables = {
+    return replace_tables(sink, {
         "artists": profiles.artist_profile(events, clean_catalog),
         "albums": profiles.album_dim(events),
         "tracks": profiles.track_profile(events, clean_catalog),
         "global_fallback_metrics": profiles.global_fallback(clean_catalog),
-    }
+    })
+
+
+def refresh_from_states(sink, states: DataFrame, clean_catalog: DataFrame) -> dict[str, DataFrame]:
+    """:func:`refresh_dimensions` from merged partial states, without reading the plays again."""
+    return replace_tables(sink, {
+        "artists": profiles.artists_of_states(states, clean_catalog),
+        "albums": profiles.albums_of_states(states),
+        "tracks": profiles.tracks_of_states(states, clean_catalog),
+        "global_fallback_metrics": profiles.global_fallback(clean_catalog),
+    })
+
+
+def replace_tables(sink, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out = {}
     for name, df in tables.items():
         ok, rejects = split_violations(conform(df, name), name)

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions import instant_wallclock, present, wallclock_instant
+from cadence.operators import profiles
 from cadence.operators.enrich import split_quarantine
 from cadence.plans.dashboard import as_doubles, dashboard
-from cadence.plans.oracle import ENRICHED_SELECT, PRELUDE, p6
+from cadence.plans.increments import IncrementalDimensions
+from cadence.plans.oracle import ENRICHED_SELECT, PRELUDE, batch_oracle, p6
 from cadence.plans.registry import show
 from cadence.plans.workload import Workload
 from cadence.schemas import BATCH_TABLES, ENRICHED_COLUMNS, ENRICHED_SCHEMA, LOG_SCHEMA
@@ -183,6 +185,32 @@ def _build_late(spark: SparkSession, sf_dir: str, root: str) -> None:
         store.release()
 
 
+def _build_increments(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """A batch for each quarter of the time span, with an advance of the dimensions' states after each.
+
+    The second batch is committed with half of its plays, and after an advance again with all; then batches are merged into days.
+    """
+    history = _quarters(Workload.of(spark, sf_dir).history)
+    store, sink = _store(spark, sf_dir, root), CommittedSink(os.path.join(root, "tables"))
+    dimensions = IncrementalDimensions(sink, merge_at=2)
+
+    def batch(k: int, plays: DataFrame) -> None:
+        process_batch(parse_logs(log_lines(plays), "value"), k, store, sink, when=dt.datetime(2024, 3, 1, k))
+        dimensions.advance(spark)
+
+    try:
+        for k in range(4):
+            plays = history.where(F.col("_quarter") == k)
+            if k == 1:
+                batch(k, plays.where("_s % 2 = 0"))
+            if k == 3:
+                sink.compact(spark, [*BATCH_TABLES, "quarantine"])
+            batch(k, plays)
+        dimensions.expire(spark)
+    finally:
+        store.release()
+
+
 def _build_reseeded(spark: SparkSession, sf_dir: str, root: str) -> None:
     """A trigger for each quarter; after two, a store with half the valence and energy is published.
 
@@ -224,7 +252,8 @@ def _build_repeated(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def _sink(spark: SparkSession, sf_dir: str, kind: str = "job") -> TableSink:
-    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped, "repeated": _build_repeated, "long": _build_long}[kind]
+    build = {"job": _build_job, "replayed": _build_replayed, "stopped": _build_stopped, "repeated": _build_repeated, "long": _build_long,
+             "increments": _build_increments}[kind]
     path = os.path.join(_root(spark, sf_dir, kind, build), "tables")
     return TableSink(path) if kind == "replayed" else CommittedSink(path)
 
@@ -269,6 +298,25 @@ def stream_compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(sink.read(spark, "realtime_streaming_events")).select("batch_id", *ENRICHED_COLUMNS)
 
 
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IncrementalDimensions(_sink(spark, sf_dir, "increments")).states(spark)
+
+
+def stream_incremental_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 merged from the partial states of four batches, one of them replaced and some merged into days."""
+    return show(profiles.artists_of_states(_states(spark, sf_dir), Workload.of(spark, sf_dir).clean_catalog))
+
+
+def stream_incremental_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 merged from the same partial states."""
+    return show(profiles.tracks_of_states(_states(spark, sf_dir), Workload.of(spark, sf_dir).clean_catalog))
+
+
+def stream_incremental_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 merged from the same partial states."""
+    return show(profiles.albums_of_states(_states(spark, sf_dir)))
+
+
 def stream_late_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4 over several triggers: plays in time of every closed window, and those that came after it had closed."""
     root = _root(spark, sf_dir, "late", _build_late)
@@ -406,7 +454,7 @@ _STREAM = [
     stream_mood_totals, stream_windowed_mood, stream_windowed_leaderboard, stream_windowed_engagement,
     stream_top_tracks, stream_heatmap, stream_quarantine, stream_committed_totals, stream_compacted_events, stream_late_plays,
     stream_reseeded_mood, stream_salted_leaderboard, stream_salted_engagement, stream_deduplicated_counts,
-    stream_length_rules,
+    stream_length_rules, stream_incremental_artists, stream_incremental_tracks, stream_incremental_albums,
 ]
 
 
@@ -414,6 +462,12 @@ def stream_queries() -> dict:
     return {f.__name__: f for f in _STREAM}
 
 
+def _of_stored_plays(name: str) -> str:
+    """The SQL of a dimension over the plays as the events table stores them: completion to four places."""
+    plays = f""", stored_plays AS (SELECT * REPLACE ({_p4("completion_rate")} AS completion_rate) FROM enriched)"""
+    return PRELUDE + plays + batch_oracle()[name].removeprefix(PRELUDE.rstrip()).replace("FROM enriched ", "FROM stored_plays ")
+
+
 def _p4(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,12)), 4) AS DOUBLE)"
 
@@ -435,6 +489,9 @@ def stream_oracle() -> dict[str, str]:
         "stream_committed_totals": PRELUDE + f"""
             SELECT track_uri, COUNT(*) AS plays, COUNT(*) AS events, {_SKIPS} FROM enriched WHERE hour_of_day < 18 GROUP BY track_uri""",
         "stream_compacted_events": PRELUDE + f"SELECT hour_of_day // 6 AS batch_id, {stored} FROM enriched WHERE hour_of_day < 18",
+        "stream_incremental_artists": _of_stored_plays("artist_profile"),
+        "stream_incremental_tracks": _of_stored_plays("track_profile"),
+        "stream_incremental_albums": _of_stored_plays("album_dim"),
         "stream_late_plays": PRELUDE + f"""
             , plays AS (SELECT {_BUCKET} AS window_start_time, CAST(epoch(date_trunc('second', "timestamp")) AS BIGINT) AS s FROM enriched),
             span AS (SELECT min(s) AS a, max(s) AS b FROM plays),
