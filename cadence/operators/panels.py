@@ -8,7 +8,7 @@ the Parquet scan, and a table partitioned by date prunes whole folders.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.functions import clip, lookback, mood_quadrant, skip_rate, truncate_second, weekday_label
@@ -149,10 +149,26 @@ def current_rate(eps: DataFrame, last: int = 5) -> DataFrame:
     return tail.agg(F.coalesce(F.avg("events"), F.lit(0.0)).alias("current_rate"))
 
 
+def newest_days(rows: DataFrame, n: int) -> DataFrame:
+    """Of a table in ``dt`` folders, the newest days that hold ``n`` rows (all days, and rows of none, if there are fewer).
+
+    The rows of a day are counted without reading a column (a Parquet file's footer knows them), and
+    the first day that is needed reaches the scan as a subquery in its partition filter: older
+    folders aren't read. One row per day goes through the window.
+    """
+    days = rows.where(F.col("dt").isNotNull()).groupBy("dt").agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = F.sum("_rows").over(Window.orderBy(F.col("dt").desc()))
+    first = days.select("dt", so_far.alias("_so_far")).where(F.col("_so_far") >= n).agg(F.max("dt"))
+    never = F.lit("0001-01-01").cast("date")
+    return rows.where(F.coalesce("dt", never) >= F.coalesce(first.scalar(), never))
+
+
 def mood_scatter(samples: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_of: Column | None = None,
                  n: int = 3000) -> DataFrame:
     """The ``n`` newest scatter points (ties broken by every shown column)."""
     s = recent(samples, "timestamp", minutes, as_of)
+    if "dt" in s.columns:
+        s = newest_days(s, n)
     return (s.select("timestamp", "artist_name", "valence", "energy")
             .orderBy(F.col("timestamp").desc(), "artist_name", "valence", "energy").limit(n))
 
@@ -168,5 +184,5 @@ def mood_quadrants(events: DataFrame, minutes: int | None = DEFAULT_MINUTES, as_
 __all__ = [
     "kpi", "mood_timeline", "heatmap", "heatmap_grid", "skip_profile", "completion_by_hour",
     "artist_engagement", "likeability", "nostalgia", "top_tracks", "events_per_second",
-    "current_rate", "mood_scatter", "mood_quadrants", "recent",
+    "current_rate", "mood_scatter", "mood_quadrants", "newest_days", "recent",
 ]

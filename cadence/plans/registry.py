@@ -242,7 +242,7 @@ def mood_timeline_recent(w: Workload) -> DataFrame:
 
 
 def mood_scatter(w: Workload) -> DataFrame:
-    return panels.mood_scatter(w.enriched.select(*metrics.SAMPLE_COLUMNS), minutes=None, n=3000)
+    return panels.mood_scatter(w.enriched.select(*metrics.SAMPLE_COLUMNS, "dt"), minutes=None, n=3000)
 
 
 def mood_quadrants(w: Workload) -> DataFrame:

@@ -174,3 +174,25 @@ def test_first_seen_names_are_hash_aggregated_before_the_shuffle(spark):
                         break
                     above.append(up)
                 assert not any("SortAggregate" in x for x in above), name
+
+
+def test_newest_points_read_the_newest_days_only(spark, scratch):
+    """Older ``dt`` folders aren't read once the newest days hold enough rows; rows are the same."""
+    from cadence.operators import panels
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.col("id") / 100).cast("int"))
+    table = spark.range(1000).select(
+        F.timestamp_add("SECOND", F.col("id") % 100, day.cast("timestamp_ntz")).alias("timestamp"), F.concat(F.lit("a"), F.col("id")).alias("artist_name"),
+        (F.col("id") / 1000).alias("valence"), F.lit(0.5).alias("energy"), day.alias("dt"))
+    undated = spark.createDataFrame([(None, "none", 0.0, 0.0, None)], table.schema)
+    table.unionByName(undated).write.partitionBy("dt").parquet(f"{scratch}/samples")
+    stored = spark.read.parquet(f"{scratch}/samples")
+    columns = ["timestamp", "artist_name", "valence", "energy"]
+    never = F.lit("0001-01-01").cast("date")
+    for n, days in ((1, 1), (100, 1), (101, 2), (250, 3), (1000, 10), (1001, 11), (5000, 11)):
+        want = stored.select(*columns).orderBy(F.col("timestamp").desc(), *columns[1:]).limit(n)
+        assert panels.mood_scatter(stored, minutes=None, n=n).collect() == want.collect(), n
+        assert panels.newest_days(stored, n).select(F.countDistinct(F.coalesce("dt", never))).first()[0] == days, n
+    assert panels.mood_scatter(stored.where("false"), minutes=None).count() == 0
+    plan = panels.newest_days(stored, 250).select("valence")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[\(coalesce\(dt#\d+, 0001-01-01\) >= coalesce\((Reused)?[Ss]ubquery", plan), plan
+    assert re.search(r"DataFilters: \[\].*ReadSchema: struct<>", plan), plan  # days are counted without a column
