@@ -46,6 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key() -> Column:
+    """128 bits that stand for a row's doc_id and text; a null isn't an empty text, nor a null id any other."""
+    named = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(named, F.when(F.col("text").isNull(), "-").otherwise("+"), F.coalesce(F.col("text").cast("string"), F.lit("")))))
+
+
 def hash_share(share: float, *columns: str) -> Column:
     """True for about ``share`` of the rows, by a hash of the columns: the same rows in every run."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import materialize
+from cadence.llm.common import materialize, row_key
 
 WINDOW, LEAST, SHORTEST = 8, 6, 4
 BROADCAST_WINDOWS = 300_000
@@ -100,10 +100,6 @@ def window_hashes(text: Column, size: int, exact: bool) -> Column:
         F.sequence(F.lit(1), F.size(a) - size + 1), lambda i: window_hash(F.slice(a, i, size), exact))))
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def item_windows(items: DataFrame) -> DataFrame:
     """item_id, item_key, size, at (0-based), free (other values may stand in it), exact (hashed with its values), hash,
     windows and free_windows (of the item) of every window; the first one in each form."""
@@ -135,7 +131,8 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     wanted = F.broadcast(wanted) if small else wanted
     met = None
     for size, exact in sizes or [(WINDOW, False)]:
-        here = docs.select(row_key().alias("row_key"), F.posexplode(window_hashes(F.col("text"), size, exact)).alias("place", "hash"))
+        # the key is taken before the windows are dealt out, once per text
+        here = docs.select(row_key().alias("row_key"), window_hashes(F.col("text"), size, exact).alias("hashes")).select("row_key", F.posexplode("hashes").alias("place", "hash"))
         own = here.join(wanted.filter(F.col("size") == size), "hash").select("row_key", "item_key", "size", "windows", "free_windows", "at", "free", (F.col("place") - F.col("at")).alias("shift"))
         met = own if met is None else met.unionByName(own)
     met = materialize(met, "window-matches")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import materialize, ship
+from cadence.llm.common import materialize, row_key, ship
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SUPPORT, CONFIDENCE, DOUBT = 4, 5, 0.8, 0.125
@@ -128,13 +128,9 @@ def mentions(text: str) -> list[tuple[str | None, int, int, str, list[str]]]:
     return out
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def find_mentions(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
-    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+    kinds = [pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
     names = ["row_key", "kind", "start", "end", "instance", "pattern"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +141,7 @@ def find_mentions(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     some = docs.filter(F.col("text").rlike(CANDIDATE)).select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    return some.mapInArrow(find, "row_key long, kind string, start int, end int, instance string, pattern string")
+    return some.mapInArrow(find, "row_key binary, kind string, start int, end int, instance string, pattern string")
 
 
 # --- scoring the graph ----------------------------------------------------------------------------

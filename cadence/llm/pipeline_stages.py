@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.llm import decontam, packing, pii, quality, simhash
-from cadence.llm.common import materialize, table
+from cadence.llm.common import materialize, row_key, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     first = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.min("row_key").alias("row_key"))
     stays = first.select("row_key").unionByName(groups.filter("component_id is null").select("row_key")).distinct()
     goes = groups.select("row_key").distinct().join(stays, "row_key", "left_anti").withColumnRenamed("row_key", "_stage_gone")
-    kept = docs.withColumn("_stage_key", simhash.row_key()).join(goes, F.col("_stage_key") == F.col("_stage_gone"), "left_anti")
+    kept = docs.withColumn("_stage_key", row_key()).join(goes, F.col("_stage_key") == F.col("_stage_gone"), "left_anti")
     repeats = groups.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").join(stays, "row_key", "left_semi")
     if repeats.limit(1).count():  # only then must the texts be dealt out by key; each task keeps one row of a key before
         kept = kept.dropDuplicates(["_stage_key"])

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import materialize, runs_of, ship
+from cadence.llm.common import materialize, row_key, runs_of, ship
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Parts that must agree beyond the pigeonhole's least; more of them make smaller buckets and more keys.
@@ -60,10 +60,6 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, row_key, fp (the 64 bits as a signed long)."""
     ship(docs.sparkSession)
@@ -74,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row_key"), pa.array(bits.view(np.int64))], ["doc_id", "row_key", "fp"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(fp, "doc_id long, row_key long, fp long")
+    return docs.mapInArrow(fp, "doc_id long, row_key binary, fp long")
 
 
 # --- links ------------------------------------------------------------------------------------------

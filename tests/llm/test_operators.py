@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cadence.llm import chat_format, decontam, knn, langid, packing, pii, quality, simhash, token_files, warc
-from cadence.llm.common import materialize, text_bytes, work_path
+from cadence.llm.common import materialize, row_key, text_bytes, work_path
 from cadence.llm.wordcache import WordEncoder
 
 DOCS = "doc_id long, text string, key long, rank int, score string"  # the last three clash with internal names
@@ -534,3 +534,10 @@ def test_top_k_against_brute_force(spark, monkeypatch):
 def test_scores_beyond_doubles_are_exact():
     q = np.array([[2**31 + 1, 3]])
     assert knn.exact_scores(q, q)[0, 0] == (2**31 + 1) ** 2 + 9
+
+
+def test_row_keys_tell_nulls_and_ids_apart(spark):
+    """128 bits per (doc_id, text): nulls, empty texts and ids that run into the text have keys of their own."""
+    rows = [(None, None), (None, ""), (1, None), (1, ""), (1, "1"), (11, ""), (1, "+"), (-1, ""), (None, "1+"), (1, "-")]
+    keys = [bytes(r[0]) for r in spark.createDataFrame(rows * 2, "doc_id long, text string").select(row_key()).collect()]
+    assert keys[:10] == keys[10:] and len(set(keys)) == 10 and {len(k) for k in keys} == {16}
