@@ -132,7 +132,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     met = None
     for size, exact in sizes or [(WINDOW, False)]:
         # the key is taken before the windows are dealt out, once per text
-        here = docs.select(row_key().alias("row_key"), window_hashes(F.col("text"), size, exact).alias("hashes")).select("row_key", F.posexplode("hashes").alias("place", "hash"))
+        here = docs.select(row_key().alias("row_key"), "text").select("row_key", F.posexplode(window_hashes(F.col("text"), size, exact)).alias("place", "hash"))
         own = here.join(wanted.filter(F.col("size") == size), "hash").select("row_key", "item_key", "size", "windows", "free_windows", "at", "free", (F.col("place") - F.col("at")).alias("shift"))
         met = own if met is None else met.unionByName(own)
     met = materialize(met, "window-matches")
