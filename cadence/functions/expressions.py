@@ -38,6 +38,10 @@ _ESCAPE = r"(?s)\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|
 _NO_ESCAPE = (r"\\(?:x(?![0-9a-fA-F]{2})|u(?![0-9a-fA-F]{4})|U(?!(?:000[0-9a-fA-F]|0010)[0-9a-fA-F]{4})|N"
               r"|[uU](?:0000)?[dD][89a-fA-F][0-9a-fA-F]{2}|U0000[dD][89a-fA-F])")
 _VALUE = "\u0001"
+# A list of strings and scalars without a list in it; its parts are taken as above, and nothing is tried twice.
+_ITEM = rf"(?:(?:{_STRING}\s*)++|{_SCALAR}\s*+)"
+_PLAIN = r"""^\s*+\[\s*+[uU]?(?:'([^'\\\n]*+)'|"([^"\\\n]*+)")\s*+[,\]]"""
+_FLAT = rf"(?s)^\s*+\[\s*+(?:{_ITEM}(?:,\s*+{_ITEM})*+(?:,\s*+)?+)?+\]\s*+$"
 # What a backslash and one character stand for.
 _ONE = {"\n": "", "\\": "\\", "'": "'", '"': '"', "a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
 
@@ -72,8 +76,8 @@ def _is_list(shape: Column) -> Column:
         return F.struct(still.alias("open"), (closes | (c == _VALUE)).alias("ended"), (s["fits"] & fits).alias("fits"))
 
     start = F.struct(F.lit("").alias("open"), F.lit(False).alias("ended"), F.lit(True).alias("fits"))
-    end = F.aggregate(F.split(shape, ""), start, step)
-    return shape.startswith("[") & end["fits"] & end["ended"] & (F.length(end["open"]) == 0)
+    whole = F.aggregate(F.split(shape, ""), start, step, lambda end: end["fits"] & end["ended"] & (F.length(end["open"]) == 0))
+    return shape.startswith("[") & whole
 
 
 def first_artist(artists: str | Column) -> Column:
@@ -93,8 +97,10 @@ def first_artist(artists: str | Column) -> Column:
     scalar = F.regexp_extract(a, rf"^\s*\[\s*({_SCALAR})", 1)
     first = (F.when(F.length(run) > 0, F.array_join(F.transform(insides, _unescaped), ""))
              .when(scalar == "None", F.lit(None).cast("string")).when(F.length(scalar) > 0, scalar).otherwise(a))
-    # most texts that aren't lists end here, before any of this is computed
-    return F.when(a.rlike(r"(?s)^\s*\[.*\]\s*$"), F.when(_is_list(shape) & sound, first).otherwise(a)).otherwise(a)
+    # most texts end in one of the first two lines, before any of this is computed; the fold is for lists in lists only
+    plain = F.concat(F.regexp_extract(a, _PLAIN, 1), F.regexp_extract(a, _PLAIN, 2))
+    return (F.when(~a.rlike(r"(?s)^\s*\[.*\]\s*$"), a).when(~a.contains("\\") & a.rlike(_PLAIN) & a.rlike(_FLAT), plain)
+            .when((a.rlike(_FLAT) | _is_list(shape)) & sound, first).otherwise(a))
 
 
 def normalized_artist(artists: str | Column) -> Column:

@@ -149,3 +149,10 @@ def test_first_artist_is_the_literals_first_value(spark):
     got = _col(spark, [(t,) for t in texts], "a string", cf.first_artist("a"))
     assert [(t, g, w) for t, g, w in zip(texts, got, want) if g != w] == []
     assert sum(t != w for t, w in zip(texts, want)) > 100
+
+
+def test_first_artist_folds_once_and_only_over_nested_lists(spark):
+    df = spark.createDataFrame([("['A', 'B']",), ("['a', ['b']]",)], "a string").select(cf.first_artist("a").alias("f"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("aggregate(split(") == 1
+    assert [r.f for r in df.collect()] == ["A", "a"]
