@@ -70,6 +70,12 @@ def _store(spark: SparkSession, sf_dir: str, root: str) -> FeatureStore:
     return FeatureStore.prepare(*load_feature_store(spark, os.path.join(root, "store"), catalog=w.catalog))
 
 
+def _laid_out(plays: DataFrame, key: str, path: str) -> DataFrame:
+    """``plays`` written once in folders by ``key``, so that a run over several batches derives the history only once."""
+    plays.hint("rebalance", F.col(key)).write.partitionBy(key).parquet(path)
+    return plays.sparkSession.read.schema(plays.schema).parquet(path)
+
+
 def _build_job(spark: SparkSession, sf_dir: str, root: str) -> None:
     inp = os.path.join(root, "input")
     log_lines(Workload.of(spark, sf_dir).history).write.text(inp)
@@ -144,11 +150,12 @@ class _StoppingSink(CommittedSink):
 
 def _build_stopped(spark: SparkSession, sf_dir: str, root: str) -> None:
     """A batch for each quarter of the day; the last is stopped between two writes, the others are merged into days."""
-    history = Workload.of(spark, sf_dir).history
+    history = Workload.of(spark, sf_dir).history.withColumn("_quarter", F.floor(F.hour("ts") / 6))
+    history = _laid_out(history, "_quarter", os.path.join(root, "history"))
     store, sink = _store(spark, sf_dir, root), _StoppingSink(os.path.join(root, "tables"))
     try:
         for k in range(4):
-            logs = parse_logs(log_lines(history.where(F.floor(F.hour("ts") / 6) == k)), "value")
+            logs = parse_logs(log_lines(history.where(F.col("_quarter") == k)), "value")
             try:
                 process_batch(logs, k, store, sink, when=dt.datetime(2024, 3, 1, 6 * k))
             except _Stopped:
@@ -172,6 +179,7 @@ def _build_late(spark: SparkSession, sf_dir: str, root: str) -> None:
     w = Workload.of(spark, sf_dir)
     history = _quarters(w.history)
     history = history.withColumn("_arrival", F.col("_quarter") + F.when(F.col("_s") % 5 == 0, 1).otherwise(0))
+    history = _laid_out(history, "_arrival", os.path.join(root, "history"))
     store, inp, now = _store(spark, sf_dir, root), os.path.join(root, "input"), {"availableNow": True}
     try:
         for k in range(5):
@@ -190,7 +198,7 @@ def _build_increments(spark: SparkSession, sf_dir: str, root: str) -> None:
 
     The second batch is committed with half of its plays, and after an advance again with all; then batches are merged into days.
     """
-    history = _quarters(Workload.of(spark, sf_dir).history)
+    history = _laid_out(_quarters(Workload.of(spark, sf_dir).history), "_quarter", os.path.join(root, "history"))
     store, sink = _store(spark, sf_dir, root), CommittedSink(os.path.join(root, "tables"))
     dimensions = IncrementalDimensions(sink, merge_at=2)
 
@@ -217,7 +225,8 @@ def _build_reseeded(spark: SparkSession, sf_dir: str, root: str) -> None:
     The windowed jobs, salted, read the enriched batches.
     """
     w = Workload.of(spark, sf_dir)
-    history, inp, now = _quarters(w.history), os.path.join(root, "input"), {"availableNow": True}
+    history = _laid_out(_quarters(w.history), "_quarter", os.path.join(root, "history"))
+    inp, now = os.path.join(root, "input"), {"availableNow": True}
     store = VersionedStore(spark, os.path.join(root, "store"))
     store.publish(w.tracks, w.artists, w.global_row)
     handler, schema = EnrichedBatches(store, os.path.join(root, "enriched")), T.StructType([*ENRICHED_SCHEMA.fields]).add(EVENT_TIME, "timestamp")
@@ -295,7 +304,7 @@ def stream_committed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the committed events, after their batches were merged into days."""
     sink = _sink(spark, sf_dir, "stopped")
-    return as_doubles(sink.read(spark, "realtime_streaming_events")).select("batch_id", *ENRICHED_COLUMNS)
+    return as_doubles(sink.read(spark, "realtime_streaming_events")).select(F.col("batch_id").cast("int").alias("batch_id"), *ENRICHED_COLUMNS)
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
