@@ -40,11 +40,13 @@ def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     Rows without a key match nothing, so they stay where they are, on the map-side half.
 
     ``left`` is read three times (hot-key count, hot rows, other rows):
-    persist it first when it is not a table scan. ``how`` is ``inner`` or ``left``.
+    persist it first when it is not a table scan. The hot keys are counted once; as there are at most
+    ``1 / fraction`` of them, the plan holds them as values. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(left, left_key, fraction, left_rows))   # <= 1/fraction rows
+    found = hot_keys(left, left_key, fraction, left_rows)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found.collect(), found.schema))   # <= 1/fraction rows
     flagged = left.join(hot, F.col(left_key) == F.col(HOT_KEY), "left")
     stays = F.col(HOT_KEY).isNotNull() | F.col(left_key).isNull()
     hot_rows = flagged.where(stays).drop(HOT_KEY)

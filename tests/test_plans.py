@@ -196,3 +196,25 @@ def test_newest_points_read_the_newest_days_only(spark, scratch):
     plan = panels.newest_days(stored, 250).select("valence")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[\(coalesce\(dt#\d+, 0001-01-01\) >= coalesce\((Reused)?[Ss]ubquery", plan), plan
     assert re.search(r"DataFilters: \[\].*ReadSchema: struct<>", plan), plan  # days are counted without a column
+
+
+def test_hot_keys_are_counted_once(spark):
+    """The plan holds the hot keys as values: no half of the join counts the plays again."""
+    from cadence.operators.skew import split_hot_join
+    left = spark.createDataFrame([("a", i) for i in range(30)] + [(f"k{i}", i) for i in range(30)] + [(None, 0)], "k string, n int")
+    right = spark.createDataFrame([("a", "A"), ("k1", "B")], "id string, v string")
+    split = split_hot_join(left, right, "k", "id", "left", 0.2)
+    assert "Aggregate" not in split._jdf.queryExecution().optimizedPlan().toString()
+    plain = left.join(right, left["k"] == right["id"], "left")
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_history_is_derived_once_for_the_batches_of_a_run(spark, scratch):
+    from cadence.plans.stream_queries import _laid_out
+    rows = [(f"p{i}", i % 3 if i % 7 else None) for i in range(50)]
+    path = os.path.join(scratch, "history")
+    plays = _laid_out(spark.createDataFrame(rows, "name string, _quarter long"), "_quarter", path)
+    one = plays.where(F.col("_quarter") == 1)
+    assert "PartitionFilters: [isnotnull(_quarter" in _plan(one)
+    assert sorted(map(str, plays.collect())) == sorted(f"Row(name={n!r}, _quarter={q!r})" for n, q in rows)
+    assert one.count() == sum(q == 1 for _, q in rows)
