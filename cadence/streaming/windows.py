@@ -5,11 +5,19 @@ time. These queries window by the play's own timestamp instead: state is
 kept per (window, key) until the watermark passes the window end, then the
 final row is emitted once (append mode) and the state is dropped, so state
 size is bounded by the watermark delay, not by the stream's length.
+
+The state lies in one partition per core and not in ``spark.sql.shuffle.partitions`` of them
+(:func:`state_settings`): each task of a stateful step reports a metric for each state partition, so that what
+reaches the driver, and part of the tasks' time, grows with the square of their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +38,47 @@ SALTED = {"mood": salted_mood, "leaderboard": salted_leaderboard, "engagement":
 
 EVENT_TIME = "event_time"
 
+#: State partitions for each core of the cluster; the least number of them.
+STATE_PER_CORE, LEAST_STATE = 1, 8
+#: The state lies on the executors' disks, with a bound on its memory: it holds a row for each open window and key.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+_STARTING = threading.Lock()
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of the state of a windowed job: by the cores that work on it, at most ``spark.sql.shuffle.partitions``."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # a Connect session has no SparkContext
+        cores = int(spark.conf.get("spark.default.parallelism", str(most)))
+    return min(most, max(LEAST_STATE, STATE_PER_CORE * cores))
+
+
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """A streaming query that is started inside keeps its state in :func:`state_partitions` partitions.
+
+    A query copies the session's settings when it starts, and the number of its state partitions stays in its
+    checkpoint: a job that goes on from an older one keeps the number it has.
+    """
+    settings = STATE_CONF | {"spark.sql.shuffle.partitions": str(state_partitions(spark))}
+    with _STARTING:
+        before = {k: spark.conf.get(k, None) for k in settings}
+        try:
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+            yield
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+
 
 def enriched_stream(logs: DataFrame, store, watermark: str = "10 minutes") -> DataFrame:
     """Stream-static enrichment of the parsed log stream, with an event-time watermark.
@@ -110,4 +159,5 @@ def start_windowed(enriched: DataFrame, path: str, checkpoint: str, kind: str =
          .option("path", path).option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    with state_settings(enriched.sparkSession):
+        return w.start()

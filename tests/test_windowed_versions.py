@@ -10,7 +10,7 @@ from cadence.sources.kafka import parse_logs
 from cadence.streaming.repeats import drop_repeats
 from cadence.streaming.replay import replay_stream
 from cadence.streaming.versions import EnrichedBatches, VersionedStore, enriched_batches, start_enriched
-from cadence.streaming.windows import EVENT_TIME, KINDS, start_windowed
+from cadence.streaming.windows import EVENT_TIME, KINDS, start_windowed, state_partitions
 
 NOW = {"availableNow": True}
 SCHEMA = T.StructType([*ENRICHED_SCHEMA.fields]).add(EVENT_TIME, "timestamp")
@@ -130,6 +130,31 @@ def test_state_of_a_hot_track_lies_in_all_partitions(spark, scratch):
     handler.release()
 
 
+def test_state_partitions_follow_the_cores_and_not_the_shuffles(spark, scratch):
+    """Each state task reports a metric per state partition: many partitions cost the square of their number."""
+    store, inp = VersionedStore(spark, os.path.join(scratch, "store")), os.path.join(scratch, "in")
+    store.publish(*_tiers(spark, 0.25))
+    handler = EnrichedBatches(store, os.path.join(scratch, "enriched"))
+    _add(spark, inp, [_line(s) for s in range(30)] + [_line(7 * 3600)])
+    _run(start_enriched(replay_stream(spark, inp), handler, os.path.join(scratch, "ck"), NOW))
+    key, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    before, kind = spark.conf.get(key), spark.conf.get(provider)
+    spark.conf.set(key, "96")
+    try:
+        most = max(8, spark.sparkContext.defaultParallelism)
+        assert state_partitions(spark) == min(96, most)
+        out = _windowed(spark, scratch, handler.root, "engagement", 4)
+        assert spark.conf.get(key) == "96" and spark.conf.get(provider) == kind      # the session's settings are as before
+        spark.conf.set(key, "2")
+        assert state_partitions(spark) == 2                # never more than the session's shuffles
+    finally:
+        spark.conf.set(key, before)
+    operators = spark.read.format("state-metadata").load(out + "-ck").collect()
+    assert len(operators) == 2 and {r["numPartitions"] for r in operators} == {min(96, most)}
+    assert [(r["window_start_time"].hour, r["skip_count"], r["natural_end_count"]) for r in spark.read.parquet(out).collect()] == [(0, 0, 30)]
+    handler.release()
+
+
 def test_messages_sent_twice_count_once(spark, scratch):
     inp = os.path.join(scratch, "in")
     seen = []
