@@ -3,8 +3,8 @@
 * Words are runs of letters and digits, or runs of other marks, of one text, hashed to ``BUCKETS``
   numbers. Every number has a fixed sparse random index vector of +1 and -1.
 * A word's vector is the sum of the index vectors of the words up to two places before and after it,
-  over all documents, labelled or not. Tasks add up their own table, a tree reduction adds the tables:
-  BUCKETS x DIMENSIONS numbers, whatever the corpus holds. Vectors are scaled to length 1.
+  over all documents, labelled or not. Tasks add up their own table, rounds of tasks add the tables, and the driver gets
+  one: BUCKETS x DIMENSIONS numbers, whatever the corpus holds. Vectors are scaled to length 1.
 * A document pools its words' vectors, each weighted less the more frequent the word is: their mean,
   and the mean product of neighbours, number by number, which tells repeated words from varied ones.
 * A two-layer numpy network is fitted on about ``TRAIN_DOCS`` labelled rows (never more than twice as many),
@@ -19,10 +19,12 @@ handled in pieces that end between words, so only a single word has to fit into
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +113,16 @@ def add_contexts(table: np.ndarray, counts: np.ndarray, bucket: np.ndarray, text
                 np.add.at(table, word * DIMENSIONS + places[other, k], signs[other, k])
 
 
+def tree_sum(parts: RDD, add: Callable, depth: int = 3) -> RDD:
+    """The sum of all rows as the only one, added up in about ``depth`` rounds of tasks; none of them reaches the driver."""
+    groups = parts.getNumPartitions()
+    scale = max(2, math.ceil(groups ** (1 / depth)))
+    while groups > 1:
+        groups = -(-groups // scale)
+        parts = parts.mapPartitionsWithIndex(lambda i, rows, n=groups: ((i % n, r) for r in rows)).reduceByKey(add, groups).values()
+    return parts
+
+
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """[BUCKETS, DIMENSIONS]: unit vectors, times the weight that pooling gives the word."""
     ship(docs.sparkSession)
@@ -130,9 +142,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(gather, "sums binary, counts binary").rdd.map(
         lambda r: (np.frombuffer(r["sums"], np.int64), np.frombuffer(r["counts"], np.int64)))  # whole numbers: the order of tasks changes nothing
-    zero = (np.zeros(BUCKETS * DIMENSIONS, np.int64), np.zeros(BUCKETS, np.int64))
-    table, counts = parts.treeReduce(add, depth=3) if parts.getNumPartitions() else zero
-    return scaled(table, counts)
+    got = tree_sum(parts, add).map(lambda p: scaled(*p).tobytes()).collect()
+    if not got:
+        return scaled(np.zeros(BUCKETS * DIMENSIONS, np.int64), np.zeros(BUCKETS, np.int64))
+    return np.frombuffer(got[0], np.float32).reshape(BUCKETS, DIMENSIONS)
 
 
 def scaled(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -164,12 +177,15 @@ def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 
 class Network:
-    """Input -> tanh layer -> one output, divided by the temperature."""
+    """Input -> tanh layer -> one output, divided by the temperature.
+
+    The driver holds the sample as it came (float32) and scales only the rows at hand.
+    """
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         rng = np.random.default_rng(SEED)
         aside = rng.random(len(x)) < 0.2
-        self.mean, self.spread = x.mean(0), x.std(0) + 1e-6
+        self.mean, self.spread = x.mean(0, dtype=float), x.std(0, dtype=float) + 1e-6
         self.w = [rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
         self.temperature = 1.0
         self._fit(x[~aside] if (~aside).any() else x, y[~aside] if (~aside).any() else y, rng)
@@ -177,12 +193,11 @@ class Network:
             self._calibrate(x[aside], y[aside])
 
     def _fit(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> None:
-        x = (x - self.mean) / self.spread
         m, v, t = [np.zeros_like(w) for w in self.w], [np.zeros_like(w) for w in self.w], 0
         for _ in range(EPOCHS):
             order = rng.permutation(len(x))
             for at in range(0, len(x), 256):
-                a, b = x[order[at : at + 256]], y[order[at : at + 256]]
+                a, b = (x[order[at : at + 256]] - self.mean) / self.spread, y[order[at : at + 256]]
                 hidden = np.tanh(a @ self.w[0] + self.w[1])
                 wrong = (1 / (1 + np.exp(-(hidden @ self.w[2] + self.w[3]))) - b) / len(b)
                 back = np.outer(wrong, self.w[2]) * (1 - hidden**2)
@@ -224,8 +239,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, train_docs: i
     got = pooled_rows.orderBy(F.xxhash64("doc_id", "x"), "doc_id", "label", "x").limit(2 * train_docs).toArrow()
     if not got.num_rows:
         return None
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, POOLED).astype(float)
+    x = text_bytes(got.column("x"))[0].view(np.float32).reshape(-1, POOLED)
     y, ids = got.column("label").to_numpy().astype(float), got.column("doc_id").to_numpy()
+    del got
     order = np.lexsort((*x.T[:3], y, ids))  # the same order whatever the partitions were
     return Network(x[order], y[order])
 

@@ -290,6 +290,13 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in held]) >= 0.9
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7, 30])
+def test_quality_tables_are_added_up_before_the_driver(spark, parts):
+    got = quality.tree_sum(spark.sparkContext.parallelize(range(30), parts).mapPartitions(lambda rows: [sum(rows)]), lambda a, b: a + b)
+    assert got.collect() == [sum(range(30))]               # one row, however many tables there were
+    assert quality.tree_sum(spark.sparkContext.emptyRDD(), lambda a, b: a + b).collect() == []
+
+
 def test_quality_edge_cases(spark):
     docs = docs_of(spark, TEXTS + ["null id"])
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, None, 0), (None, 1, 1), (0, 1, 0), (77, 1, 0)], "doc_id long, quality int, toxic int")
